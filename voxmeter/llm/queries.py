@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from .bpe import encode_documents
 from .canonical import canonical_texts, lookalike_rows
 
 
@@ -29,8 +30,13 @@ def p2_sources(spark: SparkSession, root: str) -> DataFrame:
     return canonical_texts(table(spark, root, "sources"), "row_id", "text", "lang")
 
 
+def p6_ids(spark: SparkSession, root: str) -> DataFrame:
+    """Ids of every document in the default vocabulary."""
+    return encode_documents(table(spark, root, "documents"), "doc_id", "text")
+
+
 def queries() -> dict:
-    return {"p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
+    return {"p6_ids": p6_ids, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
 
 
 def oracles() -> dict[str, str]:
