@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources.tables import table
-from .bpe import encode_documents
+from .bpe import encode_documents, token_count
 from .canonical import canonical_texts, lookalike_rows
+from .packing import pack, packing_summary
+from .quantiles import daily_sketches, percentiles
+
+PROBABILITIES = (0.5, 0.9, 0.95, 0.99)
 
 
 def _p2(spark: SparkSession, root: str) -> DataFrame:
@@ -30,14 +35,53 @@ def p2_sources(spark: SparkSession, root: str) -> DataFrame:
     return canonical_texts(table(spark, root, "sources"), "row_id", "text", "lang")
 
 
+def _days(spark: SparkSession, root: str) -> DataFrame:
+    return daily_sketches(table(spark, root, "sources"), ["lang", "len_bin"], "ingested_at", "anchor_wer")
+
+
+def p4_percentiles(spark: SparkSession, root: str) -> DataFrame:
+    """Percentiles of anchor_wer per lang and len_bin, combined from the sketches of single days."""
+    return percentiles(_days(spark, root), ["lang", "len_bin"], PROBABILITIES)
+
+
+def p4_days(spark: SparkSession, root: str) -> DataFrame:
+    """The daily partial results' own percentiles."""
+    return percentiles(_days(spark, root), ["lang", "len_bin", "day"], PROBABILITIES)
+
+
 def p6_ids(spark: SparkSession, root: str) -> DataFrame:
     """Ids of every document in the default vocabulary."""
     return encode_documents(table(spark, root, "documents"), "doc_id", "text")
 
 
+def p7_containers(spark: SparkSession, root: str) -> DataFrame:
+    """Documents and their containers of 2,048 tokens."""
+    return pack(table(spark, root, "documents"), "doc_id", token_count(F.col("text")))
+
+
+def p7_summary(spark: SparkSession, root: str) -> DataFrame:
+    return packing_summary(p7_containers(spark, root))
+
+
 def queries() -> dict:
-    return {"p6_ids": p6_ids, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
+    return {"p4_percentiles": p4_percentiles, "p4_days": p4_days, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
+
+
+# The sketches are exact while they have compacted nothing, as on the oracle's tables.
+_P4 = """
+WITH v AS (SELECT {keys}, CASE WHEN isfinite(anchor_wer) THEN anchor_wer END AS v FROM sources),
+r AS (SELECT *, row_number() OVER (PARTITION BY {names} ORDER BY v NULLS LAST) AS rn, count(v) OVER (PARTITION BY {names}) AS n FROM v)
+SELECT {names}, max(n) AS n, {values}, 0.0::DOUBLE AS rank_error FROM r GROUP BY {names}
+"""
+
+
+def _p4(keys: str, names: str) -> str:
+    at = ", ".join(f"max(CASE WHEN rn <= n AND rn = greatest(1, ceil({p}::DOUBLE * n)) THEN v END) AS p{100 * p:g}" for p in PROBABILITIES)
+    return _P4.format(keys=keys, names=names, values=at)
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {
+        "p4_percentiles": _p4("lang, len_bin", "lang, len_bin"),
+        "p4_days": _p4("lang, len_bin, ingested_at::DATE AS day", "lang, len_bin, day"),
+    }
