@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.diff import diff_copies
+from ..operators.drift import Drift
 from ..operators.references import Entity, ForeignKey, ReferenceGraph
 from ..sources.tables import table
 
@@ -40,6 +41,21 @@ def p3_report(spark: SparkSession, root: str) -> DataFrame:
     return reference_graph(spark, root).report()
 
 
+def p5_found(spark: SparkSession, root: str) -> DataFrame:
+    """Changes of the duration, latency and voice fields."""
+    return Drift(table(spark, root, "synthesis_raw")).changes()
+
+
+def p5_changes(spark: SparkSession, root: str) -> DataFrame:
+    """Changes of every column, matched from file to file."""
+    return Drift(table(spark, root, "synthesis_raw")).all_changes()
+
+
+def p5_table(spark: SparkSession, root: str) -> DataFrame:
+    """All records with one duration, one latency and one voice column."""
+    return Drift(table(spark, root, "synthesis_raw")).unified()
+
+
 _P1 = """
 WITH l AS (SELECT DISTINCT utt, text, text_norm FROM sources), r AS (SELECT DISTINCT utt, text, text_norm FROM sources_mirror),
 j AS (SELECT coalesce(l.utt, r.utt) AS utt, l.utt IS NULL AS no_l, r.utt IS NULL AS no_r,
@@ -79,7 +95,7 @@ SELECT src_table, field, period, kind, reason, count(*) AS n FROM everything GRO
 
 
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_differences": p1_differences, "p3_found": p3_found, "p3_report": p3_report}
+    return {"p1_found": p1_found, "p1_differences": p1_differences, "p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_changes": p5_changes, "p5_table": p5_table}
 
 
 def oracles() -> dict[str, str]:
