@@ -61,3 +61,9 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
 def col(name: str):
     """A column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of at least as many partitions as there are cores, for row-wise maps in Python; larger scans as they are."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
