@@ -5,15 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import spread
 from ..sources.tables import table
 from .bpe import encode_documents, token_count
 from .canonical import canonical_texts, lookalike_rows
+from .language import document_languages, fit_profiles, language_segments, unnamed_languages
 from .packing import pack, packing_summary
 from .quantiles import daily_sketches, percentiles
 
 PROBABILITIES = (0.5, 0.9, 0.95, 0.99)
 
 
+def _documents(spark: SparkSession, root: str) -> DataFrame:
+    return spread(table(spark, root, "documents"))
+
+
 def _p2(spark: SparkSession, root: str) -> DataFrame:
     return lookalike_rows([
         ("sources", table(spark, root, "sources"), "row_id", "text", "lang"),
@@ -51,20 +57,41 @@ def p4_days(spark: SparkSession, root: str) -> DataFrame:
 
 def p6_ids(spark: SparkSession, root: str) -> DataFrame:
     """Ids of every document in the default vocabulary."""
-    return encode_documents(table(spark, root, "documents"), "doc_id", "text")
+    return encode_documents(_documents(spark, root), "doc_id", "text")
 
 
 def p7_containers(spark: SparkSession, root: str) -> DataFrame:
     """Documents and their containers of 2,048 tokens."""
-    return pack(table(spark, root, "documents"), "doc_id", token_count(F.col("text")))
+    return pack(_documents(spark, root), "doc_id", token_count(F.col("text")))
 
 
 def p7_summary(spark: SparkSession, root: str) -> DataFrame:
     return packing_summary(p7_containers(spark, root))
 
 
+def _p8(spark: SparkSession, root: str) -> DataFrame:
+    documents = _documents(spark, root)
+    profiles = fit_profiles(documents, "doc_id", "text", "lang")
+    return language_segments(documents, "doc_id", "text", ["lang"], profiles)
+
+
+def p8_found(spark: SparkSession, root: str) -> DataFrame:
+    return unnamed_languages(_p8(spark, root), "doc_id", "lang")
+
+
+def p8_documents(spark: SparkSession, root: str) -> DataFrame:
+    """Every document with its language and confidence."""
+    return document_languages(_p8(spark, root), "doc_id", "lang")
+
+
+def p8_segments(spark: SparkSession, root: str) -> DataFrame:
+    """The segments of one language of every document."""
+    rows = _p8(spark, root).select("doc_id", F.posexplode("segments").alias("segment", "s"))
+    return rows.select("doc_id", "segment", "s.start", "s.end", "s.lang", "s.confidence", "s.words")
+
+
 def queries() -> dict:
-    return {"p4_percentiles": p4_percentiles, "p4_days": p4_days, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
+    return {"p4_percentiles": p4_percentiles, "p4_days": p4_days, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
 
 
 # The sketches are exact while they have compacted nothing, as on the oracle's tables.
