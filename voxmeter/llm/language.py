@@ -32,6 +32,8 @@ PROFILE, LONGEST, SAMPLE = 3000, 4, 2_000
 EVIDENCE = 6
 #: A clause decides for itself from so many words, letters and this lead of the best language.
 OWN_WORDS, OWN_LETTERS, LEAD = 3, 12, 0.04
+#: Characters of text that a worker handles at once.
+PART = 250_000
 #: Words whose n-grams a worker remembers.
 MEMO = 200_000
 
@@ -189,7 +191,7 @@ def fit_profiles(df: DataFrame, id_col: str, text_col: str, lang_col: str, langu
     chosen = labelled.where(F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(1 << 20)) < share * (1 << 20))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _parts(batches):
             words: dict[str, Counter] = {}
             for lang, text in zip(batch["_lang"], batch["_text"]):
                 words.setdefault(lang, Counter()).update(w for c in clauses(text) for w in c.words)
@@ -276,6 +278,14 @@ def _segments(text: str, found: list[Clause], languages: list[int], distances: n
     return out
 
 
+def _parts(batches: Iterator[pd.DataFrame], chars: int = PART) -> Iterator[pd.DataFrame]:
+    """Batches cut into parts of whole texts with about so many characters, which bounds a worker's memory."""
+    for batch in batches:
+        part = np.cumsum([len(t) if t else 1 for t in batch["_text"]]) // chars
+        for at in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(part)) + 1):
+            yield batch.iloc[at]
+
+
 _SEGMENTS = "segments array<struct<start:int,end:int,lang:string,confidence:double,words:int,evidence:int>>"
 
 
@@ -288,7 +298,7 @@ def language_segments(df: DataFrame, id_col: str, text_col: str, keep: Sequence[
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*(col(c) for c in names)).schema.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _parts(batches):
             cut = [clauses(t) if t else [] for t in batch["_text"]]
             distances, held = profiles.distances([c.words for found in cut for c in found])
             rows, at = [], 0
