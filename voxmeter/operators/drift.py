@@ -169,20 +169,17 @@ def flattened(df: DataFrame, payload: str, keep: Sequence[str], depth: int = DEP
     Payloads that don't parse, or aren't objects, give no rows. Objects deeper than depth stay whole.
     """
     names = ", ".join(f"`{c}`" for c in keep)
-    level = df.select(*(col(c) for c in keep), F.length(col(payload)).alias("size"), F.lit("").alias("path"), F.try_parse_json(col(payload)).alias("value"))
-    is_object = "schema_of_variant({0}) LIKE 'OBJECT<%'".format
-    level = level.where(f"value IS NOT NULL AND {is_object('value')}")
-    out = None
+    whole = df.select(*(col(c) for c in keep), F.length(col(payload)).alias("size"), F.try_parse_json(col(payload)).alias("value"))
+    # one pass: each level opens the objects of the one above and keeps what isn't one
+    laterals, keys, values = [], [], ["v.value"]
     for d in range(depth):
-        opened = df.sparkSession.sql(
-            f"SELECT {names}, size, CASE WHEN path = '' THEN e.key ELSE concat(path, '.', e.key) END AS path, e.value AS value "
-            "FROM {level}, LATERAL variant_explode(value) AS e",
-            level=level,
-        )
-        flat = opened if d == depth - 1 else opened.where(f"NOT {is_object('value')}")
-        out = flat if out is None else out.unionByName(flat)
-        level = opened.where(is_object("value"))
-    return out
+        up = values[0]
+        outer = "_outer" if d else ""
+        laterals.append(f"LATERAL variant_explode{outer}(CASE WHEN schema_of_variant({up}) LIKE 'OBJECT<%' THEN {up} END) AS e{d}")
+        keys.append(f"e{d}.key")
+        values.insert(0, f"e{d}.value")
+    query = f"SELECT {names}, size, concat_ws('.', {', '.join(keys)}) AS path, coalesce({', '.join(values[:-1])}) AS value FROM {{whole}} v, {', '.join(laterals)}"
+    return df.sparkSession.sql(query, whole=whole.where("value IS NOT NULL"))
 
 
 def measured(rows: DataFrame) -> DataFrame:

@@ -68,13 +68,13 @@ def calibrations(floor: DataFrame, anchor: DataFrame, voice: str) -> DataFrame:
 
 
 def distribution(x: Column) -> list[Column]:
-    """Mean, median, 5th and 95th percentile (linear), and sample standard deviation."""
+    """Mean, median, 5th and 95th percentile (linear), and sample standard deviation, to six digits."""
     return [
-        F.round(F.avg(x), 9).alias("mean"),
-        F.round(F.percentile(x, F.lit(0.5)), 9).alias("median"),
-        F.round(F.percentile(x, F.lit(0.05)), 9).alias("p05"),
-        F.round(F.percentile(x, F.lit(0.95)), 9).alias("p95"),
-        F.round(F.stddev_samp(x), 9).alias("std"),
+        F.round(F.avg(x), 6).alias("mean"),
+        F.round(F.percentile(x, F.lit(0.5)), 6).alias("median"),
+        F.round(F.percentile(x, F.lit(0.05)), 6).alias("p05"),
+        F.round(F.percentile(x, F.lit(0.95)), 6).alias("p95"),
+        F.round(F.stddev_samp(x), 6).alias("std"),
     ]
 
 

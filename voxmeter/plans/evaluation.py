@@ -468,7 +468,7 @@ def anchor_plan(spark: SparkSession, root: str) -> DataFrame:
     s = table(spark, root, "sources").select("row_id", stats.finite(F.col("prompt_dur")).alias("d"))
     chunk = vectors.anchor_chunk_seconds(F.col("d"))
     hop = vectors.anchor_hop(F.col("d"), chunk)
-    count = F.least(F.lit(8), (F.floor(F.try_divide(F.col("d") - chunk, hop) + 1e-9) + 1).cast("int"))
+    count = F.when(chunk.isNotNull(), F.least(F.lit(8), (F.floor(F.try_divide(F.col("d") - chunk, hop) + 1e-9) + 1).cast("int")))
     return s.select("row_id", F.round(chunk, 6).alias("chunk"), F.when(chunk.isNotNull(), F.round(hop, 6)).alias("hop"), count.alias("n_chunks"))
 
 

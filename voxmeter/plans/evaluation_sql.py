@@ -237,8 +237,8 @@ SELECT asr, NULL::VARCHAR AS lang, subset, subs FROM pool UNION ALL SELECT NULL,
     "sim_floor": _with(REFS, FLOOR, "SELECT * FROM fl"),
     "sim_anchor": _with(REFS, SYNTH, CHUNKS, "SELECT * FROM an"),
     "calibration_table": _with(REFS, SYNTH, FLOOR, CHUNKS, CAL, "SELECT * FROM cal"),
-    "sim_summary": _with(REFS, SYNTH, FLOOR, CHUNKS, CAL, """SELECT label, count(*) AS n_rows, round(avg(sim), 9) AS mean, round(quantile_cont(sim, 0.5), 9) AS median,
-round(quantile_cont(sim, 0.05), 9) AS p05, round(quantile_cont(sim, 0.95), 9) AS p95, round(stddev_samp(sim), 9) AS std,
+    "sim_summary": _with(REFS, SYNTH, FLOOR, CHUNKS, CAL, """SELECT label, count(*) AS n_rows, round(avg(sim), 6) AS mean, round(quantile_cont(sim, 0.5), 6) AS median,
+round(quantile_cont(sim, 0.05), 6) AS p05, round(quantile_cont(sim, 0.95), 6) AS p95, round(stddev_samp(sim), 6) AS std,
 round(avg(CASE WHEN anchor - floor_mean > 0 THEN (sim - floor_mean) / (anchor - floor_mean) END), 6) AS sim_norm_mean,
 round(avg(coalesce(sim < floor_p95, false)::INT::DOUBLE), 9) AS below_floor_p95, max(floor_mean) AS floor_mean, max(anchor) AS anchor
 FROM sims LEFT JOIN cal USING (label) GROUP BY label"""),
@@ -250,10 +250,10 @@ FROM bench b LEFT JOIN human h ON h.lang = b.lang AND h.encoder = 'ecapa' WHERE
 s AS (SELECT vec_id, chunk, v[chunk * 8 + 1 : chunk * 8 + 16] AS w, len(v) AS n FROM c WHERE chunk * 8 + 16 <= len(v))
 SELECT vec_id, chunk::INTEGER AS chunk, len(w)::INTEGER AS n, round({_DOT.format('w', 'w')}, 6) AS energy FROM s""",
     "array_segments": """SELECT vec_id, ((len(embedding) - 15) // 4 + 1)::INTEGER AS n_segments, ceil((len(embedding) - 14) / 4)::INTEGER AS expected,
-round(list_avg(embedding::DOUBLE[][5:19]), 6) AS second_mean FROM embeddings""",
+round(list_avg((embedding::DOUBLE[])[5:19]), 6) AS second_mean FROM embeddings""",
     "power_to_db": """WITH d AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: 10.0::DOUBLE * log10(greatest(x * x, 1e-10::DOUBLE))) AS db FROM embeddings)
 SELECT vec_id, round(greatest(list_min(db) - list_max(db), -80.0::DOUBLE), 6) AS low, 0.0::DOUBLE AS high FROM d""",
-    "masked_pools": """WITH e AS (SELECT vec_id, (vec_id % 64 + 1)::INTEGER AS valid, embedding::DOUBLE[][1:(vec_id % 64 + 1)] AS v FROM embeddings)
+    "masked_pools": """WITH e AS (SELECT vec_id, (vec_id % 64 + 1)::INTEGER AS valid, (embedding::DOUBLE[])[1:(vec_id % 64 + 1)] AS v FROM embeddings)
 SELECT vec_id, valid, round(list_avg(v), 6) AS mean, round(list_max(v), 6) AS top,
 round(list_sum(list_transform(v, lambda x: x * exp(x - list_max(v)))) / list_sum(list_transform(v, lambda x: exp(x - list_max(v)))), 6) AS attended FROM e""",
     "anchor_plan": f"""WITH s AS (SELECT row_id, {_D} AS d FROM sources), c AS (SELECT row_id, d, {_CHUNK} AS chunk FROM s),
@@ -265,5 +265,7 @@ CASE WHEN chunk IS NULL THEN NULL ELSE least(8, (floor((d - chunk) / hop + 1e-9)
     "json_roundtrip": _with(POOL, "SELECT subset, asr, count(*) FILTER (NOT missing) AS n_scored, count(*) FILTER (missing) AS n_missing FROM pool GROUP BY subset, asr"),
     "subset_names": "SELECT DISTINCT subset, split_part(subset, '__', 1) AS lang, split_part(subset, '__', 2) AS voice FROM asr",
     "admitted_subsets": "SELECT DISTINCT subset, split_part(subset, '__', 1) AS lang, split_part(subset, '__', 2) AS voice FROM asr WHERE subset <> 'nl-NL__femke_veen_f'",
-    "score_invariants": "SELECT row_id, true AS balanced, true AS at_least FROM asr WHERE false",
+    "score_invariants": f"""WITH e AS ({_coded('word')}), p AS (SELECT DISTINCT row_id, subs, dels, ins, n_ref_words, hyp_norm FROM asr WHERE NOT missing),
+b AS (SELECT row_id, dels - ins = n_ref_words - len(list_filter(string_split(coalesce(hyp_norm, ''), ' '), lambda w: w <> '')) AS balanced, subs + dels + ins >= errors AS at_least FROM p JOIN e USING (row_id))
+SELECT * FROM b WHERE NOT balanced OR NOT at_least""",
 }
