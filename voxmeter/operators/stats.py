@@ -76,20 +76,35 @@ def cluster_sums(rows: DataFrame, keys: Sequence[str], cluster: str, sums: dict[
 def draw_hash(rep: Column, draw: Column, seed: int = SEED) -> Column:
     """A number in 0..MODULUS-1 that depends on seed, replicate and draw alone."""
     h = (F.lit(seed).cast("long") + (rep + 1) * STEP_REP % MODULUS + (draw + 1) * STEP_DRAW % MODULUS) % MODULUS
-    for _ in range(3):
+    for _ in range(2):
         h = (h * h % MODULUS * MIX + ADD) % MODULUS
     return h
 
 
 def resamples(clusters: DataFrame, keys: Sequence[str], names: Sequence[str], replicates: int = REPLICATES, seed: int = SEED) -> DataFrame:
     """(keys..., rep, sums...): the sums of each replicate's drawn clusters."""
-    draws = clusters.select(*(col(k) for k in keys), F.col("_idx").alias("_draw"), "_k", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    draws = draws.select(*(col(k).alias(f"_d_{k}") for k in keys), "rep", (draw_hash(F.col("rep").cast("long"), F.col("_draw"), seed) % F.col("_k")).alias("_pick"))
-    side = broadcast_if_small(clusters.select(*(col(k) for k in keys), "_idx", *names))
-    on = draws["_pick"] == side["_idx"]
-    for k in keys:
-        on = on & col(f"_d_{k}").eqNullSafe(side[k])
-    return draws.join(side, on).groupBy(*(col(k) for k in keys), "rep").agg(*(F.sum(n).alias(n) for n in names))
+    # groups and clusters are numbered through, so that a draw is one number and a replicate of a group another; the
+    # window holds one row per group
+    groups = clusters.groupBy(*(col(k) for k in keys)).agg(F.count(F.lit(1)).alias("_size"))
+    over = Window.orderBy(*(col(k) for k in keys)) if keys else Window.orderBy(F.lit(0))
+    groups = groups.select(
+        *(col(k) for k in keys), (F.row_number().over(over) - 1).cast("long").alias("_g"),
+        F.coalesce(F.sum("_size").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_from"),
+    )
+    numbered = joined(clusters, broadcast_if_small(groups), keys) if keys else clusters.withColumns({"_g": F.lit(0).cast("long"), "_from": F.lit(0).cast("long")})
+    # a fixed number of partitions: few small rows become many draws, which size-based coalescing can't foresee
+    width = max(int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions")), clusters.sparkSession.sparkContext.defaultParallelism)
+    spread = numbered.select("_g", "_from", "_idx", "_k").repartition(width, "_g", "_idx")
+    draws = spread.select("_g", "_from", F.col("_idx").alias("_draw"), "_k", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
+    draws = draws.select(
+        (F.col("_g") * replicates + F.col("rep")).alias("_gr"), (F.col("_from") + draw_hash(F.col("rep").cast("long"), F.col("_draw"), seed) % F.col("_k")).alias("_pick")
+    )
+    side = broadcast_if_small(numbered.select((F.col("_from") + F.col("_idx")).alias("_at"), *names))
+    sums = draws.join(side, F.col("_pick") == F.col("_at")).groupBy("_gr").agg(*(F.sum(n).alias(n) for n in names))
+    sums = sums.select(F.floor(F.col("_gr") / replicates).alias("_h"), (F.col("_gr") % replicates).cast("int").alias("rep"), *names)
+    if not keys:
+        return sums.drop("_h")
+    return sums.join(broadcast_if_small(groups), F.col("_h") == F.col("_g")).select(*(col(k) for k in keys), "rep", *names)
 
 
 def _interval(value: Column, confidence: float) -> list[Column]:

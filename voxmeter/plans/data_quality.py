@@ -104,15 +104,15 @@ _LAYOUTS = {
 
 def _p5() -> str:
     seen = " UNION ALL ".join(
-        f"SELECT file_id, '{f}' AS field, '{p}' AS path, json_type(payload, '{p}') AS kind FROM ok WHERE json_type(payload, '{p}') IS NOT NULL" for f, ps in _LAYOUTS.items() for p in ps
+        f"SELECT file_id, '{f}' AS field, '{p}' AS path, json_type(payload, '{p}') AS kind FROM okay WHERE json_type(payload, '{p}') IS NOT NULL" for f, ps in _LAYOUTS.items() for p in ps
     )
-    return f"""WITH ok AS (SELECT file_id, payload FROM synthesis_raw WHERE json_valid(payload)), seen AS ({seen}),
+    return f"""WITH okay AS (SELECT file_id, payload FROM synthesis_raw WHERE json_valid(payload)), seen AS ({seen}),
 per AS (SELECT file_id, field, path, CASE kind WHEN 'VARCHAR' THEN 'text' WHEN 'ARRAY' THEN 'list' ELSE 'number' END AS kind, count(*) AS n
         FROM seen WHERE kind NOT IN ('NULL', 'OBJECT') GROUP BY ALL),
 carrier AS (SELECT file_id, field, arg_max(path, n) AS path, arg_max(kind, n) AS kind FROM per GROUP BY file_id, field),
-files AS (SELECT file_id, min(stream) AS stream, min(produced_at) AS at FROM synthesis_raw GROUP BY file_id),
-steps AS (SELECT file_id, lag(file_id) OVER (PARTITION BY stream ORDER BY at, file_id) AS prev FROM files),
-grid AS (SELECT file_id, prev, f.field FROM steps, (SELECT DISTINCT field FROM carrier) f WHERE prev IS NOT NULL),
+files AS (SELECT file_id, min(stream) AS stream, min(produced_at) AS produced FROM synthesis_raw GROUP BY file_id),
+steps AS (SELECT file_id, lag(file_id) OVER (PARTITION BY stream ORDER BY produced, file_id) AS prev FROM files),
+grid AS (SELECT s.file_id, s.prev, f.field FROM steps s CROSS JOIN (SELECT DISTINCT field FROM carrier) f WHERE prev IS NOT NULL),
 cmp AS (SELECT g.file_id, g.field, n.path AS np, n.kind AS nk, o.path AS op, o.kind AS okind FROM grid g
          LEFT JOIN carrier n ON n.file_id = g.file_id AND n.field = g.field LEFT JOIN carrier o ON o.file_id = g.prev AND o.field = g.field)
 SELECT file_id, field, 'added' AS change FROM cmp WHERE np IS NOT NULL AND op IS NULL

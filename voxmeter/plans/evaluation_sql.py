@@ -83,13 +83,13 @@ def _boot(name: str, rows: str, keys: list[str], cluster: str, sums: dict[str, s
     by = f"PARTITION BY {', '.join(keys)}" if keys else ""
     on = " AND ".join(["d.pick = c.idx", *(f"d.{k} IS NOT DISTINCT FROM c.{k}" for k in keys)])
     h = "(20260725 + (rep + 1) * 1103515245 % 2147483647 + (idx + 1) * 69069 % 2147483647) % 2147483647"
-    mixes = "".join(f", ({'h' + str(i)} * {'h' + str(i)} % 2147483647 * 48271 + 11) % 2147483647 AS h{i + 1}" for i in range(3))
+    mixes = "".join(f", ({'h' + str(i)} * {'h' + str(i)} % 2147483647 * 48271 + 11) % 2147483647 AS h{i + 1}" for i in range(2))
     sums_sql = ", ".join(f"sum(({e})::DOUBLE) AS {n}" for n, e in sums.items())
     notnull = " AND ".join(f"({e}) IS NOT NULL" for e in sums.values())
     out = ", ".join(f"sum({n}) AS {n}" for n in sums)
     return f"""{name}_p AS (SELECT {ks}{cluster} AS cl, {sums_sql} FROM {rows} WHERE {cluster} IS NOT NULL AND {notnull} GROUP BY {ks}cl),
 {name}_c AS (SELECT *, row_number() OVER ({by} ORDER BY cl) - 1 AS idx, count(*) OVER ({by}) AS k FROM {name}_p),
-{name}_d AS (SELECT {ks}rep, h3 % k AS pick FROM (SELECT *, {h} AS h0{mixes} FROM {name}_c, range({replicates}) AS t(rep))),
+{name}_d AS (SELECT {ks}rep, h2 % k AS pick FROM (SELECT *, {h} AS h0{mixes} FROM {name}_c, range({replicates}) AS t(rep))),
 {name}_r AS (SELECT {''.join(f'd.{k}, ' for k in keys)}rep, {out} FROM {name}_d d JOIN {name}_c c ON {on} GROUP BY {''.join(f'd.{k}, ' for k in keys)}rep)"""
 
 
