@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import broadcast_if_small, col
+from ..runtime import broadcast_if_small, col, width
 
 REPLICATES, CONFIDENCE, SEED = 2000, 0.95, 20260725
 CATASTROPHIC = 0.5
@@ -92,9 +92,7 @@ def resamples(clusters: DataFrame, keys: Sequence[str], names: Sequence[str], re
         F.coalesce(F.sum("_size").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_from"),
     )
     numbered = joined(clusters, broadcast_if_small(groups), keys) if keys else clusters.withColumns({"_g": F.lit(0).cast("long"), "_from": F.lit(0).cast("long")})
-    # a fixed number of partitions: few small rows become many draws, which size-based coalescing can't foresee
-    width = max(int(clusters.sparkSession.conf.get("spark.sql.shuffle.partitions")), clusters.sparkSession.sparkContext.defaultParallelism)
-    spread = numbered.select("_g", "_from", "_idx", "_k").repartition(width, "_g", "_idx")
+    spread = numbered.select("_g", "_from", "_idx", "_k").repartition(width(clusters.sparkSession), "_g", "_idx")
     draws = spread.select("_g", "_from", F.col("_idx").alias("_draw"), "_k", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
     draws = draws.select(
         (F.col("_g") * replicates + F.col("rep")).alias("_gr"), (F.col("_from") + draw_hash(F.col("rep").cast("long"), F.col("_draw"), seed) % F.col("_k")).alias("_pick")

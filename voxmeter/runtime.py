@@ -63,6 +63,11 @@ def col(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def width(spark: SparkSession) -> int:
+    """Partitions for rows that grow after their shuffle: size-based coalescing can't foresee that."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def spread(scan: DataFrame) -> DataFrame:
     """A scan of at least as many partitions as there are cores, for row-wise maps in Python; larger scans as they are."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
