@@ -17,7 +17,7 @@ from functools import cache
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..runtime import col
+from ..runtime import col, width
 
 # Letters of other scripts and phonetic letters, each with its plain Latin look-alike.
 LATIN_LOOKALIKES = (
@@ -202,7 +202,7 @@ def canonical_suspects(rows: DataFrame) -> DataFrame:
 
     The rows are placed by (_src, _id) once; all windows and groups below find them there.
     """
-    placed = rows.select("_src", "_id", "_text", "_cyr").repartition("_src", "_id").dropDuplicates(["_src", "_id", "_text", "_cyr"])
+    placed = rows.select("_src", "_id", "_text", "_cyr").repartition(width(rows.sparkSession), "_src", "_id").dropDuplicates(["_src", "_id", "_text", "_cyr"])
     placed = placed.withColumn("_k", F.row_number().over(Window.partitionBy("_src", "_id").orderBy("_text", "_cyr")))
     marked = F.col("_text").rlike("\\p{M}")
     return _rebuilt(placed.where(~marked), False).unionByName(_rebuilt(placed.where(marked), True)).drop("_k")
