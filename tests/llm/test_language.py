@@ -45,7 +45,7 @@ def test_found(spark, profiles):
 
 
 def test_clauses():
-    found = g.clauses("A: Hello, big world! [00:03] x=1 kam_1.wav 12 voices wer=0.2\nnext line – and a dash")
+    found = g.clauses("A: Hello, big world! [00:03] x=1 kam_1.wav 12 voices wer=0.2\nNext line – and a dash")
     assert [c.words for c in found] == [["hello"], ["big", "world"], ["voices"], ["next", "line"], ["and", "a", "dash"]]
     assert [c.counted for c in found] == [1, 2, 2, 2, 3]
     assert g.clauses("") == [] and g.clauses(" \n ") == []

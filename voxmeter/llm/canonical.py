@@ -155,10 +155,12 @@ def _fold(cluster: Column) -> Column:
         # a mark composes unless one of the same class stands between it and the starter
         free = (x["ccc"] > 0) & ((acc["last"] == 0) | (acc["last"] < x["ccc"]))
         composed = F.when(free, F.try_element_at(table, F.concat(acc["head"], x["new"])))
+        # what has become invisible belongs to the cluster before it and changes nothing
+        stays = (x["ccc"] == 0) | composed.isNotNull()
         return F.struct(
-            F.when(x["ccc"] == 0, x["new"]).otherwise(F.coalesce(composed, acc["head"])).alias("head"),
-            F.when((x["ccc"] == 0) | composed.isNotNull(), acc["rest"]).otherwise(F.concat(acc["rest"], x["new"])).alias("rest"),
-            F.when((x["ccc"] == 0) | composed.isNotNull(), acc["last"]).otherwise(x["ccc"]).alias("last"),
+            F.when(x["ccc"] == 0, F.concat(acc["head"], x["new"])).otherwise(F.coalesce(composed, acc["head"])).alias("head"),
+            F.when(stays, acc["rest"]).otherwise(F.concat(acc["rest"], x["new"])).alias("rest"),
+            F.when(stays, acc["last"]).otherwise(x["ccc"]).alias("last"),
         )
 
     start = F.struct(F.lit("").alias("head"), F.lit("").alias("rest"), F.lit(0).alias("last"))
@@ -167,7 +169,7 @@ def _fold(cluster: Column) -> Column:
 
 
 def _rebuilt(placed: DataFrame, marks: bool) -> DataFrame:
-    """Canonical forms of texts placed by (_src, _id); marks: whether combining marks have to be ordered and composed."""
+    """Canonical forms of texts placed by _id; marks: whether combining marks have to be ordered and composed."""
     key = ["_src", "_id", "_k"]
     points = placed.select(*key, "_cyr", "_text", F.posexplode(F.split("_text", "")).alias("_pos", "ch")).where("ch <> ''")
     mapped = points.join(F.broadcast(mapping_table(placed.sparkSession)), "ch", "left").select(
@@ -200,9 +202,9 @@ def _rebuilt(placed: DataFrame, marks: bool) -> DataFrame:
 def canonical_suspects(rows: DataFrame) -> DataFrame:
     """(_src, _id, _text, _cyr) in, (_src, _id, _text, _canonical) out, one row per distinct row of the input.
 
-    The rows are placed by (_src, _id) once; all windows and groups below find them there.
+    The rows are placed by _id once; all windows and groups below find them there.
     """
-    placed = rows.select("_src", "_id", "_text", "_cyr").repartition(width(rows.sparkSession), "_src", "_id").dropDuplicates(["_src", "_id", "_text", "_cyr"])
+    placed = rows.select("_src", "_id", "_text", "_cyr").repartition(width(rows.sparkSession), "_id").dropDuplicates(["_src", "_id", "_text", "_cyr"])
     placed = placed.withColumn("_k", F.row_number().over(Window.partitionBy("_src", "_id").orderBy("_text", "_cyr")))
     marked = F.col("_text").rlike("\\p{M}")
     return _rebuilt(placed.where(~marked), False).unionByName(_rebuilt(placed.where(marked), True)).drop("_k")

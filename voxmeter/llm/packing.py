@@ -27,7 +27,9 @@ from ..runtime import broadcast_if_small, checkpointed, col
 
 CAPACITY = 2048
 #: Prices of a round of the linear program for each length, and rounds of solving and rounding.
-ITERATIONS, ROUNDS = 4, 4
+ITERATIONS, ROUNDS = 8, 4
+#: How much more a long item counts than its length, so that the short ones, which fit anywhere, are left for later.
+LONG = 0.02
 #: Lengths that one price looks at: the least covered ones, and some evenly spread over all.
 NEEDY, SPREAD = 48, 24
 #: Share of the capacity that a combination must fill to be used.
@@ -75,7 +77,7 @@ def configuration_lp(sizes: np.ndarray, amounts: np.ndarray, capacity: int, iter
     """Combinations and fractional uses of each, covering no size more than once over.
 
     The weight of a size starts at its share of the capacity, the dual price of a container without waste, and falls
-    with exp(-eta * covered share). Each step uses the best combination as far as half of its scarcest size. A price
+    with exp(-eta * covered share). Each step uses the best combination as far as a quarter of its scarcest size. A price
     looks at a part of the sizes, so it is the best among them; the method needs no more than good prices.
     """
     covered = np.zeros(len(sizes))
@@ -87,9 +89,9 @@ def configuration_lp(sizes: np.ndarray, amounts: np.ndarray, capacity: int, iter
         need = np.exp(-eta * covered / amounts)
         look = _candidates(open_, need, turn)
         counts = np.zeros(len(sizes), np.int64)
-        counts[look] = knapsack(sizes[look], sizes[look] / capacity * need[look], amounts[look], capacity)
+        counts[look] = knapsack(sizes[look], sizes[look] / capacity * (1 + LONG * sizes[look] / capacity) * need[look], amounts[look], capacity)
         on = counts > 0
-        step = min(max(1.0, (amounts[on] / counts[on]).min() / 2), ((amounts - covered)[on] / counts[on]).min())
+        step = min((amounts[on] / counts[on]).min() / 4, ((amounts - covered)[on] / counts[on]).min())
         uses.setdefault(counts.tobytes(), [counts, 0.0])[1] += step
         covered += step * counts
         covered[amounts - covered < 1e-9] = amounts[amounts - covered < 1e-9]
