@@ -46,7 +46,7 @@ _ENDS = re.compile(r"[.!?…]")
 
 def _bare(word: str) -> str:
     """A word in lower case, composed, without invisible characters."""
-    if word.isascii():
+    if word.isascii() or word.isalpha() and unicodedata.is_normalized("NFC", word):
         return word.lower()
     return "".join(c for c in unicodedata.normalize("NFC", word).lower() if unicodedata.category(c) != "Cf")
 
@@ -57,7 +57,7 @@ def _is_word(word: str) -> bool:
 
 def _repeats(a: str | None, b: str) -> bool:
     """Whether b is a again, but for a slip or two in a longer word."""
-    if a is None or a == b or len(b) < 5 or abs(len(a) - len(b)) > 2:
+    if a is None or a == b or len(b) < 5 or a[0] != b[0] and a[-1] != b[-1] or abs(len(a) - len(b)) > 2:
         return a == b
     x, y = set(a), set(b)
     return len(x & y) >= 0.7 * len(x | y)
@@ -85,6 +85,19 @@ def clauses(text: str) -> list[Clause]:
         if token == "\n":
             line_start = True
             continue
+        if not line_start and token.isalpha():
+            # a bare word, the common case
+            low = _bare(token)
+            if fresh or not out:
+                out.append(Clause(m.start(), m.end(), sentence))
+                fresh, last = False, None
+            clause = out[-1]
+            clause.end = m.end()
+            if not _repeats(last, low):
+                clause.counted += 1
+                clause.words.append(low)
+            last, ended = low, False
+            continue
         core = _CORE.search(token)
         before, after = (token[: core.start()], token[core.end() :]) if core else (token, token)
         word = core[0] if core else ""
