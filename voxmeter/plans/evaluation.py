@@ -43,7 +43,8 @@ def with_benchmark(rows: DataFrame, bench: DataFrame, columns: list[str], how: s
     return rows.join(side, rows["utt"] == side["_utt"], how).drop("_utt")
 
 
-WER_ERR: Column = F.col("subs") + F.col("dels") + F.col("ins")
+def word_edits() -> Column:
+    return F.col("subs") + F.col("dels") + F.col("ins")
 
 
 def scored(spark: SparkSession, root: str) -> DataFrame:
@@ -109,7 +110,7 @@ def score_invariants(spark: SparkSession, root: str) -> DataFrame:
     """Rows whose stored counts break D - I = n_ref - n_hyp or S + D + I >= the edit distance; none are expected."""
     p = pool(spark, root).where("NOT missing").withColumn("least", scoring.word_errors_short(F.col("ref_norm"), F.col("hyp_norm")))
     balance = F.col("dels") - F.col("ins") == F.col("n_ref_words") - scoring.word_count(F.col("hyp_norm"))
-    return p.select("row_id", balance.alias("balanced"), (WER_ERR >= F.col("least")).alias("at_least")).where("NOT balanced OR NOT at_least")
+    return p.select("row_id", balance.alias("balanced"), (word_edits() >= F.col("least")).alias("at_least")).where("NOT balanced OR NOT at_least")
 
 
 # --- rates -------------------------------------------------------------------------------------------------------
@@ -128,18 +129,18 @@ def rates_by_len(spark: SparkSession, root: str) -> DataFrame:
 
 
 def cluster_bootstrap_wer(spark: SparkSession, root: str) -> DataFrame:
-    return stats.cluster_bootstrap(scored(spark, root), ["lang", "asr"], "speaker_id", WER_ERR, F.col("n_ref_words"))
+    return stats.cluster_bootstrap(scored(spark, root), ["lang", "asr"], "speaker_id", word_edits(), F.col("n_ref_words"))
 
 
 def bootstrap_macro(spark: SparkSession, root: str) -> DataFrame:
     """Intervals of the macro rate: a mean is the ratio of a sum and a count. Per-row rates are summed to nine digits."""
-    rows = scored(spark, root).where("n_ref_words > 0").withColumn("_rate", F.round(WER_ERR / F.col("n_ref_words"), 9).cast("decimal(20,9)"))
+    rows = scored(spark, root).where("n_ref_words > 0").withColumn("_rate", F.round(word_edits() / F.col("n_ref_words"), 9).cast("decimal(20,9)"))
     return stats.cluster_bootstrap(rows, ["lang"], "speaker_id", F.col("_rate"), F.lit(1))
 
 
 def bootstrap_catastrophic(spark: SparkSession, root: str) -> DataFrame:
     rows = scored(spark, root).where("n_ref_words > 0")
-    return stats.cluster_bootstrap(rows, ["lang"], "speaker_id", (WER_ERR / F.col("n_ref_words") > stats.CATASTROPHIC).cast("int"), F.lit(1))
+    return stats.cluster_bootstrap(rows, ["lang"], "speaker_id", (word_edits() / F.col("n_ref_words") > stats.CATASTROPHIC).cast("int"), F.lit(1))
 
 
 def _anchor(column: int) -> Column:
@@ -154,7 +155,7 @@ def anchored(spark: SparkSession, root: str) -> DataFrame:
 
 
 def paired_bootstrap_anchor(spark: SparkSession, root: str) -> DataFrame:
-    return stats.paired_bootstrap(anchored(spark, root), ["lang", "asr"], "speaker_id", (WER_ERR, F.col("n_ref_words")), (F.col("h_err"), F.col("h_n")))
+    return stats.paired_bootstrap(anchored(spark, root), ["lang", "asr"], "speaker_id", (word_edits(), F.col("n_ref_words")), (F.col("h_err"), F.col("h_n")))
 
 
 def anchor_rates(spark: SparkSession, root: str) -> DataFrame:
@@ -169,8 +170,8 @@ def intelligibility(spark: SparkSession, root: str) -> DataFrame:
     """One row per subset and recogniser: rates, interval, and the paired difference to the human anchor."""
     keys = ["subset", "asr"]
     summary = stats.error_summary(pool(spark, root), keys)
-    band = stats.cluster_bootstrap(scored(spark, root), keys, "speaker_id", WER_ERR, F.col("n_ref_words")).select(*keys, F.col("lo").alias("wer_lo"), F.col("hi").alias("wer_hi"))
-    pair = stats.paired_bootstrap(anchored(spark, root), keys, "speaker_id", (WER_ERR, F.col("n_ref_words")), (F.col("h_err"), F.col("h_n")))
+    band = stats.cluster_bootstrap(scored(spark, root), keys, "speaker_id", word_edits(), F.col("n_ref_words")).select(*keys, F.col("lo").alias("wer_lo"), F.col("hi").alias("wer_hi"))
+    pair = stats.paired_bootstrap(anchored(spark, root), keys, "speaker_id", (word_edits(), F.col("n_ref_words")), (F.col("h_err"), F.col("h_n")))
     pair = pair.select(*keys, F.col("rate_b").alias("anchor_wer"), "delta", F.col("lo").alias("delta_lo"), F.col("hi").alias("delta_hi"), "p_a_better")
     out = stats.joined(stats.joined(summary, band, keys, "left"), pair, keys, "left")
     # an interval needs more than one scored row
@@ -179,7 +180,7 @@ def intelligibility(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, root: str) -> DataFrame:
-    rows = scored(spark, root).where("utt IS NOT NULL").select("subset", "utt", "asr", "speaker_id", "hyp_norm", WER_ERR.alias("err"), F.col("n_ref_words").alias("n"))
+    rows = scored(spark, root).where("utt IS NOT NULL").select("subset", "utt", "asr", "speaker_id", "hyp_norm", word_edits().alias("err"), F.col("n_ref_words").alias("n"))
     a, b = rows.alias("a"), rows.alias("b")
     on = (F.col("a.subset") == F.col("b.subset")) & (F.col("a.utt") == F.col("b.utt")) & (F.col("a.asr") < F.col("b.asr"))
     return a.join(b, on).select(
@@ -208,13 +209,14 @@ def _durations(spark: SparkSession, root: str) -> DataFrame:
     return rows.withColumns({"synth_dur": own, "ratio": F.when(gt > 0, F.try_divide(own, gt))})
 
 
-_PRIMARY_ASR = F.coalesce(*(F.when(F.col("lang") == k, v) for k, v in PRIMARY.items()))
+def primary_recogniser() -> Column:
+    return F.coalesce(*(F.when(F.col("lang") == k, v) for k, v in PRIMARY.items()))
 
 
 def failures(spark: SparkSession, root: str) -> DataFrame:
     """What a mean hides, by subset and for the language's headline recogniser."""
-    rows = _durations(spark, root).where(F.col("asr") == _PRIMARY_ASR)
-    own = F.when(~F.col("missing"), F.try_divide(WER_ERR.cast("double"), F.col("n_ref_words").cast("double")))
+    rows = _durations(spark, root).where(F.col("asr") == primary_recogniser())
+    own = F.when(~F.col("missing"), F.try_divide(word_edits().cast("double"), F.col("n_ref_words").cast("double")))
     ratio = F.when(~F.col("missing"), F.col("ratio"))
     present = ~F.col("missing")
     return rows.groupBy("subset", "lang", "voice", "asr").agg(
