@@ -52,6 +52,24 @@ def test_clauses():
     assert g.clauses("theater theater theatre Theater play")[0].words == ["theater", "play"]
 
 
+@pytest.mark.parametrize("pair", ["sintética necesita", "coat cannot", "tarde durante", "puerto porque", "porto perto", "vorige vroeg", "кабары акыркы", "their three", "калып калды калың"])
+def test_different_words_count_as_two(pair):
+    clause = g.clauses("w " + pair + " x")[0]
+    assert clause.words == ["w", *pair.split(), "x"] and clause.counted == 2 + len(pair.split())
+
+
+def test_mistyped_runs_count_once():
+    for run in ("teacher techer teachr", "plat plant plant plant", "barco barco baco barco brco barco", "tacher teacher teaher teacher"):
+        clause = g.clauses(f"a {run} b")[0]
+        assert clause.words == ["a", run.split()[0], "b"] and clause.counted == 3
+
+
+def test_near_words_are_evidence(spark, profiles):
+    """Six words, two of them alike, are enough for a text to be written in a language."""
+    segmented = g.language_segments(documents(spark, [("El puerto porque el tren espera.", "en")]), "doc_id", "text", ["lang"], profiles)
+    assert [(r["doc_id"], r["lang"]) for r in g.unnamed_languages(segmented, "doc_id", "lang").collect()] == [(0, "es")]
+
+
 def test_out_of_place_distance():
     p = g.Profiles({"a": ["x", "y", "z"], "b": ["z", "y", "w"]}, size=3, longest=1)
     d, n = p.distances([["xy"], [], ["q"]])

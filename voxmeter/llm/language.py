@@ -17,6 +17,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -55,12 +56,29 @@ def _is_word(word: str) -> bool:
     return bool(word) and all(c.isalpha() or c in "'’-" for c in word)
 
 
-def _repeats(a: str | None, b: str) -> bool:
-    """Whether b is a again, but for a slip or two in a longer word."""
-    if a is None or a == b or len(b) < 5 or a[0] != b[0] and a[-1] != b[-1] or abs(len(a) - len(b)) > 2:
-        return a == b
-    x, y = set(a), set(b)
-    return len(x & y) >= 0.7 * len(x | y)
+def _edits(a: str, b: str) -> int:
+    """Letters to insert, delete, replace or swap with their neighbour to get from a to b."""
+    older: list[int] = []
+    old = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            least = min(row[-1] + 1, old[j] + 1, old[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                least = min(least, older[j - 2] + 1)
+            row.append(least)
+        older, old = old, row
+    return old[-1]
+
+
+@lru_cache(MEMO)
+def _slip(a: str, b: str) -> bool:
+    """Whether two different words may be one, mistyped: one slip apart, two from eight letters on."""
+    n, m = len(a), len(b)
+    slips = 1 if max(n, m) < 8 else 2
+    if min(n, m) < 4 or max(n, m) < 5 or a[0] != b[0] and a[-1] != b[-1] or abs(n - m) > slips or len(set(a) ^ set(b)) > 2 * slips:
+        return False
+    return _edits(a, b) <= slips
 
 
 @dataclass
@@ -72,14 +90,51 @@ class Clause:
     counted: int = 0
 
 
+class _Run:
+    """One word over and over: the same twice in a row, or three in a row that are a slip apart, long ones two.
+
+    Two different words are two words, however near, as long as no third one follows.
+    """
+
+    __slots__ = ("name", "last", "tokens", "extra")
+
+    def __init__(self) -> None:
+        self.name = self.last = ""
+        self.tokens = self.extra = 0
+
+    def add(self, clause: Clause, word: str, is_word: bool = True) -> None:
+        """Counts a word of the clause unless it continues a run."""
+        if word != self.last and not (self.tokens and (_slip(self.last, word) or self.name is not self.last and (word == self.name or _slip(self.name, word)))):
+            self.name, self.tokens, self.extra = word, 1, 0
+        elif word == self.last or self.tokens > 1:
+            self.tokens += 1
+            if self.extra:
+                # the second word was counted before this was known to be a run
+                clause.counted -= 1
+                clause.words.pop()
+                self.extra = 0
+            if word == self.last:
+                # what is written twice is the word, the first one may be mistyped
+                self.name = word
+            self.last = word
+            return
+        else:
+            self.tokens, self.extra = 2, 1
+        self.last = word
+        clause.counted += 1
+        if is_word:
+            clause.words.append(word)
+
+
 def clauses(text: str) -> list[Clause]:
     """Clauses in order, with offsets in text, the words that count for the profile, and all that count as words.
 
     Tokens with digits among other signs are codes and no words; a plain number counts but says nothing. A word's
-    immediate repetitions, mistyped ones too, count once. A single letter before a colon at a line's start is a speaker.
+    immediate repetitions count once, with the mistyped ones in a run of it. A single letter before a colon at a line's start is a speaker.
     """
     out: list[Clause] = []
-    sentence, fresh, last, ended, line_start = 0, True, None, True, True
+    run = _Run()
+    sentence, fresh, ended, line_start = 0, True, True, True
     for m in _TOKEN.finditer(text):
         token = m[0]
         if token == "\n":
@@ -90,13 +145,11 @@ def clauses(text: str) -> list[Clause]:
             low = _bare(token)
             if fresh or not out:
                 out.append(Clause(m.start(), m.end(), sentence))
-                fresh, last = False, None
+                fresh, run = False, _Run()
             clause = out[-1]
             clause.end = m.end()
-            if not _repeats(last, low):
-                clause.counted += 1
-                clause.words.append(low)
-            last, ended = low, False
+            run.add(clause, low)
+            ended = False
             continue
         core = _CORE.search(token)
         before, after = (token[: core.start()], token[core.end() :]) if core else (token, token)
@@ -112,14 +165,10 @@ def clauses(text: str) -> list[Clause]:
         if (is_word or word.isdigit() and len(word) <= 4 and token.strip(".,;:!?…()“”«»\"") == word) and not speaker:
             if fresh or not out:
                 out.append(Clause(m.start() + len(before), m.end(), sentence))
-                fresh, last = False, None
+                fresh, run = False, _Run()
             clause = out[-1]
             clause.end = m.end() - len(after)
-            if not _repeats(last, low):
-                clause.counted += 1
-                if is_word:
-                    clause.words.append(low)
-            last = low
+            run.add(clause, low, is_word)
         if core:
             ended = bool(_ENDS.search(after))
             if ended:
