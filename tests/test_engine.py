@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from voxmeter import config, infer
 from voxmeter.cache import ResultCache, Unit, fingerprint
 from voxmeter.operators import similarity, stats
+from voxmeter.plans import evaluation
 from voxmeter.sources import discovery, sinks
 from voxmeter.streaming import incremental
 
@@ -141,3 +142,14 @@ def test_stream_equals_batch(spark, tmp_path):
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     want = sorted(tuple(r) for r in incremental.windowed_rates(df).collect())
     assert got == want and len(got) == 4
+
+
+def test_word_errors_of_pairs_with_many_distinct_words(spark, tmp_path):
+    """The queries, too, score pairs of more distinct words than the alphabet of the short way has."""
+    many = [f"w{i}" for i in range(5000)]
+    ref, hyp = " ".join(many), " ".join(["new", *many[1:10], *many[12:], "end"])
+    rows = [(1, ref, hyp, 1, 2, 1, 5000), (2, ref, hyp, 0, 1, 0, 5000), (3, None, ref, 0, 0, 5000, 0), (4, "a b", "a c", 1, 0, 0, 2), (5, None, ref, 0, 0, 4999, 0)]
+    df = spark.createDataFrame([(*r, False) for r in rows], "row_id long, ref_norm string, hyp_norm string, subs long, dels long, ins long, n_ref_words long, missing boolean")
+    df.write.parquet(str(tmp_path / "asr.parquet"))
+    assert {r["row_id"]: r["errors"] for r in evaluation.word_errors(spark, str(tmp_path)).collect()} == {1: 4, 2: 4, 3: 5000, 4: 1, 5: 5000}
+    assert sorted(tuple(r) for r in evaluation.score_invariants(spark, str(tmp_path)).collect()) == [(2, True, False), (5, False, False)]

@@ -30,20 +30,20 @@ def word_errors(ref: Column, hyp: Column) -> Column:
     """Least number of substituted, deleted and inserted words.
 
     Each distinct word of the pair becomes one code point, so the built-in edit distance of strings counts words. Pairs
-    of more distinct words than the alphabet has go through the aligner's Python function.
+    of more distinct words than the alphabet has go through a Python function that holds one row of the table.
     """
     r, h = words(ref), words(hyp)
     vocabulary = F.array_distinct(F.concat(r, h))
-    fits = F.size(vocabulary) <= len(ALPHABET)
-    long_ = alignment(F.when(~fits, ref), F.when(~fits, hyp))
-    return F.when(fits, F.levenshtein(_coded(r, vocabulary), _coded(h, vocabulary))).otherwise(long_["subs"] + long_["dels"] + long_["ins"]).cast("long")
+    # texts of so few letters fit whatever their words, which spares most pairs the second look at their vocabulary
+    short = F.coalesce(F.length(ref), F.lit(0)) + F.coalesce(F.length(hyp), F.lit(0)) <= 2 * len(ALPHABET) - 2
+    fits = short | (F.size(vocabulary) <= len(ALPHABET))
 
+    @F.pandas_udf("long")
+    def long_(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for refs, hyps in parts:
+            yield pd.Series([None if a is None else least_edits(list(a), list(b)) for a, b in zip(refs, hyps)], dtype="Int64")
 
-def word_errors_short(ref: Column, hyp: Column) -> Column:
-    """word_errors() for pairs that are known to have no more distinct words than the alphabet; null for others."""
-    r, h = words(ref), words(hyp)
-    vocabulary = F.array_distinct(F.concat(r, h))
-    return F.when(F.size(vocabulary) <= len(ALPHABET), F.levenshtein(_coded(r, vocabulary), _coded(h, vocabulary))).cast("long")
+    return F.when(fits, F.levenshtein(_coded(r, vocabulary), _coded(h, vocabulary))).otherwise(long_(F.when(short, None).when(~fits, r), F.when(short, None).when(~fits, h))).cast("long")
 
 
 def char_errors(ref: Column, hyp: Column) -> Column:
@@ -51,6 +51,21 @@ def char_errors(ref: Column, hyp: Column) -> Column:
     return F.levenshtein(F.coalesce(ref, F.lit("")), F.coalesce(hyp, F.lit(""))).cast("long")
 
 
+def least_edits(ref: list, hyp: list) -> int:
+    """Edit distance of two lists, as in align() but with one row of the table at a time."""
+    codes: dict = {}
+    a = [codes.setdefault(w, len(codes)) for w in ref]
+    b = np.array([codes.setdefault(w, len(codes)) for w in hyp], np.int64)
+    steps = np.arange(len(b) + 1, dtype=np.int64)
+    row = steps
+    for i, x in enumerate(a, 1):
+        new = np.empty_like(steps)
+        new[0] = i
+        new[1:] = np.minimum(row[:-1] + (b != x), row[1:] + 1)
+        row = np.minimum.accumulate(new - steps) + steps
+    return int(row[-1])
+
+
 def align(ref: list, hyp: list) -> tuple[int, int, int]:
     """(substitutions, deletions, insertions) of a least-cost alignment.
 

@@ -93,7 +93,7 @@ def typographic_count(spark: SparkSession, root: str) -> DataFrame:
 
 def word_errors(spark: SparkSession, root: str) -> DataFrame:
     p = pool(spark, root).where("NOT missing")
-    return p.select("row_id", scoring.word_errors_short(F.col("ref_norm"), F.col("hyp_norm")).alias("errors"), scoring.word_count(F.col("ref_norm")).alias("n_ref"))
+    return p.select("row_id", scoring.word_errors(F.col("ref_norm"), F.col("hyp_norm")).alias("errors"), scoring.word_count(F.col("ref_norm")).alias("n_ref"))
 
 
 def char_errors(spark: SparkSession, root: str) -> DataFrame:
@@ -108,7 +108,7 @@ def sdi_split(spark: SparkSession, root: str) -> DataFrame:
 
 def score_invariants(spark: SparkSession, root: str) -> DataFrame:
     """Rows whose stored counts break D - I = n_ref - n_hyp or S + D + I >= the edit distance; none are expected."""
-    p = pool(spark, root).where("NOT missing").withColumn("least", scoring.word_errors_short(F.col("ref_norm"), F.col("hyp_norm")))
+    p = pool(spark, root).where("NOT missing").withColumn("least", scoring.word_errors(F.col("ref_norm"), F.col("hyp_norm")))
     balance = F.col("dels") - F.col("ins") == F.col("n_ref_words") - scoring.word_count(F.col("hyp_norm"))
     return p.select("row_id", balance.alias("balanced"), (word_edits() >= F.col("least")).alias("at_least")).where("NOT balanced OR NOT at_least")
 
