@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -40,6 +41,36 @@ def test_plan_places_every_item_once(seed):
     assert plan.containers <= max(least + 3, 1.03 * least) or plan.containers == len(p.best_fit([s for s, n in histogram.items() for _ in range(n)], cap))
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_groups_are_best_fit(seed):
+    rng = random.Random(seed)
+    cap = rng.choice([10, 37, 200])
+    histogram = {s: rng.randint(0, 30) for s in rng.sample(range(1, cap + 1), rng.randint(1, 10))}
+    groups = p.best_fit_groups(histogram, cap)
+    want = Counter(tuple(sorted(b.items())) for b in p.best_fit([s for s, n in histogram.items() for _ in range(n)], cap))
+    got = Counter()
+    for one, n in groups:
+        got[tuple(sorted(one.items()))] += n
+    assert sum(got.values()) == sum(want.values()) and all(sum(s * c for s, c in b) <= cap for b in got)
+    assert Counter({s: sum(dict(b).get(s, 0) * n for b, n in got.items()) for s in histogram}) == Counter(histogram)
+
+
+@pytest.mark.parametrize("histogram, containers", [
+    ({1100: 10**7}, 10**7), ({1500: 10**7, 300: 1000}, 10**7), ({1100: 10**7, 400: 3 * 10**6}, 10**7), ({1000: 10**7}, 5 * 10**6), ({900: 10**7, 500: 10**7}, 7_500_000),
+])
+def test_lengths_that_nothing_fills_up(histogram, containers):
+    """Time and plan depend on the lengths, not on the items, if no combination is full."""
+    start = time.perf_counter()
+    plan = p.pack_histogram(histogram)
+    assert time.perf_counter() - start < 5 and len(plan.configs) < 100 and plan.containers <= 1.001 * containers
+    placed = Counter()
+    for config, times in zip(plan.configs, plan.times):
+        assert sum(s * c for s, c in config) <= 2048
+        for s, c in config:
+            placed[s] += c * times
+    assert placed == histogram
+
+
 def test_edges():
     assert p.pack_histogram({}).containers == 0
     assert p.pack_histogram({2048: 5}).times == (5,)

@@ -4,7 +4,8 @@ Only the histogram of lengths, at most one number per length up to the capacity,
 configuration linear program (how often to use each combination of lengths that fits into one container, so that every
 length is covered) is solved by multiplicative weights: lengths that are covered lose weight, and a knapsack by dynamic
 programming prices the next combination. The fractional solution is rounded to whole containers within what is there,
-the rest of the histogram goes through the same again, and the last few items are placed best fit, longest first.
+the rest of the histogram goes through the same again, and what no full combination takes is placed best fit, longest
+first, or in combinations of any fill if that is better, all bins that are alike at once.
 The driver's work depends on the capacity and the number of iterations, not on the number of items.
 
 The plan is a list of combinations and how often each is used. Each item finds its container by its rank within its
@@ -137,6 +138,59 @@ def best_fit(sizes: list[int], capacity: int) -> list[dict[int, int]]:
     return bins
 
 
+def best_fit_groups(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """The bins of best_fit() as (bin, how many alike), for size: amount; the work grows with the sizes alone.
+
+    A bin that takes an item has the least room afterwards, so it goes on taking items of the size until none fits:
+    all bins with the same room take the same, but for the last one.
+    """
+    groups: dict[int, list[tuple[dict[int, int], int]]] = {}
+    rooms: list[int] = []
+
+    def put(room: int, one: dict[int, int], n: int) -> None:
+        if n > 0:
+            if room not in groups:
+                groups[room] = []
+                insort(rooms, room)
+            groups[room].append((one, n))
+
+    for size in sorted(histogram, reverse=True):
+        amount = histogram[size]
+        while amount > 0:
+            k = bisect_left(rooms, size)
+            room = rooms[k] if k < len(rooms) else capacity
+            each = room // size
+            one, n = groups[room].pop() if k < len(rooms) else ({}, -(-amount // each))
+            if k < len(rooms) and not groups[room]:
+                del groups[room], rooms[k]
+            full = min(n, amount // each)
+            rest = min(amount - full * each, each) if full < n else 0
+            put(room - each * size, one | {size: one.get(size, 0) + each}, full)
+            if rest:
+                put(room - rest * size, one | {size: one.get(size, 0) + rest}, 1)
+            put(room, one, n - full - (rest > 0))
+            amount -= full * each + rest
+    return [x for room in rooms for x in groups[room]]
+
+
+def _rest(left: dict[int, int], capacity: int, iterations: int) -> list[tuple[dict[int, int], int]]:
+    """Bins of what the rounds leave: best fit, or combinations of any fill before it where that needs fewer bins."""
+    plain = best_fit_groups(left, capacity)
+    sizes = np.array([s for s, n in left.items() if n], np.int64)
+    amounts = np.array([n for n in left.values() if n], np.int64)
+    if sum(n for _, n in plain) <= sizes @ amounts / capacity / FULL + 1:
+        return plain
+    mixed = []
+    for counts, _ in sorted(configuration_lp(sizes, amounts, capacity, iterations * len(sizes)), key=lambda c: (-(c[0] @ sizes), -c[1])):
+        on = counts > 0
+        n = int((amounts[on] // counts[on]).min())
+        if n > 0:
+            amounts = amounts - n * counts
+            mixed.append((dict(zip(sizes[on].tolist(), counts[on].tolist())), n))
+    mixed += best_fit_groups(dict(zip(sizes.tolist(), amounts.tolist())), capacity)
+    return min(plain, mixed, key=lambda groups: sum(n for _, n in groups))
+
+
 def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, iterations: int = ITERATIONS, rounds: int = ROUNDS) -> Plan:
     """A plan for items of 1..capacity, given as size: amount."""
     if any(not 0 < s <= capacity for s in histogram):
@@ -167,9 +221,9 @@ def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, iteratio
         left = dict(zip(sizes.tolist(), amounts.tolist()))
         if not placed:
             break
-    for one in best_fit([s for s, n in left.items() for _ in range(n)], capacity):
+    for one, n in _rest(left, capacity, iterations):
         configs.append(tuple(sorted(one.items())))
-        times.append(1)
+        times.append(n)
     return Plan(capacity, tuple(configs), tuple(times))
 
 
