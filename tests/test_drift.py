@@ -79,6 +79,15 @@ def test_unknown_names_are_learnt_from_shared_values(spark):
     assert found(Drift(raw(spark, files))) == [(2, "duration", "renamed"), (12, "duration", "renamed"), (22, "duration", "renamed")]
 
 
+def test_opaque_names_of_one_run_last(spark):
+    """A name of one run, known in its first file by shared values, and a second one after it, are kept to the end."""
+    plan = [("latency_s", 0), ("zq", 8), ("zq", 20), ("zq", 40), ("xk", 48), ("xk", 60), ("latency_s", 68)]
+    files = [(k, "s", k, many(start, ("gen_dur", num), (name, num), ("voice", "a"), n=12)) for k, (name, start) in enumerate(plan, 1)]
+    drift = Drift(raw(spark, files))
+    assert found(drift) == [(2, "latency", "renamed"), (5, "latency", "renamed"), (7, "latency", "renamed")]
+    assert all(r["latency"] is not None for r in drift.unified().collect())
+
+
 def test_empty_table(spark):
     drift = Drift(raw(spark, []))
     assert found(drift) == [] and drift.unified().count() == 0 and drift.all_changes().count() == 0

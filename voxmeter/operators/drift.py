@@ -252,44 +252,86 @@ def shared_values(values: DataFrame, files: DataFrame, file_id: str, key_path: s
 
 # --- the operator ------------------------------------------------------------------------------------------------
 
-_ASSIGNED = "file bigint, carriers array<struct<field string, path string, kind string>>, votes array<struct<path string, field string>>, changes array<struct<path string, old_path string, change string>>"
+_ASSIGNED = "file bigint, carriers array<struct<field string, path string, kind string>>, open array<struct<path string, kind string, was string>>, changes array<struct<path string, old_path string, change string>>"
 
 
-def _assignments(versions: DataFrame, fields: Sequence[Field], aliases: dict[str, str]) -> DataFrame:
-    """For each file: the columns that carry the fields, votes for names learnt from its neighbour, and all changes."""
+def _assignments(versions: DataFrame, fields: Sequence[Field]) -> DataFrame:
+    """For each file: the columns that carry the fields by their names, the open ones with the column before, and all changes."""
 
     def one(columns, before, shared, equal) -> tuple:
         columns, before = [dict(c) for c in columns], [dict(c) for c in before]
         kinds, old_kinds = {c["path"]: c["kind"] for c in columns}, {c["path"]: c["kind"] for c in before}
-        found, old = fields_of(columns, fields), fields_of(before, fields)
-        carried = {p for p, f in aliases.items()}
-        for path in kinds:
-            if path in carried and aliases[path] not in found and path not in found.values():
-                found[aliases[path]] = path
+        found = fields_of(columns, fields)
         matched = versions_matched(columns, before, {(e["now"], e["before"]): (e["n"], shared) for e in equal})
-        of_path = {p: f for f, p in old.items()}
-        votes = []
-        for path, was in matched.items():
-            field = of_path.get(was)
-            if field and field not in found and path not in found.values():
-                found[field] = path
-                votes.append((path, field))
+        named = set(found.values())
+        open_ = [(p, k, matched.get(p)) for p, k in kinds.items() if p not in named] if len(found) < len(fields) else []
         changes = [(p, None, "added") for p in kinds if p not in matched] + [(None, p, "removed") for p in old_kinds if p not in matched.values()]
         for path, was in matched.items():
             changes += [(path, was, "renamed")] * (path != was) + [(path, was, "retyped")] * (kinds[path] != old_kinds[was])
-        return [(f, p, kinds[p]) for f, p in sorted(found.items())], votes, changes
+        return [(f, p, kinds[p]) for f, p in sorted(found.items())], open_, changes
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for file, before, columns, old, shared, equal in batch.itertuples(index=False, name=None):
-                carriers, votes, changes = one(*((x if x is not None else []) for x in (columns, old)), int(shared) if shared == shared and shared else 0, equal if equal is not None else [])
-                rows.append((file, carriers, votes, changes if before == before and before is not None else []))
-            yield pd.DataFrame(rows, columns=["file", "carriers", "votes", "changes"])
+                carriers, open_, changes = one(*((x if x is not None else []) for x in (columns, old)), int(shared) if shared == shared and shared else 0, equal if equal is not None else [])
+                rows.append((file, carriers, open_, changes if before == before and before is not None else []))
+            yield pd.DataFrame(rows, columns=["file", "carriers", "open", "changes"])
 
     return versions.select("file", "before", "columns", "old", "shared", "equal").mapInPandas(run, _ASSIGNED)
 
 
+_PENDING = "t_file IS NOT NULL AND field IS NULL"
+
+
+def _inherited(nodes: DataFrame) -> DataFrame:
+    """nodes (file, path, kind, field, t_file, t_path, blocked) with the fields that open columns have from those before.
+
+    An open column points to the one it is matched to in the file before and takes its field, unless a file on the way
+    has another column for it (blocked, at most all fields). Pointers double each round, so there are as many rounds as
+    the logarithm of the longest run of open names.
+    """
+    while nodes.where(_PENDING).limit(1).count():
+        to = nodes.select(F.col("file").alias("_f"), F.col("path").alias("_p"), F.col("field").alias("_field"), F.col("t_file").alias("_tf"), F.col("t_path").alias("_tp"), F.col("blocked").alias("_b"))
+        far = nodes.where(_PENDING).join(to, (F.col("t_file") == F.col("_f")) & (F.col("t_path") == F.col("_p")), "left")
+        far = far.select(
+            "file", "path", "kind", F.when(~F.array_contains("blocked", F.col("_field")), F.col("_field")).alias("field"),
+            F.when(F.col("_field").isNull(), F.col("_tf")).alias("t_file"), F.when(F.col("_field").isNull(), F.col("_tp")).alias("t_path"),
+            F.array_union("blocked", F.coalesce("_b", F.array().cast("array<string>"))).alias("blocked"),
+        )
+        nodes = checkpointed(nodes.where(f"NOT ({_PENDING})").unionByName(far))
+    return nodes
+
+
+def _carriers(first: DataFrame) -> DataFrame:
+    """(file, carriers) of _assignments() with the names that only values reveal: from the files before, then from others."""
+    by_name = first.select("file", F.explode("carriers").alias("c")).select("file", F.col("c.path").alias("path"), F.col("c.kind").alias("kind"), F.col("c.field").alias("field"))
+    by_name = by_name.selectExpr("*", "CAST(NULL AS BIGINT) AS t_file", "CAST(NULL AS STRING) AS t_path", "CAST(array() AS array<string>) AS blocked")
+    start = first.select("file", "before", F.transform("carriers", lambda c: c["field"]).alias("blocked"), F.explode("open").alias("o")).select(
+        "file", F.col("o.path").alias("path"), F.col("o.kind").alias("kind"), F.lit(None).cast("string").alias("field"),
+        F.when(F.col("o.was").isNotNull(), F.col("before")).alias("t_file"), F.col("o.was").alias("t_path"), "blocked",
+    )
+    links = checkpointed(start)
+    known = by_name
+    while True:
+        taken = known.select("file", F.col("path"), F.lit(True).alias("_taken"))
+        rest = links.join(taken, ["file", "path"], "left").where("_taken IS NULL").drop("_taken")
+        held = known.groupBy("file").agg(F.collect_set("field").alias("_held"))
+        rest = rest.join(held, "file", "left").withColumn("blocked", F.coalesce("_held", "blocked")).drop("_held")
+        nodes = _inherited(checkpointed(known.unionByName(rest)))
+        named = nodes.where("field IS NOT NULL").selectExpr("file", "path", "kind", "field", "CAST(NULL AS BIGINT) AS t_file", "CAST(NULL AS STRING) AS t_path", "CAST(array() AS array<string>) AS blocked")
+        # what a name means elsewhere, most often: it helps runs that begin with it
+        learnt = named.join(links.select("file", "path"), ["file", "path"]).groupBy("path", "field").agg(F.count(F.lit(1)).alias("n"))
+        learnt = learnt.groupBy("path").agg(F.max_by("field", F.struct("n", "field")).alias("field"), F.max("n").alias("n"))
+        still = nodes.where("field IS NULL").select("file", "path", "kind").join(learnt, "path")
+        have = named.select("file", "field")
+        more = still.join(have, ["file", "field"], "left_anti").groupBy("file", "field").agg(F.max_by(F.struct("path", "kind"), F.struct("n", "path")).alias("x"))
+        more = checkpointed(more.selectExpr("file", "x.path AS path", "x.kind AS kind", "field", "CAST(NULL AS BIGINT) AS t_file", "CAST(NULL AS STRING) AS t_path", "CAST(array() AS array<string>) AS blocked"))
+        if not more.limit(1).count():
+            return named.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("field", "path", "kind"))).alias("carriers"))
+        known = checkpointed(named.unionByName(more))
+
+
 @dataclass(frozen=True)
 class Drift:
     """The drift of the files in a table of raw payloads.
@@ -320,11 +362,10 @@ class Drift:
         shared = shared_values(values, files, self.file_id, self.key_path)
         versions = files.join(columns, "file", "left").join(columns.select(F.col("file").alias("before"), F.col("columns").alias("old")), "before", "left")
         versions = checkpointed(versions.join(shared, "file", "left"))
-        first = _assignments(versions, self.fields, {})
-        votes = first.select(F.explode("votes").alias("v")).groupBy("v").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        # names are a property of the layouts in use; the most frequent thousand are learnt
-        aliases = {r["v"]["path"]: r["v"]["field"] for r in reversed(votes.orderBy(F.desc("n"), "v").limit(1000).collect())}
-        return versions.select("file", "before").join(_assignments(versions, self.fields, aliases).drop("votes"), "file")
+        first = _assignments(versions, self.fields)
+        first = checkpointed(versions.select("file", "before").join(first, "file"))
+        none = F.array().cast("array<struct<field:string,path:string,kind:string>>")
+        return first.select("file", "before", "changes").join(_carriers(first), "file", "left").withColumn("carriers", F.coalesce("carriers", none))
 
     def changes(self) -> DataFrame:
         """(file_id, field, change) for the wanted fields: added, removed, renamed, retyped."""
