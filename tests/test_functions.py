@@ -35,6 +35,22 @@ def normalized(spark, rows, options=text.Normalization()):
     return [r["n"] for r in df.select("i", text.normalize(F.col("t"), F.col("lang"), options).alias("n")).orderBy("i").collect()]
 
 
+def test_long_digits_in_context():
+    """Numbers past a thousand million are said, too, to the end of each scale."""
+    n = "00012345678901234567890"
+    assert numbers.expand_digits(n, "en") == (
+        "twelve quintillion, three hundred and forty-five quadrillion, six hundred and seventy-eight trillion, nine hundred and one billion, "
+        "two hundred and thirty-four million, five hundred and sixty-seven thousand, eight hundred and ninety"
+    )
+    assert numbers.expand_digits("1000000000 21000000", "es") == "mil millones veintiún millones"
+    assert numbers.expand_digits("2000000000001", "es") == "dos billones uno" and numbers.expand_digits("31000000", "es") == "treinta y un millones"
+    assert numbers.expand_digits("2.000.000.000", "pt") == "dois bilhões" and numbers.expand_digits("1000000000001", "pt") == "um trilhão e um"
+    assert numbers.expand_digits("2000000000", "nl") == "twee miljard" and numbers.expand_digits("1000000000000", "nl") == "een biljoen"
+    for lang, beyond in numbers.BEYOND.items():
+        assert beyond > 10**24 and not any(c.isdigit() for c in numbers.expand_digits(str(beyond - 1), lang))
+        assert numbers.expand_digits(f"0{beyond}", lang) == str(beyond)
+
+
 def test_normalize(spark):
     rows = [
         ("It’s  CLEAR: don't-stop…", "en-US"), (None, "en-US"), ("", "ky"), ("  ", "ky"), ("Año  é 12 m²", "es-ES"), ("12 жазуу", "ky"),

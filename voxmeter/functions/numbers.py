@@ -23,6 +23,19 @@ POINT = {"en": "point", "es": "punto", "pt": "vírgula", "nl": "komma"}
 #: Language of a benchmark locale's numbers; ky has none, its digits stay.
 NUMBER_LANGUAGES = {"en-US": "en", "es-ES": "es", "es-MX": "es", "nl-NL": "nl", "pt-BR": "pt"}
 GREATEST = 999_999_999
+# Names of the powers of a thousand (en, pt) or of a million (es, nl) from the second on.
+EN_SCALE = "million billion trillion quadrillion quintillion sextillion septillion octillion nonillion decillion".split()
+ES_SCALE = "millón billón trillón cuatrillón".split()
+PT_SCALE = "milhão bilhão trilhão quatrilhão quintilhão sextilhão septilhão octilhão nonilhão decilhão".split()
+NL_SCALE = "miljoen miljard biljoen biljard triljoen triljard quadriljoen quadriljard quintiljoen quintiljard".split()
+#: The first number of each language that stays digits.
+BEYOND = {"en": 10**36, "es": 10**30, "pt": 10**36, "nl": 10**36}
+
+
+def _unit(n: int, scale: list[str]) -> tuple[int, str]:
+    """The greatest named power of a thousand up to n, from a million on."""
+    k = (len(str(n)) - 1) // 3
+    return 1000**k, scale[k - 2]
 
 
 def _english(n: int) -> str:
@@ -32,7 +45,7 @@ def _english(n: int) -> str:
         return EN_TENS[n // 10] + (f"-{EN_ONES[n % 10]}" if n % 10 else "")
     if n < 1000:
         return f"{EN_ONES[n // 100]} hundred" + (f" and {_english(n % 100)}" if n % 100 else "")
-    unit, name = (1_000_000, "million") if n >= 1_000_000 else (1000, "thousand")
+    unit, name = _unit(n, EN_SCALE) if n >= 1_000_000 else (1000, "thousand")
     rest = n % unit
     joint = " and " if 0 < rest < 100 else ", "
     return f"{_english(n // unit)} {name}" + (joint + _english(rest) if rest else "")
@@ -47,9 +60,13 @@ def _spanish(n: int) -> str:
         return "cien" if n == 100 else ES_HUNDREDS[n // 100] + (f" {_spanish(n % 100)}" if n % 100 else "")
     if n < 1_000_000:
         head = "mil" if n < 2000 else re.sub(r"veintiuno$", "veintiún", re.sub(r"( |^)uno$", r"\1un", _spanish(n // 1000))) + " mil"
+        unit = 1000
     else:
-        head = "un millón" if n < 2_000_000 else re.sub(r"uno$", "ún", _spanish(n // 1_000_000)) + " millones"
-    rest = n % (1000 if n < 1_000_000 else 1_000_000)
+        k = (len(str(n)) - 1) // 6
+        unit, name = 1_000_000**k, ES_SCALE[k - 1]
+        times = re.sub(r"veintiuno$", "veintiún", re.sub(r"( |^)uno$", r"\1un", _spanish(n // unit)))
+        head = f"un {name}" if n < 2 * unit else f"{times} {name[:-2]}ones"
+    rest = n % unit
     return head + (f" {_spanish(rest)}" if rest else "")
 
 
@@ -60,11 +77,12 @@ def _portuguese(n: int) -> str:
         return PT_TENS[n // 10] + (f" e {PT_ONES[n % 10]}" if n % 10 else "")
     if n < 1000:
         return "cem" if n == 100 else PT_HUNDREDS[n // 100] + (f" e {_portuguese(n % 100)}" if n % 100 else "")
-    unit = 1000 if n < 1_000_000 else 1_000_000
-    if unit == 1000:
+    if n < 1_000_000:
+        unit = 1000
         head = "mil" if n < 2000 else f"{_portuguese(n // 1000)} mil"
     else:
-        head = "um milhão" if n < 2_000_000 else f"{_portuguese(n // unit)} milhões"
+        unit, name = _unit(n, PT_SCALE)
+        head = f"um {name}" if n < 2 * unit else f"{_portuguese(n // unit)} {name[:-2]}ões"
     rest = n % unit
     joint = " e " if rest < 100 or rest % 100 == 0 and rest < 1000 else " "
     return head + (joint + _portuguese(rest) if rest else "")
@@ -80,7 +98,8 @@ def _dutch(n: int) -> str:
         return ("" if n < 200 else NL_ONES[n // 100]) + "honderd" + (_dutch(n % 100) if n % 100 else "")
     if n < 1_000_000:
         return ("" if n < 2000 else _dutch(n // 1000)) + "duizend" + (_dutch(n % 1000) if n % 1000 else "")
-    return f"{_dutch(n // 1_000_000)} miljoen" + (f" {_dutch(n % 1_000_000)}" if n % 1_000_000 else "")
+    unit, name = _unit(n, NL_SCALE)
+    return f"{_dutch(n // unit)} {name}" + (f" {_dutch(n % unit)}" if n % unit else "")
 
 
 SPEAKERS: dict[str, Callable[[int], str]] = {"en": _english, "es": _spanish, "pt": _portuguese, "nl": _dutch}
@@ -90,9 +109,14 @@ DECIMAL = re.compile(r"(?<!\d)(\d+)[.,](\d+)(?!\d)")
 WHOLE = re.compile(r"(?<!\d)\d+(?!\d)")
 
 
-def say(n: int, language: str) -> str:
+def say(n: int, language: str, greatest: int = GREATEST) -> str:
     """n in words; digits beyond the greatest number."""
-    return SPEAKERS[language](n) if n <= GREATEST else str(n)
+    return SPEAKERS[language](n) if n <= greatest else str(n)
+
+
+def say_any(n: int, language: str) -> str:
+    """n in words as far as the language's scale goes."""
+    return say(n, language, BEYOND[language] - 1)
 
 
 def say_fraction(digits: str, language: str) -> str:
@@ -105,6 +129,6 @@ def expand_digits(text: str, language: str | None) -> str:
     """Digits as words: grouped integers (1.500 is 1500), then decimals, then the other integers. No language: as it is."""
     if language is None:
         return text
-    text = GROUPED.sub(lambda m: say(int(re.sub(r"[.,]", "", m[0])), language), text)
-    text = DECIMAL.sub(lambda m: f"{say(int(m[1]), language)} {say_fraction(m[2], language)}", text)
-    return WHOLE.sub(lambda m: say(int(m[0]), language), text)
+    text = GROUPED.sub(lambda m: say_any(int(re.sub(r"[.,]", "", m[0])), language), text)
+    text = DECIMAL.sub(lambda m: f"{say_any(int(m[1]), language)} {say_fraction(m[2], language)}", text)
+    return WHOLE.sub(lambda m: say_any(int(m[0]), language), text)
