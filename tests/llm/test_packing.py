@@ -13,16 +13,57 @@ from pyspark.sql import functions as F  # noqa: E402
 from voxmeter.llm import packing as p  # noqa: E402
 
 
-def test_knapsack_against_brute_force():
+def test_prices_and_combinations_against_brute_force():
     rng = random.Random(2)
     for _ in range(60):
-        n, cap = rng.randint(1, 4), rng.randint(1, 25)
+        n, cap = rng.randint(1, 4), rng.randint(16, 25)
         sizes = np.array(sorted(rng.sample(range(1, 16), n)))
         values = np.array([rng.randint(1, 9) for _ in range(n)], float)
-        copies = np.array([rng.randint(0, 3) for _ in range(n)])
-        best = max(sum(c * v for c, v in zip(x, values)) for x in itertools.product(*(range(c + 1) for c in copies)) if (np.array(x) @ sizes) <= cap)
-        got = p.knapsack(sizes, values, copies, cap)
-        assert got @ sizes <= cap and (got <= copies).all() and abs(got @ values - best) < 1e-6
+        best = p.prices(sizes, values, cap)
+        every = [x for x in itertools.product(*(range(cap // s + 1) for s in sizes)) if np.array(x) @ sizes <= cap]
+        assert best[cap] == max(np.array(x) @ values for x in every)
+        for first in range(n):
+            index, counts, value = p.combination(first, sizes, values, np.full(n, 100), best, True)
+            assert counts @ sizes[index] <= cap and value == counts @ values[index]
+            assert value == max(np.array(x) @ values for x in every if x[first])
+        left = np.array([rng.randint(1, 2) for _ in range(n)])
+        index, counts, _ = p.combination(0, sizes, values, left, best, True)
+        assert (counts <= left[index]).all() and counts @ sizes[index] <= cap
+
+
+def test_better_than_best_fit_with_a_proof():
+    """Best fit takes 1,032 with 528 and wastes the rest; the program finds the exact fillings and its bound proves them."""
+    n = 6 * 10**5
+    histogram = {1032: n, 528: n, 520: n, 496: 2 * n}
+    plan = p.pack_histogram(histogram)
+    assert plan.containers == plan.least == 3 * n // 2
+    assert sum(k for _, k in p.best_fit_groups(histogram, 2048)) == 11 * n // 6
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_bound_holds(seed):
+    """No packing uses fewer containers than the bound; for few items the least number is found by trying all."""
+    rng = random.Random(seed)
+    cap, items = 20, [rng.randint(4, 14) for _ in range(8)]
+    start = tuple(sorted(items))
+
+    def least(rest: tuple) -> int:
+        if not rest:
+            return 0
+        if rest not in memo:
+            first, others = rest[-1], rest[:-1]
+            options = {x for k in range(3) for x in itertools.combinations(others, k) if first + sum(x) <= cap}
+            def without(x):
+                out = list(others)
+                for y in x:
+                    out.remove(y)
+                return tuple(out)
+            memo[rest] = 1 + min(least(without(x)) for x in options)
+        return memo[rest]
+    memo: dict = {}
+    plan = p.pack_histogram(Counter(items), cap)
+    assert plan.bound <= least(start) + 1e-9 and plan.bound <= plan.value + 1e-9
+    assert plan.containers <= least(start) + 1
 
 
 @pytest.mark.parametrize("seed", range(6))
@@ -57,6 +98,7 @@ def test_groups_are_best_fit(seed):
 
 @pytest.mark.parametrize("histogram, containers", [
     ({1100: 10**7}, 10**7), ({1500: 10**7, 300: 1000}, 10**7), ({1100: 10**7, 400: 3 * 10**6}, 10**7), ({1000: 10**7}, 5 * 10**6), ({900: 10**7, 500: 10**7}, 7_500_000),
+    ({700: 3 * 10**8, 1500: 3 * 10**8}, 45 * 10**7), ({1100: 10**9}, 10**9),
 ])
 def test_lengths_that_nothing_fills_up(histogram, containers):
     """Time and plan depend on the lengths, not on the items, if no combination is full."""
@@ -87,7 +129,10 @@ def test_rows(spark, monkeypatch):
     monkeypatch.setattr(p, "WINDOW_ROWS", 50)  # several buckets for the hot length
     rng = random.Random(1)
     rows = [(i, 300 if i % 3 == 0 else rng.randint(1, 900), "x", "y") for i in range(900)] + [(1000, 5000, "", ""), (1001, 2048, "", ""), (1002, 0, "", ""), (1003, None, "", ""), (5, 4, "", "")]
-    out = p.pack(items(spark, rows), "id", F.col("size")).collect()
+    packed, plan = p.pack_with_plan(items(spark, rows), "id", F.col("size"))
+    out = packed.collect()
+    summary = p.packing_summary(packed, plan).first()
+    assert summary["least"] <= summary["dual_bound"] <= summary["containers"]
     used, pieces = defaultdict(int), defaultdict(list)
     for r in out:
         if r["container"] is None:
@@ -104,5 +149,5 @@ def test_rows(spark, monkeypatch):
 
 
 def test_empty(spark):
-    df = p.pack(items(spark, []), "id", F.col("size"))
-    assert df.count() == 0 and p.packing_summary(df).first()["containers"] == 0
+    df, plan = p.pack_with_plan(items(spark, []), "id", F.col("size"))
+    assert df.count() == 0 and p.packing_summary(df, plan).first()["containers"] == 0

@@ -2,11 +2,12 @@
 
 Only the histogram of lengths, at most one number per length up to the capacity, comes to the driver. There the
 configuration linear program (how often to use each combination of lengths that fits into one container, so that every
-length is covered) is solved by multiplicative weights: lengths that are covered lose weight, and a knapsack by dynamic
-programming prices the next combination. The fractional solution is rounded to whole containers within what is there,
-the rest of the histogram goes through the same again, and what no full combination takes is placed best fit, longest
-first, or in combinations of any fill if that is better, all bins that are alike at once.
-The driver's work depends on the capacity and the number of iterations, not on the number of items.
+length is covered) is solved by multiplicative weights: a knapsack by dynamic programming over the capacity prices the
+combinations from all lengths at once, those within a small share of the best price are used, and lengths that lag
+behind gain weight for the next price. Every price also bounds the program from below; solving goes on, in finer steps,
+until the gap between the two is small. The fractional solution is rounded down to whole containers; the remainder is
+filled by priced combinations of what is left, the fullest first, or best fit if that needs fewer containers, all bins
+that are alike at once. The driver's work depends on the capacity and the number of lengths, not on the number of items.
 
 The plan is a list of combinations and how often each is used. Each item finds its container by its rank within its
 length alone: ranks come from windows over hash buckets of a length, so a length that a third of all items share is
@@ -27,76 +28,96 @@ from pyspark.sql import functions as F
 from ..runtime import broadcast_if_small, checkpointed, col
 
 CAPACITY = 2048
-#: Prices of a round of the linear program for each length, and rounds of solving and rounding.
-ITERATIONS, ROUNDS = 8, 4
-#: How much more a long item counts than its length, so that the short ones, which fit anywhere, are left for later.
-LONG = 0.02
-#: Lengths that one price looks at: the least covered ones, and some evenly spread over all.
-NEEDY, SPREAD = 48, 24
-#: Share of the capacity that a combination must fill to be used.
-FULL = 0.995
+#: The gap to the dual bound, as a share of it, at which solving stops; the numbers of phases that are tried for it,
+#: with the weight that a length gains when it lags one phase behind.
+GAP, PHASES = 0.001, ((4, 0.05), (32, 0.5), (32, 0.2), (64, 0.1), (64, 0.05), (128, 0.02))
+#: How far below the best price a combination may be.
+SLACK = 0.002
+#: Shares of the best price that a combination of the remainder must have, one pass after the other.
+PASSES = (0.998, 0.99, 0.95, 0.8, 0.0)
 #: Items of a length that one window may hold.
 WINDOW_ROWS = 500_000
 
 
-def knapsack(sizes: np.ndarray, values: np.ndarray, copies: np.ndarray, capacity: int) -> np.ndarray:
-    """How many of each size to take, within copies and capacity, for the greatest value; fuller if values tie."""
+def prices(sizes: np.ndarray, values: np.ndarray, capacity: int) -> np.ndarray:
+    """The greatest value of a combination of any number of the sizes, for each room from 0 to capacity."""
+    worth = np.zeros(capacity + 1)
+    worth[sizes] = values
     best = np.zeros(capacity + 1)
-    taken: list[tuple[int, int, np.ndarray]] = []
-    bonus = values + sizes * (1e-9 / capacity)
-    for i in np.flatnonzero((copies > 0) & (sizes <= capacity) & (values > 0)):
-        size, left, lot = int(sizes[i]), min(int(copies[i]), capacity // int(sizes[i])), 1
-        while left > 0:
-            lot = min(lot, left)
-            width = size * lot
-            with_it = best[: capacity + 1 - width] + bonus[i] * lot
-            better = with_it > best[width:]
-            np.copyto(best[width:], with_it, where=better)
-            taken.append((int(i), lot, better))
-            left -= lot
-            lot *= 2
-    counts = np.zeros(len(sizes), np.int64)
-    at = capacity
-    for i, lot, better in reversed(taken):
-        width = int(sizes[i]) * lot
-        if at >= width and better[at - width]:
-            counts[i] += lot
-            at -= width
-    return counts
-
-
-def _candidates(open_: np.ndarray, need: np.ndarray, turn: int) -> np.ndarray:
-    """Indices, in order, of the open sizes that the next price looks at."""
-    if len(open_) <= NEEDY + SPREAD:
-        return open_
-    first = open_[np.argpartition(-need[open_], NEEDY)[:NEEDY]]
-    step = len(open_) / SPREAD
-    return np.unique(np.concatenate((first, open_[((np.arange(SPREAD) + turn * 0.618 % 1) * step).astype(int) % len(open_)])))
-
-
-def configuration_lp(sizes: np.ndarray, amounts: np.ndarray, capacity: int, iterations: int, eta: float = 4.0) -> list[tuple[np.ndarray, float]]:
-    """Combinations and fractional uses of each, covering no size more than once over.
-
-    The weight of a size starts at its share of the capacity, the dual price of a container without waste, and falls
-    with exp(-eta * covered share). Each step uses the best combination as far as a quarter of its scarcest size. A price
-    looks at a part of the sizes, so it is the best among them; the method needs no more than good prices.
+    for room in range(1, capacity + 1):
+        best[room] = (worth[1 : room + 1] + best[room - 1 :: -1]).max()
+    return best
+
+
+def combination(first: int, sizes: np.ndarray, values: np.ndarray, left: np.ndarray, best: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray, float]:
+    """(indices, counts, value) of a combination with sizes[first], led by the prices of the room that remains.
+
+    Only sizes of which something is left are taken, whole: as many as there are at most. Of equal values the longer
+    size is taken.
     """
-    covered = np.zeros(len(sizes))
-    uses: dict[bytes, list] = {}
-    for turn in range(iterations):
-        open_ = np.flatnonzero(covered < amounts)
-        if not len(open_):
+    room = len(best) - 1 - int(sizes[first])
+    value = float(values[first])
+    taken = {first: 1}
+    open_ = left > 0
+    open_[first] = not whole or left[first] > 1
+    while True:
+        n = int(np.searchsorted(sizes, room, side="right"))
+        if not n:
             break
-        need = np.exp(-eta * covered / amounts)
-        look = _candidates(open_, need, turn)
-        counts = np.zeros(len(sizes), np.int64)
-        counts[look] = knapsack(sizes[look], sizes[look] / capacity * (1 + LONG * sizes[look] / capacity) * need[look], amounts[look], capacity)
-        on = counts > 0
-        step = min((amounts[on] / counts[on]).min() / 4, ((amounts - covered)[on] / counts[on]).min())
-        uses.setdefault(counts.tobytes(), [counts, 0.0])[1] += step
-        covered += step * counts
-        covered[amounts - covered < 1e-9] = amounts[amounts - covered < 1e-9]
-    return [(c, x) for c, x in uses.values()]
+        worth = np.where(open_[:n], values[:n] + best[room - sizes[:n]], -1.0)
+        i = n - 1 - int(worth[::-1].argmax())
+        if worth[i] < 0:
+            break
+        taken[i] = taken.get(i, 0) + 1
+        value += float(values[i])
+        room -= int(sizes[i])
+        if whole and taken[i] >= left[i]:
+            open_[i] = False
+    return np.fromiter(taken, np.int64), np.fromiter(taken.values(), np.int64), value
+
+
+def configuration_lp(sizes: np.ndarray, amounts: np.ndarray, capacity: int, phases: int, gain: float, start: np.ndarray) -> tuple[list[tuple[np.ndarray, np.ndarray, float]], float, float, np.ndarray]:
+    """(combinations with their fractional uses, their sum, the dual bound, values learnt): every size covered exactly.
+
+    sizes ascend. In each phase every size may be covered up to an equal share of its amount. The value of a size is
+    that of start times exp(gain * phases that it lags). A combination is used as far as its scarcest size goes if its
+    value is within SLACK of the best price; sizes without one lag behind. After the last phase the sizes still open are
+    priced alone until all are covered. The values learnt are the means of the later half, for finer steps to start from.
+    """
+    left = amounts.astype(float)
+    share = left / phases
+    uses: list[tuple[np.ndarray, np.ndarray, float]] = []
+    used = bound = 0.0
+    learnt, halves = np.zeros(len(sizes)), 0
+    for phase in range(phases + len(sizes)):
+        due = left - np.maximum(amounts - share * (phase + 1), 0)
+        due[due < 1e-9 * amounts] = 0
+        if phase >= phases:
+            if not due.any():
+                break
+            values = np.where(due > 0, start, 0.0)
+        else:
+            values = start * np.exp(gain * (due / share - 1))
+            if 2 * phase >= phases - 1:
+                learnt, halves = learnt + np.log(values), halves + 1
+            if phase == phases - 1:
+                # the means waver less than the values of any phase, so they bound the program best
+                learnt = np.exp(learnt / halves)
+                bound = max(bound, float(learnt @ amounts) / prices(sizes, learnt, capacity)[capacity])
+        best = prices(sizes, values, capacity)
+        bound = max(bound, float(values @ amounts) / best[capacity])
+        for i in np.argsort(-sizes):
+            while due[i] > 0 and values[i] + best[capacity - sizes[i]] >= (1 - SLACK) * best[capacity]:
+                index, counts, value = combination(i, sizes, values, due, best, False)
+                if value < (1 - SLACK) * best[capacity]:
+                    break
+                step = float((due[index] / counts).min())
+                uses.append((index, counts, step))
+                used += step
+                for a in (due, left):
+                    a[index] -= step * counts
+                    a[index[a[index] < 1e-9 * amounts[index]]] = 0
+    return uses, used, bound, learnt
 
 
 @dataclass(frozen=True)
@@ -106,11 +127,19 @@ class Plan:
     capacity: int
     configs: tuple[tuple[tuple[int, int], ...], ...]
     times: tuple[int, ...]
+    #: No packing uses fewer containers than the dual bound of the linear program; value is what the program reached.
+    bound: float = 0.0
+    value: float = 0.0
 
     @property
     def containers(self) -> int:
         return sum(self.times)
 
+    @property
+    def least(self) -> int:
+        """The dual bound in whole containers."""
+        return int(np.ceil(self.bound - 1e-6))
+
     def slots(self) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For each size, over the configurations with it: slots up to and with it, its first container, its times."""
         by: dict[int, list[tuple[int, int, int]]] = {}
@@ -173,58 +202,59 @@ def best_fit_groups(histogram: dict[int, int], capacity: int) -> list[tuple[dict
     return [x for room in rooms for x in groups[room]]
 
 
-def _rest(left: dict[int, int], capacity: int, iterations: int) -> list[tuple[dict[int, int], int]]:
-    """Bins of what the rounds leave: best fit, or combinations of any fill before it where that needs fewer bins."""
-    plain = best_fit_groups(left, capacity)
-    sizes = np.array([s for s, n in left.items() if n], np.int64)
-    amounts = np.array([n for n in left.values() if n], np.int64)
-    if sum(n for _, n in plain) <= sizes @ amounts / capacity / FULL + 1:
-        return plain
-    mixed = []
-    for counts, _ in sorted(configuration_lp(sizes, amounts, capacity, iterations * len(sizes)), key=lambda c: (-(c[0] @ sizes), -c[1])):
-        on = counts > 0
-        n = int((amounts[on] // counts[on]).min())
-        if n > 0:
-            amounts = amounts - n * counts
-            mixed.append((dict(zip(sizes[on].tolist(), counts[on].tolist())), n))
-    mixed += best_fit_groups(dict(zip(sizes.tolist(), amounts.tolist())), capacity)
+def _remainder(sizes: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Bins of what rounding leaves, as (bin, how many alike): priced combinations, or best fit where that needs fewer."""
+    plain = best_fit_groups({int(s): int(n) for s, n in zip(sizes, left) if n}, capacity)
+    mixed: list[tuple[dict[int, int], int]] = []
+    values = sizes / capacity
+    for least in PASSES:
+        if not left.any():
+            break
+        live = left > 0
+        best = prices(sizes[live], values[live], capacity)
+        for i in np.argsort(-sizes):
+            while left[i] > 0:
+                index, counts, value = combination(i, sizes, values, left, best, True)
+                if value < least * best[capacity]:
+                    break
+                n = int((left[index] // counts).min())
+                left[index] -= n * counts
+                mixed.append(({int(sizes[k]): int(c) for k, c in zip(index, counts)}, n))
     return min(plain, mixed, key=lambda groups: sum(n for _, n in groups))
 
 
-def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, iterations: int = ITERATIONS, rounds: int = ROUNDS) -> Plan:
+def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP) -> Plan:
     """A plan for items of 1..capacity, given as size: amount."""
     if any(not 0 < s <= capacity for s in histogram):
         raise ValueError("sizes must be in 1..capacity")
-    left = {s: n for s, n in sorted(histogram.items()) if n > 0}
-    configs: list[tuple[tuple[int, int], ...]] = []
-    times: list[int] = []
-    if full := left.pop(capacity, 0):
-        configs.append(((capacity, 1),))
-        times.append(full)
-    for _ in range(rounds):
-        sizes = np.array([s for s, n in left.items() if n], np.int64)
-        amounts = np.array([n for n in left.values() if n], np.int64)
-        if not len(sizes):
+    kept = sorted((s, n) for s, n in histogram.items() if n > 0)
+    if not kept:
+        return Plan(capacity, (), ())
+    sizes, amounts = np.array([s for s, _ in kept], np.int64), np.array([n for _, n in kept], np.int64)
+    solved, value, bound, values = None, float("inf"), 0.0, sizes / capacity
+    for phases, gain in PHASES:
+        uses, used, least, values = configuration_lp(sizes, amounts, capacity, phases, gain, values)
+        bound = max(bound, least)
+        if used < value:
+            solved, value = uses, used
+        if value <= (1 + gap) * bound + 0.5:
             break
-        placed = 0
-        for counts, x in sorted(configuration_lp(sizes, amounts, capacity, iterations * len(sizes)), key=lambda c: -c[1]):
-            on = counts > 0
-            if counts @ sizes < FULL * capacity:
-                continue  # the last combinations of a round are leftovers; they go on to the next one
-            # round to whole containers, up only while every size of the combination lasts
-            n = int(min(np.floor(x + 0.5), (amounts[on] // counts[on]).min()))
-            if n > 0:
-                amounts = amounts - n * counts
-                configs.append(tuple((int(s), int(c)) for s, c in zip(sizes[on], counts[on])))
-                times.append(n)
-                placed += n
-        left = dict(zip(sizes.tolist(), amounts.tolist()))
-        if not placed:
-            break
-    for one, n in _rest(left, capacity, iterations):
-        configs.append(tuple(sorted(one.items())))
-        times.append(n)
-    return Plan(capacity, tuple(configs), tuple(times))
+    # equal combinations of several phases are one before they are rounded down
+    total: dict[tuple[tuple[int, int], ...], float] = {}
+    for index, counts, x in solved:
+        config = tuple(sorted(zip(index.tolist(), counts.tolist())))
+        total[config] = total.get(config, 0.0) + x
+    left = amounts.copy()
+    groups: list[tuple[dict[int, int], int]] = []
+    for config, x in total.items():
+        n = int(x + 1e-6)
+        n = min([n, *(int(left[i]) // c for i, c in config)])
+        if n > 0:
+            for i, c in config:
+                left[i] -= n * c
+            groups.append(({int(sizes[i]): c for i, c in config}, n))
+    groups += _remainder(sizes, left, capacity)
+    return Plan(capacity, tuple(tuple(sorted(one.items())) for one, _ in groups), tuple(n for _, n in groups), bound, value)
 
 
 def container_of(size: Column, rank: Column, plan: Plan) -> Column:
@@ -247,8 +277,8 @@ def container_of(size: Column, rank: Column, plan: Plan) -> Column:
     return at(size, rank)
 
 
-def pack(df: DataFrame, id_col: str, size: Column, capacity: int = CAPACITY) -> DataFrame:
-    """(id, piece, start, tokens, container): one row per item, or per piece of an item longer than the capacity.
+def pack_with_plan(df: DataFrame, id_col: str, size: Column, capacity: int = CAPACITY) -> tuple[DataFrame, Plan]:
+    """The rows and the plan that they follow. Rows: (id, piece, start, tokens, container): one row per item, or per piece of an item longer than the capacity.
 
     Only those items are split, into pieces of the capacity and one rest. Items of size 0 or null take no space: piece
     0, no container. Every row is an item, repeated rows too. Containers are numbered from 0 without gaps and none holds
@@ -271,18 +301,24 @@ def pack(df: DataFrame, id_col: str, size: Column, capacity: int = CAPACITY) ->
     ranked = ranked.join(broadcast_if_small(offsets) if buckets > 1 else F.broadcast(offsets), ["_tokens", "_bucket"])
     placed = ranked.select("_id", "_piece", "_start", "_tokens", container_of(F.col("_tokens"), F.col("_own") + F.col("_offset"), plan).alias("container"))
     empty = pieces.where("_tokens <= 0").select("_id", "_piece", "_start", F.lit(0).cast("long").alias("_tokens"), F.lit(None).cast("long").alias("container"))
-    return placed.unionByName(empty).select(
+    rows = placed.unionByName(empty).select(
         F.col("_id").alias(id_col), F.col("_piece").alias("piece"), F.col("_start").alias("start"), F.col("_tokens").alias("tokens"), "container"
     )
+    return rows, plan
+
+
+def pack(df: DataFrame, id_col: str, size: Column, capacity: int = CAPACITY) -> DataFrame:
+    """The rows of pack_with_plan()."""
+    return pack_with_plan(df, id_col, size, capacity)[0]
 
 
-def packing_summary(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """One row: containers used, the least number that could do, tokens, and the share of unused space."""
+def packing_summary(packed: DataFrame, plan: Plan) -> DataFrame:
+    """One row: containers used, the least number by volume and by the dual bound, tokens, and the share of unused space."""
     whole = packed.where("container IS NOT NULL").agg(
         (F.coalesce(F.max("container"), F.lit(-1)) + 1).alias("containers"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")
     )
-    space = F.col("containers") * capacity
+    space = F.col("containers") * plan.capacity
     return whole.select(
-        "containers", F.ceil(F.col("tokens") / capacity).alias("least"), "tokens",
+        "containers", F.ceil(F.col("tokens") / plan.capacity).alias("least"), F.lit(plan.least).alias("dual_bound"), "tokens",
         F.coalesce(F.try_divide(space - F.col("tokens"), space), F.lit(0.0)).alias("unused"),
     )

@@ -10,7 +10,7 @@ from ..sources.tables import table
 from .bpe import encode_documents, token_count
 from .canonical import canonical_texts, lookalike_rows
 from .language import document_languages, fit_profiles, language_segments, unnamed_languages
-from .packing import pack, packing_summary
+from .packing import pack_with_plan, packing_summary
 from .quantiles import daily_sketches, percentiles
 
 PROBABILITIES = (0.5, 0.9, 0.95, 0.99)
@@ -60,13 +60,18 @@ def p6_ids(spark: SparkSession, root: str) -> DataFrame:
     return encode_documents(_documents(spark, root), "doc_id", "text")
 
 
+def _p7(spark: SparkSession, root: str):
+    return pack_with_plan(_documents(spark, root), "doc_id", token_count(F.col("text")))
+
+
 def p7_containers(spark: SparkSession, root: str) -> DataFrame:
     """Documents and their containers of 2,048 tokens."""
-    return pack(_documents(spark, root), "doc_id", token_count(F.col("text")))
+    return _p7(spark, root)[0]
 
 
 def p7_summary(spark: SparkSession, root: str) -> DataFrame:
-    return packing_summary(p7_containers(spark, root))
+    """How full the containers are, and how many there must be at least."""
+    return packing_summary(*_p7(spark, root))
 
 
 def _p8(spark: SparkSession, root: str) -> DataFrame:
