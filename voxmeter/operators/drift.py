@@ -1,64 +1,66 @@
 """Schemas that drift between files: one consistent table, and every change.
 
-Each file of a stream is a version of a schema. Payloads are parsed in the JVM to variants and flattened to (path, value)
-pairs, nested objects too; every column of a file is profiled by fixed-size aggregates (kinds of JSON values, units,
-range of the numbers, agreement with the payload's length, a min-hash sketch of the values). Files get their previous
-one by windows over months of a stream and one row a month, so no stream goes through a single task.
-
-Columns are matched twice, as minimum-cost bipartite matchings over at most the columns of two files: to the fields
-wanted (by name similarity, kinds and value sketch), and between a file and its previous one (by the same, and by equal
-values of the utterances that both hold). A column that the first matching leaves open takes the field of the column that
-the second one ties it to. Changes of a field are read off the two columns that carry it.
+Each file of a stream is a version of a schema. One pass over the payloads profiles the columns of every file, nested
+objects too: kinds of JSON values, how far numbers go with the length of the payload, and a sketch of the values (the k
+with the least hashes, with their counts), which answers quantiles, frequent values and common values of two columns. A
+file's profile also holds the records at its two ends, since a file may begin with those that closed the one before.
+Files get their previous one by windows over the days of a stream and one row a day, so no stream goes through one task.
+
+Neighbouring versions are matched by a bipartite matching of greatest similarity: of names, kinds, sketches, and of the
+values of records that both files hold. A field is seeded where a stream begins with one of its documented names, and
+carried from file to file by the matching, to the end of the stream, whatever the columns are called on the way. Names
+that were carried to are learnt over all streams: they seed streams, or what comes back after a gap, and a name that
+mostly stands beside the field's own column is none of its names. Changes of a field are read off its columns.
 """
 
 from __future__ import annotations
 
+import json
+import math
+import pickle
 import re
+from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..runtime import checkpointed, col
+from ..runtime import broadcast_if_small, checkpointed, col, spread
 
-HASHES = 6
-DEPTH = 3
-
-# Words of column names and how far each speaks for a field.
-DURATION_WORDS = {"duration": 3.0, "dur": 3.0, "length": 3.0, "len": 3.0, "audio": 2.0, "clip": 1.0, "seconds": 0.5, "sec": 0.5, "secs": 0.5, "s": 0.3, "ms": 0.3}
-LATENCY_WORDS = {
-    "latency": 4.0, "wall": 3.0, "took": 3.0, "elapsed": 3.0, "timing": 2.0, "time": 1.0, "gen": 1.5, "generation": 1.5, "synthesis": 1.0,
-    "seconds": 0.5, "sec": 0.5, "secs": 0.5, "s": 0.3, "ms": 0.3,
-}
-VOICE_WORDS = {"voice": 4.0, "speaker": 3.0, "spk": 3.0, "narrator": 3.0, "ref": 0.3, "name": 0.2, "id": 0.2}
-# Words that speak against every field, as of inputs, ratios and settings.
-OTHER_WORDS = {"rtf": 4.0, "seed": 4.0, "steps": 4.0, "top": 4.0, "sampler": 4.0, "lang": 4.0, "text": 4.0, "device": 4.0, "utt": 4.0, "rate": 3.0, "gender": 4.0}
+#: Values of a column that its sketch keeps (a column of fewer is kept whole), and records of each end of a file.
+VALUES, EDGE = 64, 4
+#: Similarity from which two columns of neighbouring versions may be the same one.
+LEAST = 1.0
+#: Columns of files that a task profiles before it hands them on.
+OPEN_COLUMNS = 20_000
+KINDS = ("number", "text", "list", "boolean")
 
 
 @dataclass(frozen=True)
 class Field:
-    """A wanted column: numeric ones are measured in seconds; words are weighted parts of its possible names."""
+    """A wanted column with its documented names; numeric ones are measured in seconds."""
 
     name: str
     numeric: bool
-    words: tuple[tuple[str, float], ...]
-    against: tuple[tuple[str, float], ...] = ()
-    grows_with_text: bool = False
+    names: tuple[str, ...]
 
 
+# The shipped and the default name of each field.
 FIELDS = (
-    Field("duration", True, tuple(DURATION_WORDS.items()), (("prompt", 4.0), ("ref", 3.0), ("gt", 3.0)), True),
-    Field("latency", True, tuple(LATENCY_WORDS.items()), (("dur", 3.0), ("len", 3.0), ("length", 3.0), ("duration", 3.0), ("audio", 1.0), ("prompt", 4.0))),
-    Field("voice", False, tuple(VOICE_WORDS.items()), (("dur", 4.0), ("ms", 2.0))),
+    Field("duration", True, ("audio_seconds", "gen_dur")),
+    Field("latency", True, ("gen_seconds", "latency_s")),
+    Field("voice", False, ("voice", "ref_voice")),
 )
 
 
-def name_words(path: str) -> list[str]:
+@lru_cache(100_000)
+def name_words(path: str) -> tuple[str, ...]:
     """Lower-case words of a path, cut at dots, underscores and changes of case."""
-    return [w for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", path).lower()) if w]
+    return tuple(w for w in re.split(r"[^a-z0-9]+", re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", path).lower()) if w)
 
 
 def assign(costs: list[list[float]]) -> list[int]:
@@ -100,245 +102,499 @@ def assign(costs: list[list[float]]) -> list[int]:
     return out
 
 
-@cache
-def name_score(path: str, field: Field) -> float:
-    words = name_words(path)
-    return sum(dict(field.words).get(w, 0.0) - dict(field.against).get(w, 0.0) - OTHER_WORDS.get(w, 0.0) for w in words)
+# --- values and profiles -----------------------------------------------------------------------------------------
 
+_NUMBER = re.compile(r"(?:(ms|s):)?\s*(-?[0-9]+(?:[.,][0-9]+)?(?:[eE][-+]?[0-9]+)?)\s*(ms|s)?")
 
-def field_score(c: dict, field: Field) -> float:
-    """How well a profiled column fits a field: its name, its kinds of values, and the sketch of its numbers."""
-    score = name_score(c["path"], field)
-    numeric = (c["numbers"] or 0) / max(1, c["n"])
-    if field.numeric:
-        if c["kind"] == "list" or numeric < 0.5:
-            return -10.0
-        low, high = c["low"], c["high"]
-        score += 1.0 if 0 < low and high < 600 else -3.0
-        if field.grows_with_text and c["r"] is not None and c["n"] >= 6:
-            score += 1.5 * max(-1.0, min(1.0, c["r"] * 1.5))
-    else:
-        if c["kind"] == "number" and c["low"] != round(c["low"]):
-            return -10.0
-        if c["kind"] == "text" and numeric > 0.5:
-            score -= 3.0
-        score += 0.5 if c["distinct"] <= 2 else -0.5
-    return score
 
+def reading(value) -> tuple[str, str, float | None, bool] | None:
+    """(kind, text, number, has a unit) of a JSON value; None for null. A list counts by its first element.
 
-#: Score from which a column carries a field by itself.
-SURE = 2.0
+    A number in a text may have a decimal comma and a unit (s or ms), before a colon or behind; milliseconds become
+    seconds.
+    """
+    if value is None:
+        return None
+    if isinstance(value, bool):
+        return "boolean", "true" if value else "false", None, False
+    if isinstance(value, (int, float)):
+        return "number", repr(value), float(value), False
+    if isinstance(value, str):
+        m = _NUMBER.fullmatch(value)
+        if not m:
+            return "text", value, None, False
+        unit = m[1] or m[3]
+        x = float(m[2].replace(",", "."))
+        return "text", value, x / 1000 if unit == "ms" else x, unit is not None
+    first = reading(value[0]) if value and not isinstance(value[0], dict) else None
+    return ("list", first[1], first[2], first[3]) if first else ("list", json.dumps(value), None, False)
+
+
+def flat(value: dict, prefix: str = "") -> Iterator[tuple[str, object]]:
+    """(path, value) of everything in an object that is no object itself; paths are dotted, to any depth."""
+    open_ = [(prefix, value)]
+    while open_:
+        prefix, value = open_.pop()
+        for k, v in value.items():
+            if isinstance(v, dict):
+                open_.append((f"{prefix}{k}.", v))
+            else:
+                yield prefix + k, v
+
+
+def _no_constant(name: str):
+    raise ValueError(name)
+
+
+def parsed(payload: str | None) -> dict | None:
+    """The object of a payload, or None if it isn't one."""
+    try:
+        value = json.loads(payload, parse_constant=_no_constant)
+    except (ValueError, TypeError, RecursionError):
+        return None
+    return value if isinstance(value, dict) else None
+
+
+def key_of(text: str, number: float | None) -> str:
+    """What values are compared by: numbers to six digits, long texts by their hash."""
+    if number is not None:
+        return f"{number:.6g}"
+    return text if len(text) <= 32 else xxhash.xxh3_64_hexdigest(text)
+
+
+def _hash(key: str) -> int:
+    return xxhash.xxh3_64_intdigest(key)
+
+
+class Profile:
+    """What is kept of a column: counts by kind, moments of its numbers and the payload lengths, a sketch of the values."""
+
+    __slots__ = ("kinds", "numbers", "units", "moments", "values", "bound")
+
+    def __init__(self) -> None:
+        self.kinds, self.numbers, self.units, self.moments, self.values, self.bound = [0] * len(KINDS), 0, 0, [0.0] * 5, {}, None
+
+    def __reduce__(self):
+        return _profile, (self.kinds, self.numbers, self.units, self.moments, self.values, self.bound)
+
+    def add(self, kind: str, key: str, number: float | None, unit: bool, size: int) -> None:
+        self.kinds[KINDS.index(kind)] += 1
+        if number is not None and abs(number) < 1e100:
+            self.numbers += 1
+            self.units += unit
+            m = self.moments
+            m[0] += number
+            m[1] += number * number
+            m[2] += size
+            m[3] += size * size
+            m[4] += number * size
+        if key in self.values:
+            self.values[key] += 1
+        elif self.bound is None or _hash(key) <= self.bound:
+            self.values[key] = 1
+            if len(self.values) >= 2 * VALUES:
+                self._shrink()
+
+    def _shrink(self) -> None:
+        if len(self.values) > VALUES:
+            kept = sorted((_hash(k), k) for k in self.values)[:VALUES]
+            self.bound = kept[-1][0]
+            self.values = {k: self.values[k] for _, k in kept}
+
+    def merge(self, other: "Profile") -> None:
+        """Adds a profile of other rows; the sketch is the same in whatever order rows and profiles come."""
+        self.kinds = [a + b for a, b in zip(self.kinds, other.kinds)]
+        self.numbers += other.numbers
+        self.units += other.units
+        self.moments = [a + b for a, b in zip(self.moments, other.moments)]
+        bounds = [b for b in (self.bound, other.bound) if b is not None]
+        if bounds:
+            self.bound = min(bounds)
+        for k, n in other.values.items():
+            self.values[k] = self.values.get(k, 0) + n
+        if self.bound is not None:
+            self.values = {k: n for k, n in self.values.items() if _hash(k) <= self.bound}
+        self._shrink()
+
+    @property
+    def n(self) -> int:
+        return sum(self.kinds)
+
+    @property
+    def kind(self) -> str:
+        return KINDS[max(range(len(KINDS)), key=lambda i: (self.kinds[i], -i))]
+
+    @property
+    def distinct(self) -> float:
+        return len(self.values) if self.bound is None else (len(self.values) - 1) * 2.0**64 / self.bound
+
+    @property
+    def length_correlation(self) -> float:
+        """How far the numbers go with the length of their payload, -1 to 1."""
+        x, xx, s, ss, xs = self.moments
+        n = self.numbers
+        spread_ = (n * xx - x * x) * (n * ss - s * s)
+        return max(-1.0, min(1.0, (n * xs - x * s) / math.sqrt(spread_))) if n > 2 and spread_ > 1e-9 else 0.0
+
+    def quantiles(self, points: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> list[float]:
+        """Quantiles of the numbers, from the sketch: its values are a sample of the distinct ones, with their counts."""
+        held = sorted((float(k), n) for k, n in self.values.items() if _NUMBER.fullmatch(k))
+        if not held:
+            return []
+        ends, total = [], 0
+        for _, n in held:
+            total += n
+            ends.append(total)
+        return [held[min(len(held) - 1, bisect_left(ends, p * total))][0] for p in points]
+
+
+def _profile(*parts) -> Profile:
+    p = Profile()
+    p.kinds, p.numbers, p.units, p.moments, p.values, p.bound = parts
+    return p
+
+
+class Version:
+    """The profile of a file: stream, time, columns by path, records by line at either end, and payloads refused."""
+
+    __slots__ = ("stream", "at", "columns", "ends", "rejects")
+
+    def __init__(self) -> None:
+        self.stream, self.at, self.columns, self.ends, self.rejects = None, None, {}, {}, 0
+
+    def __reduce__(self):
+        return _version, (self.stream, self.at, self.columns, self.ends, self.rejects)
+
+    def add(self, stream, at, line: int | None, payload: str | None) -> None:
+        self._place(stream, at)
+        value = parsed(payload)
+        if value is None:
+            self.rejects += 1
+            return
+        record, size = {}, len(payload)
+        for path, v in flat(value):
+            read = reading(v)
+            if read:
+                kind, text, number, unit = read
+                key = record[path] = key_of(text, number)
+                if path not in self.columns:
+                    self.columns[path] = Profile()
+                self.columns[path].add(kind, key, number, unit, size)
+        if line is not None:
+            self.ends[line] = record
+            if len(self.ends) > 4 * EDGE:
+                self._shrink()
+
+    def _place(self, stream, at) -> None:
+        # of several values in one file the least counts
+        if stream is not None and (self.stream is None or stream < self.stream):
+            self.stream = stream
+        if at is not None and (self.at is None or at < self.at):
+            self.at = at
+
+    def _shrink(self) -> None:
+        if len(self.ends) > 2 * EDGE:
+            lines = sorted(self.ends)
+            self.ends = {k: self.ends[k] for k in lines[:EDGE] + lines[-EDGE:]}
+
+    def merge(self, other: "Version") -> None:
+        self._place(other.stream, other.at)
+        self.rejects += other.rejects
+        for path, p in other.columns.items():
+            if path in self.columns:
+                self.columns[path].merge(p)
+            else:
+                self.columns[path] = p
+        self.ends |= other.ends
+        self._shrink()
+
+    def head(self) -> list[dict]:
+        return [self.ends[k] for k in sorted(self.ends)[:EDGE]]
+
+    def tail(self) -> list[dict]:
+        return [self.ends[k] for k in sorted(self.ends)[-EDGE:]]
+
+
+def _version(*parts) -> Version:
+    v = Version()
+    v.stream, v.at, v.columns, v.ends, v.rejects = parts
+    return v
+
+
+# --- matching ----------------------------------------------------------------------------------------------------
+
+
+def _same(a: str, b: str) -> bool:
+    """Whether two compared values are one, perhaps in another unit."""
+    if a == b:
+        return True
+    if not (_NUMBER.fullmatch(a) and _NUMBER.fullmatch(b)):
+        return False
+    x, y = float(a), float(b)
+    return any(abs(x - f * y) <= 0.0011 * max(1.0, f) for f in (1.0, 1000.0)) or abs(1000 * x - y) <= 1.1
+
+
+def shared_records(now: Version, before: Version) -> list[tuple[dict, dict]]:
+    """Pairs of a record at the beginning of a file and one at the end of that before it that are the same one.
+
+    They agree in more than half of their telling values: texts of columns that hardly repeat themselves. Names of
+    columns play no part.
+    """
+
+    def telling(v: Version, record: dict) -> set[str]:
+        return {k for p, k in record.items() if 2 * v.columns[p].distinct > v.columns[p].n and len(k) > 1 and not _NUMBER.fullmatch(k)}
 
+    ends = [(r, telling(before, r)) for r in before.tail()]
+    out = []
+    for r in now.head():
+        own = telling(now, r)
+        best = max(ends, key=lambda e: len(own & e[1]), default=None)
+        if best and 2 * len(own & best[1]) > min(len(own), len(best[1])):
+            out.append((r, best[0]))
+    return out
 
-def fields_of(columns: Sequence[dict], fields: Sequence[Field] = FIELDS) -> dict[str, str]:
-    """field: path, by the matching of fields to a file's columns that scores best; weak pairs are left open."""
-    costs = [[-field_score(c, f) for c in columns] + [-SURE] * len(fields) for f in fields]
-    return {f.name: columns[k]["path"] for f, k in zip(fields, assign(costs)) if k < len(columns)} if columns else {}
 
+def name_similarity(a: str, b: str) -> float:
+    wa, wb = set(name_words(a)), set(name_words(b))
+    return 2.0 * len(wa & wb) / (len(wa) + len(wb)) if wa or wb else 1.0
 
-def similarity(a: dict, b: dict, equal: int, shared: int) -> float:
-    """How likely two columns of neighbouring files are the same one: names, kinds, sketches, and equal shared values."""
-    if a["path"] == b["path"]:
-        return 10.0
-    wa, wb = set(name_words(a["path"])), set(name_words(b["path"]))
-    score = 2.0 * len(wa & wb) / max(1, len(wa | wb))
-    score += 0.5 if a["kind"] == b["kind"] else 0.0
-    score += 1.0 * sum(x == y for x, y in zip(a["hashes"], b["hashes"])) / HASHES
-    if a["numbers"] and b["numbers"] and a["low"] > 0 and b["low"] > 0:
-        overlap = min(a["high"], b["high"]) - max(a["low"], b["low"])
-        score += 1.0 if overlap > 0 else -1.0
+
+def _distance(a: list[float], b: list[float]) -> float:
+    """Mean distance of two lists of quantiles, as decimal logarithms of their ratios; units of s and ms are one."""
+
+    def log(x: float) -> float:
+        return math.log10(max(abs(x), 1e-4))
+
+    gaps = [log(x) - log(y) for x, y in zip(a, b)]
+    return min(sum(abs(g - shift) for g in gaps) / len(gaps) + 0.02 * abs(shift) for shift in (0.0, 3.0, -3.0))
+
+
+def similarity(a: str, pa: Profile, b: str, pb: Profile, equal: int = 0, shared: int = 0) -> float:
+    """How likely two columns of neighbouring versions are the same one."""
+    score = 1.5 * name_similarity(a, b) + (3.0 if a == b else 0.0)
+    score += 0.5 if pa.kind == pb.kind else 0.0
+    held = pa.values.keys() & pb.values.keys()
+    least = min(len(pa.values), len(pb.values))
+    common = len(held) / least if least else 0.0
+    na, nb = 2 * pa.numbers > pa.n, 2 * pb.numbers > pb.n
+    # constant columns and changing ones are different things
+    score -= 2.0 * abs(pa.distinct / pa.n - pb.distinct / pb.n) if min(pa.n, pb.n) > 2 else 0.0
+    if na != nb:
+        score += 0.5 if max(pa.distinct, pb.distinct) <= 2 else -1.0
+    elif not na:
+        score += 3.0 * common if least <= 2 or common > 0.5 else common
+    else:
+        qa, qb = pa.quantiles(), pb.quantiles()
+        if qa and qb:
+            weight = min(1.0, min(pa.numbers, pb.numbers) / 8)
+            score += weight * (2.5 - min(4.0, 8 * _distance(qa, qb)))
+            score -= 1.5 * weight * abs(pa.length_correlation - pb.length_correlation)
+        score += common if least <= 4 else 0.0
     if shared:
-        score += 6.0 * equal / shared - 2.0 * (equal == 0)
+        # what turns from text to number has other values
+        score += 4.0 * equal / shared - (0.5 if na != nb else 3.0) * (1 - equal / shared)
     return score
 
 
-def versions_matched(now: Sequence[dict], before: Sequence[dict], equal: dict[tuple[str, str], tuple[int, int]], least: float = 3.0) -> dict[str, str]:
+def versions_matched(now: Version, before: Version, least: float = LEAST) -> dict[str, str]:
     """path now: path before, by the matching of two versions; pairs below least are additions and removals."""
-    if not now or not before:
+    if not now.columns or not before.columns:
         return {}
-    costs = [[-similarity(a, b, *equal.get((a["path"], b["path"]), (0, 0))) for b in before] + [-least] * len(now) for a in now]
-    return {a["path"]: before[k]["path"] for a, k in zip(now, assign(costs)) if k < len(before)}
+    pairs = shared_records(now, before)
+    rows, cols = sorted(now.columns), sorted(before.columns)
+    costs = []
+    for a in rows:
+        line = []
+        for b in cols:
+            both = [(x[a], y[b]) for x, y in pairs if a in x and b in y]
+            equal = sum(_same(x, y) for x, y in both)
+            line.append(-similarity(a, now.columns[a], b, before.columns[b], equal, len(both)))
+        costs.append(line + [-least] * len(rows))
+    return {a: cols[k] for a, k in zip(rows, assign(costs)) if k < len(cols)}
+
+
+def seeds(version: Version, fields: Sequence[Field] = FIELDS) -> dict[str, str]:
+    """path: field, by the matching of a version's columns to the fields whose documented names they have in some form."""
+    columns = sorted(version.columns)
+
+    def score(path: str, f: Field) -> float:
+        p = version.columns[path]
+        fits = max(name_similarity(path, n) + (path == n) for n in f.names)
+        if f.numeric and 2 * p.numbers < p.n or not f.numeric and p.kind == "boolean":
+            return -1.0
+        return fits + 0.1 * math.tanh(p.n / 100)
+
+    costs = [[-score(c, f) for c in columns] + [-0.99] * len(fields) for f in fields]
+    return {columns[k]: f.name for f, k in zip(fields, assign(costs)) if k < len(columns)} if columns else {}
 
 
-# --- profiles ----------------------------------------------------------------------------------------------------
+# --- the operator ------------------------------------------------------------------------------------------------
 
 
-def flattened(df: DataFrame, payload: str, keep: Sequence[str], depth: int = DEPTH) -> DataFrame:
-    """(keep..., path, value variant, size): one row per scalar or list of a payload's object, nested objects dotted.
+def _own(x):
+    return None if x is None or x != x else x
 
-    Payloads that don't parse, or aren't objects, give no rows. Objects deeper than depth stay whole.
-    """
-    names = ", ".join(f"`{c}`" for c in keep)
-    whole = df.select(*(col(c) for c in keep), F.length(col(payload)).alias("size"), F.try_parse_json(col(payload)).alias("value"))
-    # one pass: each level opens the objects of the one above and keeps what isn't one
-    laterals, keys, values = [], [], ["v.value"]
-    for d in range(depth):
-        up = values[0]
-        outer = "_outer" if d else ""
-        laterals.append(f"LATERAL variant_explode{outer}(CASE WHEN schema_of_variant({up}) LIKE 'OBJECT<%' THEN {up} END) AS e{d}")
-        keys.append(f"e{d}.key")
-        values.insert(0, f"e{d}.value")
-    query = f"SELECT {names}, size, concat_ws('.', {', '.join(keys)}) AS path, coalesce({', '.join(values[:-1])}) AS value FROM {{whole}} v, {', '.join(laterals)}"
-    return df.sparkSession.sql(query, whole=whole.where("value IS NOT NULL"))
-
-
-def measured(rows: DataFrame) -> DataFrame:
-    """flattened() rows with kind, text and seconds: the JSON kind, the value as text, and as a number without its unit.
-
-    Numbers in texts may carry a unit (s or ms) before a colon or behind, and a decimal comma. Milliseconds, by the
-    value's unit or else by the last word of the path, become seconds. A list counts by its first element.
-    """
-    shape = F.schema_of_variant("value")
-    number = F.regexp_extract("text", r"^(?:(?:ms|s):)?\s*(-?[0-9]+(?:[.,][0-9]+)?(?:[eE][-+]?[0-9]+)?)\s*(?:ms|s)?$", 1)
-    unit = F.regexp_extract("text", r"(ms)(?::|$)", 1)
-    bare = ~F.col("text").rlike("[a-z]")
-    in_ms = (unit == "ms") | (bare & F.col("path").rlike(r"(?i)(^|[._]|[a-z])ms$"))
-    rows = rows.withColumn("_shape", shape).where("_shape <> 'VOID'")
-    rows = rows.withColumn("kind", F.when(F.col("_shape").startswith("ARRAY"), "list").when(F.col("_shape") == "STRING", "text").when(F.col("_shape") == "BOOLEAN", "boolean").when(F.col("_shape").startswith("OBJECT"), "object").otherwise("number"))
-    rows = rows.withColumn("text", F.when(F.col("kind") == "list", F.try_variant_get("value", "$[0]", "string")).otherwise(F.try_variant_get("value", "$", "string")))
-    seconds = F.replace(number, F.lit(","), F.lit(".")).try_cast("double")
-    return rows.withColumn("seconds", F.when(in_ms, seconds / 1000).otherwise(seconds)).drop("_shape", "value")
-
-
-def profiles(values: DataFrame, file_id: str) -> DataFrame:
-    """One row per file with its columns' profiles; every aggregate is of fixed size and partial before the shuffle."""
-    text = F.coalesce(F.col("seconds").cast("string"), F.col("text"))
-    kinds = F.array(*(F.struct(F.count(F.when(F.col("kind") == k, 1)).alias("n"), F.lit(k).alias("kind")) for k in ("number", "text", "list", "boolean", "object")))
-    per = values.groupBy(col(file_id), "path").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_max(kinds)["kind"].alias("kind"),
-        F.count("seconds").alias("numbers"),
-        F.min("seconds").alias("low"),
-        F.max("seconds").alias("high"),
-        F.try_divide(F.covar_pop("seconds", "size"), F.sqrt(F.var_pop("seconds") * F.var_pop(F.when(F.col("seconds").isNotNull(), F.col("size"))))).alias("r"),
-        F.approx_count_distinct("text").alias("distinct"),
-        F.array(*(F.min(F.xxhash64(text, F.lit(i))) for i in range(HASHES))).alias("hashes"),
-    )
-    return per.groupBy(col(file_id)).agg(F.sort_array(F.collect_list(F.struct("path", "n", "kind", "numbers", "low", "high", "r", "distinct", "hashes"))).alias("columns"))
 
+def _profiled(rows: DataFrame, file_type: str) -> DataFrame:
+    """(file, version) from rows (file, stream, at, line, payload): pickled profiles of each task's share of a file."""
 
-def previous_files(df: DataFrame, file_id: str, stream: str, time: str) -> DataFrame:
-    """(file, before): each file and the one before it in its stream by time, null for the first; ties by id."""
-    files = df.groupBy(col(file_id).alias("file")).agg(F.min(col(stream)).alias("stream"), F.min(col(time)).alias("at"))
-    files = files.withColumn("day", F.to_date("at"))
-    within = files.withColumn("inner", F.lag("file").over(Window.partitionBy("stream", "day").orderBy("at", "file")))
-    days = files.groupBy("stream", "day").agg(F.max_by("file", F.struct("at", "file")).alias("last"))
-    days = days.select("stream", "day", F.lag("last").over(Window.partitionBy("stream").orderBy("day")).alias("outer"))
-    joined = within.alias("w").join(days.alias("d"), F.col("w.stream").eqNullSafe(F.col("d.stream")) & F.col("w.day").eqNullSafe(F.col("d.day")))
-    return joined.select("file", F.coalesce("inner", "outer").alias("before"))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
 
+        def close() -> pd.DataFrame:
+            out = pd.DataFrame([(f, pickle.dumps(v, 5)) for f, v in held.items()], columns=["file", "version"])
+            held.clear()
+            return out
 
-def shared_values(values: DataFrame, files: DataFrame, file_id: str, key_path: str) -> DataFrame:
-    """(file, shared, equal): of each file, the keys it shares with the one before, and how often columns agree on them.
+        for batch in batches:
+            for file, stream, at, line, payload in batch.itertuples(index=False, name=None):
+                if file not in held:
+                    held[file] = Version()
+                line = _own(line)
+                held[file].add(_own(stream), _own(at), None if line is None else int(line), _own(payload))
+            if sum(len(v.columns) + 1 for v in held.values()) > OPEN_COLUMNS:
+                yield close()
+        if held:
+            yield close()
 
-    equal: array of (now, before, n) for pairs of columns of different names. Text is compared as it is, numbers in
-    seconds to three digits.
-    """
-    value = F.coalesce(F.round("seconds", 3).cast("string"), F.col("text"))
-    records = values.where((F.col("path") != key_path) & F.col("_key").isNotNull()).groupBy(col(file_id).alias("_f"), "_key").agg(
-        F.collect_set(F.struct(F.col("path").alias("key"), value.alias("value"))).alias("_m")
-    )
-    now = records.join(files.where("before IS NOT NULL"), F.col("_f") == F.col("file")).select("file", "before", "_key", F.col("_m").alias("_a"))
-    both = now.join(records.select(F.col("_f").alias("before"), "_key", F.col("_m").alias("_b")), ["before", "_key"])
-    equal = F.flatten(F.transform(
-        "_a",
-        lambda a: F.transform(F.filter("_b", lambda b: (b["value"] == a["value"]) & (b["key"] != a["key"])), lambda b: F.struct(a["key"].alias("now"), b["key"].alias("before"))),
-    ))
-    shared = both.groupBy("file").agg(F.count(F.lit(1)).alias("shared"))
-    pairs = both.select("file", F.explode(equal).alias("e")).groupBy("file", "e").agg(F.count(F.lit(1)).alias("n"))
-    pairs = pairs.groupBy("file").agg(F.collect_list(F.struct("e.now", "e.before", "n")).alias("equal"))
-    return shared.join(pairs, "file", "left")
+    return rows.mapInPandas(run, f"file {file_type}, version binary")
 
 
-# --- the operator ------------------------------------------------------------------------------------------------
+def _merged(parts: DataFrame, file_type: str) -> DataFrame:
+    """One row a file: (file, stream, at, version). Shares of a file are merged as a stream over sorted rows."""
 
-_ASSIGNED = "file bigint, carriers array<struct<field string, path string, kind string>>, open array<struct<path string, kind string, was string>>, changes array<struct<path string, old_path string, change string>>"
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, whole, done = None, None, []
 
+        def row() -> tuple:
+            return current, whole.stream, whole.at, pickle.dumps(whole, 5)
+
+        for batch in batches:
+            for file, blob in batch.itertuples(index=False, name=None):
+                version = pickle.loads(blob)
+                if whole is not None and file == current:
+                    whole.merge(version)
+                    continue
+                if whole is not None:
+                    done.append(row())
+                current, whole = file, version
+            if len(done) > 500:
+                yield pd.DataFrame(done, columns=["file", "stream", "at", "version"])
+                done = []
+        if whole is not None:
+            done.append(row())
+        if done:
+            yield pd.DataFrame(done, columns=["file", "stream", "at", "version"])
+
+    return parts.repartition("file").sortWithinPartitions("file").mapInPandas(run, f"file {file_type}, stream string, at string, version binary")
+
+
+def previous_files(files: DataFrame) -> DataFrame:
+    """(file, before) from (file, stream, at): the one before in its stream by time, null for the first; ties by id."""
+    files = files.select("file", "stream", "at", F.substring("at", 1, 10).alias("day"))
+    within = files.withColumn("inner", F.lag("file").over(Window.partitionBy("stream", "day").orderBy("at", "file")))
+    days = files.groupBy("stream", "day").agg(F.max_by("file", F.struct("at", "file")).alias("last"))
+    days = days.select("stream", "day", F.lag("last").over(Window.partitionBy("stream").orderBy("day")).alias("outer"))
+    joined = within.alias("w").join(days.alias("d"), F.col("w.stream").eqNullSafe(F.col("d.stream")) & F.col("w.day").eqNullSafe(F.col("d.day")))
+    return joined.select("file", F.coalesce("inner", "outer").alias("before"))
 
-def _assignments(versions: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    """For each file: the columns that carry the fields by their names, the open ones with the column before, and all changes."""
 
-    def one(columns, before, shared, equal) -> tuple:
-        columns, before = [dict(c) for c in columns], [dict(c) for c in before]
-        kinds, old_kinds = {c["path"]: c["kind"] for c in columns}, {c["path"]: c["kind"] for c in before}
-        found = fields_of(columns, fields)
-        matched = versions_matched(columns, before, {(e["now"], e["before"]): (e["n"], shared) for e in equal})
-        named = set(found.values())
-        open_ = [(p, k, matched.get(p)) for p, k in kinds.items() if p not in named] if len(found) < len(fields) else []
-        changes = [(p, None, "added") for p in kinds if p not in matched] + [(None, p, "removed") for p in old_kinds if p not in matched.values()]
-        for path, was in matched.items():
-            changes += [(path, was, "renamed")] * (path != was) + [(path, was, "retyped")] * (kinds[path] != old_kinds[was])
-        return [(f, p, kinds[p]) for f, p in sorted(found.items())], open_, changes
+def _linked(versions: DataFrame, file_type: str, fields: Sequence[Field]) -> DataFrame:
+    """For each file its columns, each with the one before that it is matched to and the field that its name speaks for."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for file, before, columns, old, shared, equal in batch.itertuples(index=False, name=None):
-                carriers, open_, changes = one(*((x if x is not None else []) for x in (columns, old)), int(shared) if shared == shared and shared else 0, equal if equal is not None else [])
-                rows.append((file, carriers, open_, changes if before == before and before is not None else []))
-            yield pd.DataFrame(rows, columns=["file", "carriers", "open", "changes"])
+            for file, before, blob, old_blob in batch.itertuples(index=False, name=None):
+                now, old = pickle.loads(blob), pickle.loads(old_blob) if old_blob is not None else None
+                links = versions_matched(now, old) if old else {}
+                named = seeds(now, fields)
+                nodes, changes = [], []
+                for path, p in sorted(now.columns.items()):
+                    was = links.get(path)
+                    middle = p.quantiles((0.5,))
+                    in_ms = 2 * p.units < p.numbers and (name_words(path)[-1:] == ("ms",) or bool(middle) and middle[0] >= 100)
+                    nodes.append((path, p.kind, p.n, was, named.get(path), 0.001 if in_ms else 1.0))
+                    if old is not None and was is None:
+                        changes.append((path, None, "added"))
+                    elif was is not None:
+                        changes += [(path, was, "renamed")] * (path != was) + [(path, was, "retyped")] * (p.kind != old.columns[was].kind)
+                if old is not None:
+                    changes += [(None, p, "removed") for p in sorted(old.columns.keys() - links.values())]
+                rows.append((file, _own(before), nodes, changes))
+            yield pd.DataFrame(rows, columns=["file", "before", "nodes", "changes"]).astype({"before": object})
+
+    return versions.select("file", "before", "version", "old").mapInPandas(
+        run,
+        f"file {file_type}, before {file_type}, nodes array<struct<path string, kind string, n bigint, was string, named string, scale double>>, "
+        "changes array<struct<path string, old_path string, change string>>",
+    )
 
-    return versions.select("file", "before", "columns", "old", "shared", "equal").mapInPandas(run, _ASSIGNED)
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """nodes (file, path, ..., r_file, r_path, done) with r_file and r_path led to the first column of their run.
 
-_PENDING = "t_file IS NOT NULL AND field IS NULL"
+    A column points to the one it is matched to in the file before. Pointers double each round, so there are as many
+    rounds as the logarithm of the longest run.
+    """
+    while nodes.where("NOT done").limit(1).count():
+        to = nodes.select(F.col("file").alias("_f"), F.col("path").alias("_p"), F.col("r_file").alias("_rf"), F.col("r_path").alias("_rp"), F.col("done").alias("_d"))
+        far = nodes.where("NOT done").drop("done").join(to, (F.col("r_file") == F.col("_f")) & (F.col("r_path") == F.col("_p")))
+        far = far.withColumns({"r_file": F.col("_rf"), "r_path": F.col("_rp")}).withColumnRenamed("_d", "done").drop("_f", "_p", "_rf", "_rp")
+        nodes = checkpointed(nodes.where("done").unionByName(far))
+    return nodes
 
 
-def _inherited(nodes: DataFrame) -> DataFrame:
-    """nodes (file, path, kind, field, t_file, t_path, blocked) with the fields that open columns have from those before.
+def _votes(labelled: DataFrame) -> DataFrame:
+    """(path, field, pro, con): in how many files a name carries the field, and stands beside the column that does."""
+    per = labelled.groupBy("file").agg(F.collect_list(F.struct("path", "label")).alias("own"))
+    said = F.flatten(F.transform("own", lambda x: F.transform(
+        F.filter("own", lambda y: y["label"].isNotNull() & ((y["path"] == x["path"]) | ~x["label"].eqNullSafe(y["label"]))),
+        lambda y: F.struct(x["path"].alias("path"), y["label"].alias("field"), (y["path"] == x["path"]).alias("pro")),
+    )))
+    return per.select(F.explode(said).alias("v")).groupBy("v.path", "v.field").agg(F.count_if("v.pro").alias("pro"), F.count_if(~F.col("v.pro")).alias("con"))
 
-    An open column points to the one it is matched to in the file before and takes its field, unless a file on the way
-    has another column for it (blocked, at most all fields). Pointers double each round, so there are as many rounds as
-    the logarithm of the longest run of open names.
-    """
-    while nodes.where(_PENDING).limit(1).count():
-        to = nodes.select(F.col("file").alias("_f"), F.col("path").alias("_p"), F.col("field").alias("_field"), F.col("t_file").alias("_tf"), F.col("t_path").alias("_tp"), F.col("blocked").alias("_b"))
-        far = nodes.where(_PENDING).join(to, (F.col("t_file") == F.col("_f")) & (F.col("t_path") == F.col("_p")), "left")
-        far = far.select(
-            "file", "path", "kind", F.when(~F.array_contains("blocked", F.col("_field")), F.col("_field")).alias("field"),
-            F.when(F.col("_field").isNull(), F.col("_tf")).alias("t_file"), F.when(F.col("_field").isNull(), F.col("_tp")).alias("t_path"),
-            F.array_union("blocked", F.coalesce("_b", F.array().cast("array<string>"))).alias("blocked"),
-        )
-        nodes = checkpointed(nodes.where(f"NOT ({_PENDING})").unionByName(far))
-    return nodes
 
+def _labelled(nodes: DataFrame) -> DataFrame:
+    """nodes with label, the field that a column carries, or null.
 
-def _carriers(first: DataFrame) -> DataFrame:
-    """(file, carriers) of _assignments() with the names that only values reveal: from the files before, then from others."""
-    by_name = first.select("file", F.explode("carriers").alias("c")).select("file", F.col("c.path").alias("path"), F.col("c.kind").alias("kind"), F.col("c.field").alias("field"))
-    by_name = by_name.selectExpr("*", "CAST(NULL AS BIGINT) AS t_file", "CAST(NULL AS STRING) AS t_path", "CAST(array() AS array<string>) AS blocked")
-    start = first.select("file", "before", F.transform("carriers", lambda c: c["field"]).alias("blocked"), F.explode("open").alias("o")).select(
-        "file", F.col("o.path").alias("path"), F.col("o.kind").alias("kind"), F.lit(None).cast("string").alias("field"),
-        F.when(F.col("o.was").isNotNull(), F.col("before")).alias("t_file"), F.col("o.was").alias("t_path"), "blocked",
-    )
-    links = checkpointed(start)
-    known = by_name
+    A run takes the field that its first column's name speaks for. Names that runs were carried to are learnt, and runs
+    without a field take that of any of their names, until nothing is new. A name that stands beside the field's own
+    column at least as often as it carries the field doesn't carry it.
+    """
+    first = nodes.where("file = r_file AND path = r_path AND named IS NOT NULL").select(F.col("r_file").alias("_rf"), F.col("r_path").alias("_rp"), F.col("named").alias("_label"))
+    roots = checkpointed(first)
     while True:
-        taken = known.select("file", F.col("path"), F.lit(True).alias("_taken"))
-        rest = links.join(taken, ["file", "path"], "left").where("_taken IS NULL").drop("_taken")
-        held = known.groupBy("file").agg(F.collect_set("field").alias("_held"))
-        rest = rest.join(held, "file", "left").withColumn("blocked", F.coalesce("_held", "blocked")).drop("_held")
-        nodes = _inherited(checkpointed(known.unionByName(rest)))
-        named = nodes.where("field IS NOT NULL").selectExpr("file", "path", "kind", "field", "CAST(NULL AS BIGINT) AS t_file", "CAST(NULL AS STRING) AS t_path", "CAST(array() AS array<string>) AS blocked")
-        # what a name means elsewhere, most often: it helps runs that begin with it
-        learnt = named.join(links.select("file", "path"), ["file", "path"]).groupBy("path", "field").agg(F.count(F.lit(1)).alias("n"))
-        learnt = learnt.groupBy("path").agg(F.max_by("field", F.struct("n", "field")).alias("field"), F.max("n").alias("n"))
-        still = nodes.where("field IS NULL").select("file", "path", "kind").join(learnt, "path")
-        have = named.select("file", "field")
-        more = still.join(have, ["file", "field"], "left_anti").groupBy("file", "field").agg(F.max_by(F.struct("path", "kind"), F.struct("n", "path")).alias("x"))
-        more = checkpointed(more.selectExpr("file", "x.path AS path", "x.kind AS kind", "field", "CAST(NULL AS BIGINT) AS t_file", "CAST(NULL AS STRING) AS t_path", "CAST(array() AS array<string>) AS blocked"))
-        if not more.limit(1).count():
-            return named.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("field", "path", "kind"))).alias("carriers"))
-        known = checkpointed(named.unionByName(more))
+        labelled = nodes.join(roots, (F.col("r_file") == F.col("_rf")) & (F.col("r_path") == F.col("_rp")), "left").withColumn("label", F.col("_label")).drop("_rf", "_rp", "_label")
+        labelled = checkpointed(labelled)
+        votes = _votes(labelled).select(F.col("path").alias("_p"), F.col("field").alias("_field"), "pro", "con")
+        votes = checkpointed(votes)
+        open_ = labelled.where("label IS NULL")
+        by_name = open_.where("named IS NOT NULL").select("r_file", "r_path", F.col("named").alias("_field"), F.lit(1 << 40).alias("pro"))
+        learnt = open_.join(votes.where("pro > con"), F.col("path") == F.col("_p")).select("r_file", "r_path", "_field", "pro")
+        new = by_name.unionByName(learnt).groupBy("r_file", "r_path", "_field").agg(F.sum("pro").alias("n"))
+        new = new.groupBy(F.col("r_file").alias("_rf"), F.col("r_path").alias("_rp")).agg(F.max_by("_field", F.struct("n", "_field")).alias("_label"))
+        new = checkpointed(new)
+        if not new.limit(1).count():
+            break
+        roots = checkpointed(roots.unionByName(new))
+    false = votes.where("con >= pro").select("_p", "_field", F.lit(True).alias("_false"))
+    judged = labelled.join(false, (F.col("path") == F.col("_p")) & (F.col("label") == F.col("_field")), "left")
+    return judged.withColumn("label", F.when(F.col("_false").isNull() | F.col("named").eqNullSafe(F.col("label")), F.col("label"))).drop("_p", "_field", "_false")
+
+
+_CARRIERS = "array<struct<field:string,path:string,kind:string,scale:double>>"
 
 
 @dataclass(frozen=True)
 class Drift:
     """The drift of the files in a table of raw payloads.
 
-    raw: a row per record, with the id, stream and time of its file and a JSON payload; key_path is the payload's path
-    that names a record. Repeated rows change nothing that is reported. Rows without a file id are left out; further
-    columns of raw are ignored.
+    raw: a row per record, with the id, stream and time of its file, its line in it, and a JSON payload; key_path is the
+    payload's path that names a record in the unified table. Of several streams or times of one file the least counts.
+    Payloads that don't parse, or aren't objects, are rejects and speak for no column. Repeated rows change nothing that
+    is reported. Rows without a file id are left out; further columns of raw are ignored. A field that a stream never has
+    under a documented name, or one learnt from other streams, stays unknown in it.
     """
 
     raw: DataFrame
@@ -350,28 +606,43 @@ class Drift:
     key_path: str = "utt"
     fields: Sequence[Field] = FIELDS
 
-    def _values(self) -> DataFrame:
-        rows = self.raw.where(col(self.file_id).isNotNull()).withColumn("_key", F.get_json_object(col(self.payload), f"$.{self.key_path}"))
-        return measured(flattened(rows, self.payload, [self.file_id, self.line, "_key"]))
+    def _type(self) -> str:
+        return self.raw.select(col(self.file_id)).schema[0].dataType.simpleString()
+
+    def versions(self) -> DataFrame:
+        """(file, stream, at, version): one profile a file, from one pass over the payloads."""
+        rows = self.raw.where(col(self.file_id).isNotNull()).select(
+            col(self.file_id).alias("file"), col(self.stream).cast("string").alias("stream"), col(self.time).cast("string").alias("at"),
+            col(self.line).cast("bigint").alias("line"), col(self.payload).alias("payload"),
+        )
+        return _merged(_profiled(spread(rows), self._type()), self._type())
+
+    def linked(self) -> DataFrame:
+        """(file, before, nodes, changes): every file's columns with those before that they are matched to."""
+        versions = checkpointed(self.versions())
+        before = previous_files(versions)
+        old = versions.select(F.col("file").alias("before"), F.col("version").alias("old"))
+        return checkpointed(_linked(versions.join(before, "file").join(old, "before", "left"), self._type(), self.fields))
 
     def assigned(self) -> DataFrame:
-        """(file, before, carriers, changes) of every file; names that only values reveal are learnt over all files."""
-        files = previous_files(self.raw.where(col(self.file_id).isNotNull()), self.file_id, self.stream, self.time)
-        values = self._values()
-        columns = profiles(values, self.file_id).withColumnRenamed(self.file_id, "file")
-        shared = shared_values(values, files, self.file_id, self.key_path)
-        versions = files.join(columns, "file", "left").join(columns.select(F.col("file").alias("before"), F.col("columns").alias("old")), "before", "left")
-        versions = checkpointed(versions.join(shared, "file", "left"))
-        first = _assignments(versions, self.fields)
-        first = checkpointed(versions.select("file", "before").join(first, "file"))
-        none = F.array().cast("array<struct<field:string,path:string,kind:string>>")
-        return first.select("file", "before", "changes").join(_carriers(first), "file", "left").withColumn("carriers", F.coalesce("carriers", none))
+        """(file, before, carriers, changes) of every file."""
+        files = self.linked()
+        nodes = files.select("file", "before", F.explode("nodes").alias("x")).select("file", "before", "x.*")
+        own = F.col("was").isNull()
+        nodes = nodes.select(
+            "file", "path", "kind", "n", "named", "scale",
+            F.when(own, F.col("file")).otherwise(F.col("before")).alias("r_file"), F.coalesce("was", "path").alias("r_path"), own.alias("done"),
+        )
+        labelled = _labelled(_rooted(checkpointed(nodes)))
+        # of several columns that carry a field, one that has its name, then that of most values
+        best = F.max_by(F.struct(F.col("label").alias("field"), "path", "kind", "scale"), F.struct(F.col("named").eqNullSafe(F.col("label")), "n", "path")).alias("c")
+        carriers = labelled.where("label IS NOT NULL").groupBy("file", "label").agg(best).groupBy("file").agg(F.sort_array(F.collect_list("c")).alias("carriers"))
+        return files.select("file", "before", "changes").join(carriers, "file", "left").withColumn("carriers", F.coalesce("carriers", F.array().cast(_CARRIERS)))
 
     def changes(self) -> DataFrame:
         """(file_id, field, change) for the wanted fields: added, removed, renamed, retyped."""
-        a = self.assigned()
-        now = a.where("before IS NOT NULL").select("file", "before", "carriers")
-        joined = now.join(a.select(F.col("file").alias("before"), F.col("carriers").alias("old")), "before")
+        a = checkpointed(self.assigned().select("file", "before", "carriers"))
+        joined = a.where("before IS NOT NULL").join(a.select(F.col("file").alias("before"), F.col("carriers").alias("old")), "before")
         rows = []
         for f in self.fields:
             def carrier(c: str, f=f) -> Column:
@@ -390,18 +661,55 @@ class Drift:
 
     def all_changes(self) -> DataFrame:
         """(file_id, path, old_path, change) of every column, side fields too, as the matching of versions has them."""
-        return self.assigned().select(F.col("file").alias(self.file_id), F.explode("changes").alias("c")).select(self.file_id, "c.path", "c.old_path", "c.change")
+        return self.linked().select(F.col("file").alias(self.file_id), F.explode("changes").alias("c")).select(self.file_id, "c.path", "c.old_path", "c.change")
+
+    def _records(self) -> DataFrame:
+        return self.raw.where(col(self.file_id).isNotNull()).select(col(self.file_id).alias("file"), col(self.line).alias("line"), col(self.payload).alias("payload"))
+
+    def rejects(self) -> DataFrame:
+        """(file_id, line_no, payload) of the rows that don't parse or are no objects; exact duplicates count once."""
+
+        @F.pandas_udf("boolean")
+        def refused(payloads: pd.Series) -> pd.Series:
+            return payloads.map(lambda p: parsed(_own(p)) is None).astype(bool)
+
+        rows = spread(self._records()).where(refused("payload")).distinct()
+        return rows.select(F.col("file").alias(self.file_id), F.col("line").alias(self.line), F.col("payload").alias(self.payload))
 
     def unified(self) -> DataFrame:
-        """(file_id, line_no, key, fields...): one row per record that parses, numeric fields in seconds, others as text.
+        """(file_id, line_no, utt, fields...): one row per record that parses, numeric fields in seconds to the microsecond, others as text.
 
         A value that is absent, null, or no number where one is wanted is null. Exact duplicates of a line count once.
         """
-        carriers = self.assigned().select("file", F.explode("carriers").alias("c")).select("file", F.col("c.path").alias("path"), F.col("c.field").alias("_field"))
-        values = self._values()
-        named = values.join(carriers, (col(self.file_id) == F.col("file")) & (values["path"] == carriers["path"]), "left")
-        out = []
-        for f in self.fields:
-            value = F.col("seconds") if f.numeric else F.col("text")
-            out.append(F.max(F.when(F.col("_field") == f.name, value)).alias(f.name))
-        return named.groupBy(col(self.file_id), col(self.line), F.col("_key").alias("utt")).agg(*out)
+        carriers = checkpointed(self.assigned().select(F.col("file").alias("_file"), "carriers"))
+        rows = spread(self._records())
+        placed = rows.join(broadcast_if_small(carriers), F.col("file") == F.col("_file"), "left").select("file", "line", "payload", "carriers")
+        fields, key_path, line_type = self.fields, self.key_path, self.raw.select(col(self.line)).schema[0].dataType.simpleString()
+        names = ["file", "line", "utt", *(f.name for f in fields)]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                out = []
+                for file, line, payload, own in batch.itertuples(index=False, name=None):
+                    value = parsed(_own(payload))
+                    if value is None:
+                        continue
+                    held = dict(flat(value))
+                    carrier = {c["field"]: c for c in own} if own is not None else {}
+                    key = reading(held.get(key_path))
+                    row = [file, _own(line), key and key[1]]
+                    for f in fields:
+                        c = carrier.get(f.name)
+                        read = reading(held.get(c["path"])) if c else None
+                        if read is None or f.numeric and read[2] is None:
+                            row.append(None)
+                        elif f.numeric:
+                            row.append(round(read[2] if read[3] else read[2] * c["scale"], 6))
+                        else:
+                            row.append(read[1])
+                    out.append(row)
+                yield pd.DataFrame(out, columns=names).astype(object)
+
+        kinds = ", ".join(f"`{f.name}` {'double' if f.numeric else 'string'}" for f in fields)
+        table = placed.mapInPandas(run, f"file {self._type()}, line {line_type}, utt string, {kinds}").distinct()
+        return table.withColumnRenamed("file", self.file_id).withColumnRenamed("line", self.line)

@@ -56,6 +56,11 @@ def p5_table(spark: SparkSession, root: str) -> DataFrame:
     return Drift(table(spark, root, "synthesis_raw")).unified()
 
 
+def p5_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """Rows whose payload doesn't parse: they are in no other table."""
+    return Drift(table(spark, root, "synthesis_raw")).rejects()
+
+
 _P1 = """
 WITH l AS (SELECT DISTINCT utt, text, text_norm FROM sources), r AS (SELECT DISTINCT utt, text, text_norm FROM sources_mirror),
 j AS (SELECT coalesce(l.utt, r.utt) AS utt, l.utt IS NULL AS no_l, r.utt IS NULL AS no_r,
@@ -102,14 +107,18 @@ _LAYOUTS = {
 }
 
 
-def _p5() -> str:
+def _carriers() -> str:
     seen = " UNION ALL ".join(
         f"SELECT file_id, '{f}' AS field, '{p}' AS path, json_type(payload, '{p}') AS kind FROM okay WHERE json_type(payload, '{p}') IS NOT NULL" for f, ps in _LAYOUTS.items() for p in ps
     )
     return f"""WITH okay AS (SELECT file_id, payload FROM synthesis_raw WHERE json_valid(payload)), seen AS ({seen}),
 per AS (SELECT file_id, field, path, CASE kind WHEN 'VARCHAR' THEN 'text' WHEN 'ARRAY' THEN 'list' ELSE 'number' END AS kind, count(*) AS n
         FROM seen WHERE kind NOT IN ('NULL', 'OBJECT') GROUP BY ALL),
-carrier AS (SELECT file_id, field, arg_max(path, n) AS path, arg_max(kind, n) AS kind FROM per GROUP BY file_id, field),
+carrier AS (SELECT file_id, field, arg_max(path, n) AS path, arg_max(kind, n) AS kind FROM per GROUP BY file_id, field)"""
+
+
+def _p5() -> str:
+    return f"""{_carriers()},
 files AS (SELECT file_id, min(stream) AS stream, min(produced_at) AS produced FROM synthesis_raw GROUP BY file_id),
 steps AS (SELECT file_id, lag(file_id) OVER (PARTITION BY stream ORDER BY produced, file_id) AS prev FROM files),
 grid AS (SELECT s.file_id, s.prev, f.field FROM steps s CROSS JOIN (SELECT DISTINCT field FROM carrier) f WHERE prev IS NOT NULL),
@@ -121,8 +130,22 @@ UNION ALL SELECT file_id, field, 'renamed' FROM cmp WHERE np <> op
 UNION ALL SELECT file_id, field, 'retyped' FROM cmp WHERE nk <> okind"""
 
 
+def _p5_table() -> str:
+    paths = sorted({p for ps in _LAYOUTS.values() for p in ps})
+    held = " ".join(f"WHEN '{p}' THEN json_extract(payload, '{p}')" for p in paths)
+    return f"""{_carriers()},
+rec AS (SELECT DISTINCT file_id, line_no, payload FROM synthesis_raw WHERE json_valid(payload)),
+val AS (SELECT r.file_id, r.line_no, r.payload, c.field, c.path, CASE c.path {held} END AS j FROM rec r JOIN carrier c USING (file_id)),
+txt AS (SELECT *, CASE WHEN json_type(j) = 'ARRAY' THEN json_extract_string(j, '$[0]') WHEN json_type(j) <> 'NULL' THEN json_extract_string(j, '$') END AS t FROM val),
+num AS (SELECT *, try_cast(replace(regexp_extract(t, '-?[0-9]+([.,][0-9]+)?'), ',', '.') AS DOUBLE) AS x, regexp_matches(t, '[a-z]') AS unit, (t LIKE '%ms%' OR (regexp_matches(path, '_ms$') AND NOT regexp_matches(t, '[a-z]'))) AS ms FROM txt),
+sec AS (SELECT *, CASE WHEN ms THEN x * 0.001::DOUBLE ELSE x END AS seconds FROM num),
+wide AS (SELECT file_id, line_no, payload, max(CASE WHEN field = 'duration' THEN seconds END) AS duration, max(CASE WHEN field = 'latency' THEN seconds END) AS latency, max(CASE WHEN field = 'voice' THEN t END) AS voice FROM sec GROUP BY ALL)
+SELECT DISTINCT r.file_id, r.line_no, json_extract_string(r.payload, '$.utt') AS utt, round(duration, 6) AS duration, round(latency, 6) AS latency, voice
+FROM rec r LEFT JOIN wide w ON r.file_id = w.file_id AND r.line_no = w.line_no AND r.payload = w.payload"""
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p1_differences": p1_differences, "p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_changes": p5_changes, "p5_table": p5_table}
+    return {"p1_found": p1_found, "p1_differences": p1_differences, "p3_found": p3_found, "p3_report": p3_report, "p5_found": p5_found, "p5_changes": p5_changes, "p5_table": p5_table, "p5_rejects": p5_rejects}
 
 
 def oracles() -> dict[str, str]:
@@ -133,4 +156,6 @@ def oracles() -> dict[str, str]:
         "p3_found": f"WITH {_DIRECT} SELECT src_table, field, row_id, period, reason FROM judged WHERE reason IS NOT NULL",
         "p3_report": _P3_REPORT,
         "p5_found": _p5(),
+        "p5_table": _p5_table(),
+        "p5_rejects": "SELECT DISTINCT file_id, line_no, payload FROM synthesis_raw WHERE NOT json_valid(payload)",
     }
