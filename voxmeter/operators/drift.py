@@ -238,7 +238,7 @@ class Profile:
 
     def quantiles(self, points: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> list[float]:
         """Quantiles of the numbers, from the sketch: its values are a sample of the distinct ones, with their counts."""
-        held = sorted((float(k), n) for k, n in self.values.items() if _NUMBER.fullmatch(k))
+        held = sorted((x, n) for k, n in self.values.items() if (x := _number(k)) is not None)
         if not held:
             return []
         ends, total = [], 0
@@ -324,14 +324,19 @@ def _version(*parts) -> Version:
 # --- matching ----------------------------------------------------------------------------------------------------
 
 
+@lru_cache(100_000)
+def _number(key: str) -> float | None:
+    return float(key) if _NUMBER.fullmatch(key) else None
+
+
 def _same(a: str, b: str) -> bool:
     """Whether two compared values are one, perhaps in another unit."""
     if a == b:
         return True
-    if not (_NUMBER.fullmatch(a) and _NUMBER.fullmatch(b)):
+    x, y = _number(a), _number(b)
+    if x is None or y is None:
         return False
-    x, y = float(a), float(b)
-    return any(abs(x - f * y) <= 0.0011 * max(1.0, f) for f in (1.0, 1000.0)) or abs(1000 * x - y) <= 1.1
+    return abs(x - y) <= 0.0011 or abs(x - 1000 * y) <= 1.1 or abs(1000 * x - y) <= 1.1
 
 
 def shared_records(now: Version, before: Version) -> list[tuple[dict, dict]]:
@@ -342,7 +347,9 @@ def shared_records(now: Version, before: Version) -> list[tuple[dict, dict]]:
     """
 
     def telling(v: Version, record: dict) -> set[str]:
-        return {k for p, k in record.items() if 2 * v.columns[p].distinct > v.columns[p].n and len(k) > 1 and not _NUMBER.fullmatch(k)}
+        return {k for p, k in record.items() if p in varied[id(v)] and len(k) > 1 and _number(k) is None}
+
+    varied = {id(v): {p for p, c in v.columns.items() if 2 * c.distinct > c.n} for v in (now, before)}
 
     ends = [(r, telling(before, r)) for r in before.tail()]
     out = []
@@ -354,45 +361,56 @@ def shared_records(now: Version, before: Version) -> list[tuple[dict, dict]]:
     return out
 
 
+@lru_cache(100_000)
 def name_similarity(a: str, b: str) -> float:
     wa, wb = set(name_words(a)), set(name_words(b))
     return 2.0 * len(wa & wb) / (len(wa) + len(wb)) if wa or wb else 1.0
 
 
-def _distance(a: list[float], b: list[float]) -> float:
-    """Mean distance of two lists of quantiles, as decimal logarithms of their ratios; units of s and ms are one."""
+class Shape:
+    """What two columns are compared by, drawn from a profile once."""
+
+    __slots__ = ("path", "kind", "n", "varied", "distinct", "numeric", "numbers", "values", "logs", "r")
 
-    def log(x: float) -> float:
-        return math.log10(max(abs(x), 1e-4))
+    def __init__(self, path: str, p: Profile) -> None:
+        self.path, self.kind, self.n, self.distinct, self.numbers, self.values = path, p.kind, p.n, p.distinct, p.numbers, p.values
+        self.varied = self.distinct / self.n
+        self.numeric = 2 * p.numbers > p.n
+        # decimal logarithms of the quantiles
+        self.logs = [math.log10(max(abs(x), 1e-4)) for x in p.quantiles()] if self.numeric else []
+        self.r = p.length_correlation if self.numeric else 0.0
 
-    gaps = [log(x) - log(y) for x, y in zip(a, b)]
-    return min(sum(abs(g - shift) for g in gaps) / len(gaps) + 0.02 * abs(shift) for shift in (0.0, 3.0, -3.0))
+
+def _distance(a: list[float], b: list[float]) -> float:
+    """Mean distance of two lists of logarithms of quantiles; units of s and ms are one."""
+    gaps = [x - y for x, y in zip(a, b)]
+    near = 0.0 if abs(gaps[2]) < 1.5 else 3.0 if gaps[2] > 0 else -3.0
+    return sum(abs(g - near) for g in gaps) / len(gaps) + 0.02 * abs(near)
 
 
-def similarity(a: str, pa: Profile, b: str, pb: Profile, equal: int = 0, shared: int = 0) -> float:
+def similarity(a: Shape, b: Shape, equal: int = 0, shared: int = 0) -> float:
     """How likely two columns of neighbouring versions are the same one."""
-    score = 1.5 * name_similarity(a, b) + (3.0 if a == b else 0.0)
-    score += 0.5 if pa.kind == pb.kind else 0.0
-    held = pa.values.keys() & pb.values.keys()
-    least = min(len(pa.values), len(pb.values))
-    common = len(held) / least if least else 0.0
-    na, nb = 2 * pa.numbers > pa.n, 2 * pb.numbers > pb.n
-    # constant columns and changing ones are different things
-    score -= 2.0 * abs(pa.distinct / pa.n - pb.distinct / pb.n) if min(pa.n, pb.n) > 2 else 0.0
-    if na != nb:
-        score += 0.5 if max(pa.distinct, pb.distinct) <= 2 else -1.0
-    elif not na:
-        score += 3.0 * common if least <= 2 or common > 0.5 else common
+    score = 1.5 * name_similarity(a.path, b.path) + (3.0 if a.path == b.path else 0.0)
+    if a.kind == b.kind:
+        score += 0.5
+    if a.n > 2 and b.n > 2:
+        # constant columns and changing ones are different things
+        score -= 2.0 * abs(a.varied - b.varied)
+    if a.numeric != b.numeric:
+        score += 0.5 if max(a.distinct, b.distinct) <= 2 else -1.0
     else:
-        qa, qb = pa.quantiles(), pb.quantiles()
-        if qa and qb:
-            weight = min(1.0, min(pa.numbers, pb.numbers) / 8)
-            score += weight * (2.5 - min(4.0, 8 * _distance(qa, qb)))
-            score -= 1.5 * weight * abs(pa.length_correlation - pb.length_correlation)
-        score += common if least <= 4 else 0.0
+        least = min(len(a.values), len(b.values))
+        common = len(a.values.keys() & b.values.keys()) / least if least else 0.0
+        if not a.numeric:
+            score += 3.0 * common if least <= 2 or common > 0.5 else common
+        else:
+            if a.logs and b.logs:
+                weight = min(1.0, min(a.numbers, b.numbers) / 8)
+                score += weight * (2.5 - min(4.0, 8 * _distance(a.logs, b.logs)) - 1.5 * abs(a.r - b.r))
+            score += common if least <= 4 else 0.0
     if shared:
         # what turns from text to number has other values
-        score += 4.0 * equal / shared - (0.5 if na != nb else 3.0) * (1 - equal / shared)
+        score += 4.0 * equal / shared - (0.5 if a.numeric != b.numeric else 3.0) * (1 - equal / shared)
     return score
 
 
@@ -401,16 +419,16 @@ def versions_matched(now: Version, before: Version, least: float = LEAST) -> dic
     if not now.columns or not before.columns:
         return {}
     pairs = shared_records(now, before)
-    rows, cols = sorted(now.columns), sorted(before.columns)
+    rows = [Shape(p, c) for p, c in sorted(now.columns.items())]
+    cols = [Shape(p, c) for p, c in sorted(before.columns.items())]
     costs = []
     for a in rows:
         line = []
         for b in cols:
-            both = [(x[a], y[b]) for x, y in pairs if a in x and b in y]
-            equal = sum(_same(x, y) for x, y in both)
-            line.append(-similarity(a, now.columns[a], b, before.columns[b], equal, len(both)))
+            both = [(x[a.path], y[b.path]) for x, y in pairs if a.path in x and b.path in y]
+            line.append(-similarity(a, b, sum(_same(x, y) for x, y in both), len(both)))
         costs.append(line + [-least] * len(rows))
-    return {a: cols[k] for a, k in zip(rows, assign(costs)) if k < len(cols)}
+    return {a.path: cols[k].path for a, k in zip(rows, assign(costs)) if k < len(cols)}
 
 
 def seeds(version: Version, fields: Sequence[Field] = FIELDS) -> dict[str, str]:
