@@ -35,8 +35,28 @@ def test_against_brute_force(spark):
     left = [(f"k{i}", rng.choice(values), rng.choice(values)) for i in range(150)]
     right = [(k, rng.choice([a, a, rng.choice(values)]), b) for k, a, b in left if rng.random() < 0.8] + [("new", "a", None), (None, "x", "y")]
     left, right = left + left[:40] + [(None, "x", "z")], right + right[:30]
-    for floor in (10**6, 1):  # with and without the path of hot keys
-        assert found(diff_copies(frame(spark, left), frame(spark, right), "k", ["a", "b"], hot_floor=floor)) == brute(left, right)
+    # every key is hot in small tables; one key of many rows leaves the others cold
+    much = [("much", str(i), "x") for i in range(2000)]
+    for more in ([], much):
+        l, r = left + more, right + more[1:] + more[:50]
+        assert found(diff_copies(frame(spark, l), frame(spark, r), "k", ["a", "b"])) == brute(l, r)
+
+
+def test_differences_inside_the_extremes(spark):
+    cold = [(f"c{i}", "x", "y") for i in range(2000)]
+    left = [("k", v, "y") for v in "abc"] + [("same", v, v) for v in "abca"] + [(None, v, "y") for v in "abc"] + [("n", None, "y"), ("n", "a", "y")]
+    right = [("k", v, "y") for v in "acca"] + [("same", v, v) for v in "cba"] + [(None, v, "y") for v in "ac"] + [("n", "", "y"), ("n", "a", "y")]
+    for more in ([], cold):
+        got = found(diff_copies(frame(spark, left + more), frame(spark, right + more), "k", ["a", "b"]))
+        assert got == [("<null>", "a"), ("k", "a"), ("n", "a")]
+
+
+def test_hot_and_null_keys_are_dealt_out(spark):
+    rows = [(None, str(i), "x") for i in range(3000)] + [("hot", str(i), "x") for i in range(3000)] + [(f"c{i}", "x", "y") for i in range(3000)]
+    df = diff_copies(frame(spark, rows), frame(spark, rows[1:]), "k", ["a", "b"])
+    assert found(df) == [("<null>", "a")]
+    parts = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in parts and "hot" in parts
 
 
 def test_empty_copies(spark):
@@ -49,11 +69,14 @@ def test_empty_copies(spark):
 def test_hot_key_counts_once(spark):
     left = frame(spark, [("hot", "a", "b")] * 500 + [("cold", "a", "b")])
     right = frame(spark, [("hot", "a", "c")] * 300 + [("cold", "a", "b")])
-    df = diff_copies(left, right, "k", ["a", "b"], hot_floor=10)
+    df = diff_copies(left, right, "k", ["a", "b"])
     assert [tuple(r) for r in df.collect()] == [("hot", "b", "b", "c")]
 
 
-def test_one_range_exchange(spark):
-    df = diff_copies(frame(spark, [("a", "b", "c")]), frame(spark, [("a", "b", "c")]), "k", ["a", "b"])
+def test_merge_runs_over_sorted_rows(spark):
+    cold = [(f"c{i}", "x", "y") for i in range(2000)]
+    df = diff_copies(frame(spark, cold), frame(spark, cold), "k", ["a", "b"])
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 1 and "rangepartitioning" in plan and "SortAggregate" in plan and "Join" not in plan
+    # one range exchange of the cold keys; the dealt ones are made distinct, have one too, and a small one of their states
+    assert plan.count("Exchange rangepartitioning") == 2 and plan.count("Exchange hashpartitioning") == 2
+    assert "SortAggregate" in plan and "Join" not in plan
