@@ -63,6 +63,50 @@ def test_cycle_reaches_a_fixpoint(spark):
     assert got == [("nodes", 1, "2025-01", "inherited", "inherited"), ("nodes", 2, "2025-01", "inherited", "inherited"), ("nodes", 3, "2025-01", "inherited", "inherited"), ("nodes", 4, "2025-01", "missing", "direct")]
 
 
-def test_direct_part_leaves_the_cascade_out(spark):
-    plan = graph(spark, [], [], []).orphans().where("kind = 'direct'")._jdf.queryExecution().optimizedPlan().toString()
-    assert "inherited" not in plan
+def test_plans_grow_with_the_tables_not_beyond(spark, monkeypatch):
+    """Each table of a chain of references is joined once with the lifetimes of the one above it and their orphans."""
+    import voxmeter.operators.references as r
+
+    plans = []
+    monkeypatch.setattr(r, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or df.checkpoint())
+    for n in (3, 5):
+        plans.clear()
+        tables = [spark.createDataFrame([(1, f"k{i}", f"k{i + 1}" if i < n - 1 else "nowhere", D(1))], f"id long, k string, up string, at {STAMP}") for i in range(n)]
+        es = [Entity(f"t{i}", tables[i], "id", "at", "k") for i in range(n)] + [Entity("root", tables[0].where("id < 0"), "id", "at", "k")]
+        g = ReferenceGraph.of(es, [ForeignKey(f"t{i}", "up", f"t{i + 1}" if i < n - 1 else "root") for i in range(n)])
+        got = rows(g.orphans())
+        assert [x[3] for x in got] == ["inherited"] * (n - 1) + ["missing"]
+        assert sum(p.count("Join ") for p in plans) <= 2 * n and max(p.count("Join ") for p in plans) == 1
+
+
+def test_hot_reference_is_split(spark, monkeypatch):
+    """Adaptive execution splits the partition of a key that most rows refer to."""
+    import voxmeter.operators.references as r
+
+    monkeypatch.setattr(r, "BROADCAST_ROWS", -1)
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        asr = spark.range(40_000).repartition(8).selectExpr("id", "if(id % 5 < 3, 'hot', concat('u', id % 997)) AS utt", "timestamp_ntz'2025-05-01 00:00:00' AS at")
+        sources = spark.range(997).selectExpr("id", "concat('u', id) AS utt", "timestamp_ntz'2025-01-01 00:00:00' AS at")
+        g = ReferenceGraph.of([Entity("asr", asr, "id", "at"), Entity("sources", sources, "id", "at", "utt", "at")], [ForeignKey("asr", "utt", "sources")])
+        df = g.orphans()
+        assert df.count() == 24_000
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rows_without_id_and_with_disagreeing_ones(spark):
+    speakers = [("p", D(1), D(3))]
+    sources = [(None, "a", "x", D(2), None), (None, "b", "y", D(2), None), (None, "b", "y", D(2), None), (7, "c", "p", D(4), None), (7, "c", "z", D(5), None)]
+    got = sorted((r["row_id"] or 0, r["period"], r["reason"]) for r in graph(spark, [], sources, speakers).orphans().collect())
+    assert got == [(0, "2025-02", "missing"), (0, "2025-02", "missing"), (7, "2025-05", "missing")]

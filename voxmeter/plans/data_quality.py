@@ -32,7 +32,7 @@ def reference_graph(spark: SparkSession, root: str) -> ReferenceGraph:
 
 
 def p3_found(spark: SparkSession, root: str) -> DataFrame:
-    """Only direct orphans; Catalyst removes the cascade's other branches from the plan."""
+    """The direct orphans among those that the cascade finds."""
     return reference_graph(spark, root).orphans().where("kind = 'direct'").drop("kind")
 
 
