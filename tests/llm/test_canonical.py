@@ -65,13 +65,46 @@ def test_long_text(spark):
     assert c.lookalike_rows([("t", df, "row_id", "text", "lang")]).first()["canonical"] == unicodedata.normalize("NFC", text)
 
 
+def forms(spark, texts):
+    df = spark.createDataFrame([(i, t, "en", "", 0) for i, t in enumerate(texts)], SCHEMA)
+    return {r["row_id"]: r["canonical"] for r in c.canonical_texts(df, "row_id", "text", "lang").collect()}
+
+
 def test_composition_agrees_with_unicode(spark):
-    """Every sequence of a letter and one or two marks comes out as NFC has it."""
-    letters, marks = "aeocnguyxZ", "̧̨̣̀́̂̃̈̊"
+    """Whatever decomposes or begins a pair, followed by one and two marks, comes out as NFC has it."""
+    starters = {p[0] for p in c.compositions()} | set(c.compositions().values())
+    starters |= {chr(p) for p in range(32, 0x110000) if unicodedata.decomposition(chr(p))[:1] not in ("", "<")}
+    starters = sorted(x for x in starters if unicodedata.normalize("NFC", c._plain(x)) == unicodedata.normalize("NFC", x))
+    marks = sorted({p[1] for p in c.compositions()})
+    few = "\u0323\u0301\u0302\u0345\u3099\u0338\u05b4"
+    # the first letter looks like no Latin one, so look-alikes stay
+    texts = ["Ж" + x + m for i, x in enumerate(starters) for m in {*few, marks[i % len(marks)], marks[i * 7 % len(marks)]}]
+    texts += ["Ж" + x + m + n for i, x in enumerate(starters) for m, n in [(few[i % 7], few[(i // 7) % 7]), (few[(i + 3) % 7], few[i % 7]), ("\u0301", "\u0323"), (marks[i % len(marks)], few[i % 6])]]
+    got = forms(spark, texts)
+    assert not [(t, got[i]) for i, t in enumerate(texts) if got[i] != unicodedata.normalize("NFC", t)]
+
+
+def test_letters_with_marks(spark):
+    letters, marks = "aeocnguyxZ", "̧̨̣̀́̂̃̈̊"
     texts = [x + m + n for x in letters for m in marks for n in ["", *marks]]
-    df = spark.createDataFrame([(i, t, "en", "", 0) for i, t in enumerate(texts)], SCHEMA)
-    got = {r["row_id"]: r["canonical"] for r in c.canonical_texts(df, "row_id", "text", "lang").collect()}
-    assert got == {i: unicodedata.normalize("NFC", t) for i, t in enumerate(texts)}
+    texts += ["\u00e9\u0323", "\u00ea\u0323", "\u304b\u3099", "\uff76\uff9e", "a\u0301\u200b\u0323", "\u200b\u0301"]
+    got = forms(spark, texts)
+    want = [unicodedata.normalize("NFC", t) for t in texts[:-3]] + ["\u30ac", "\u1ea1\u0301", "\u0301"]
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_hangul(spark):
+    """Every syllable from its letters, one of three as it is, with a tail or a mark behind it."""
+    texts = [unicodedata.normalize("NFD", chr(p)) for p in range(0xAC00, 0xD7A4)]
+    texts += [chr(p) + "\u11a8" for p in range(0xAC00, 0xD7A4, 3)] + [chr(p) + "\u0323\u1161" for p in range(0xAC00, 0xD7A4, 91)]
+    got = forms(spark, texts)
+    assert not [(t, got[i]) for i, t in enumerate(texts) if got[i] != unicodedata.normalize("NFC", t)]
+
+
+def test_null_and_repeated_ids(spark):
+    df = spark.createDataFrame([(None, "thе", "en", "", 0), (None, "thе", "en", "", 0), (None, "ｘ", "en", "", 0), (None, None, "en", "", 0), (3, "ｘ", "en", "", 0)], SCHEMA)
+    got = sorted((r["row_id"] or 0, r["canonical"] or "") for r in c.canonical_texts(df, "row_id", "text", "lang").collect())
+    assert got == [(0, ""), (0, "the"), (0, "the"), (0, "x"), (3, "x")]
 
 
 def test_empty_table(spark):
@@ -85,4 +118,4 @@ def test_one_exchange(spark):
     plan = c.lookalike_rows([("t", df, "row_id", "text", "lang")])._jdf.queryExecution().executedPlan().toString()
     # whole texts, for those with and without marks alike, are all that is exchanged
     exchanges = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x]
-    assert exchanges and all("hashpartitioning(_id" in x and "REPARTITION_BY_NUM" in x for x in exchanges) and "SortMergeJoin" not in plan
+    assert exchanges and all("hashpartitioning(_id" in x and "_k" in x and "REPARTITION_BY_NUM" in x for x in exchanges) and "SortMergeJoin" not in plan
