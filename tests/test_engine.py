@@ -1,5 +1,6 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +154,30 @@ def test_word_errors_of_pairs_with_many_distinct_words(spark, tmp_path):
     df.write.parquet(str(tmp_path / "asr.parquet"))
     assert {r["row_id"]: r["errors"] for r in evaluation.word_errors(spark, str(tmp_path)).collect()} == {1: 4, 2: 4, 3: 5000, 4: 1, 5: 5000}
     assert sorted(tuple(r) for r in evaluation.score_invariants(spark, str(tmp_path)).collect()) == [(2, True, False), (5, False, False)]
+
+
+def test_intervals_agree_with_plain_resampling(spark):
+    """Poisson weights give the interval that drawing clusters with replacement gives."""
+    rng = np.random.default_rng(3)
+    n = rng.integers(5, 40, 60)
+    a = rng.binomial(n, rng.uniform(0.05, 0.3, 60))
+    rows = spark.createDataFrame([("g", f"s{i}", int(x), int(y)) for i, (x, y) in enumerate(zip(a, n))], "k string, c string, a long, n long")
+    got = stats.cluster_bootstrap(rows, ["k"], "c", F.col("a"), F.col("n")).first()
+    draws = rng.integers(0, 60, (20_000, 60))
+    lo, hi = np.quantile(a[draws].sum(1) / n[draws].sum(1), [0.025, 0.975])
+    assert got["n_clusters"] == 60 and abs(got["point"] - a.sum() / n.sum()) < 1e-9
+    assert abs(got["lo"] - lo) < 0.12 * (hi - lo) and abs(got["hi"] - hi) < 0.12 * (hi - lo)
+
+
+def test_one_cluster_and_empty_groups(spark):
+    rows = spark.createDataFrame([("one", "s", 1, 4), ("one", "s", 2, 4), ("none", None, 1, 4), ("zero", "s", 0, 0), ("zero", "t", 0, 0)], "k string, c string, a long, n long")
+    got = {r["k"]: r for r in stats.cluster_bootstrap(rows, ["k"], "c", F.col("a"), F.col("n")).collect()}
+    assert set(got) == {"one", "zero"} and got["one"]["lo"] == got["one"]["hi"] == got["one"]["point"] == 0.375
+    assert got["zero"]["lo"] is None and got["zero"]["point"] is None
+
+
+def test_resampling_shuffles_no_draws(spark):
+    """Replicates are summed before the shuffle; nothing is joined and no window numbers the clusters."""
+    rows = spark.createDataFrame([("g", "s", 1, 2)], "k string, c string, a long, n long")
+    plan = stats.resamples(stats.cluster_sums(rows, ["k"], "c", {"_a": F.col("a")}), ["k"], ["_a"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" not in plan and "partial_sum" in plan

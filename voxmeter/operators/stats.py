@@ -1,23 +1,26 @@
-"""Error rates as ratios of sums, and bootstrap intervals over clusters as joins and aggregations.
+"""Error rates as ratios of sums, and bootstrap intervals over clusters as map-side sums.
 
-A corpus rate is a ratio of sums, so a cluster's pair of sums is all that a resample needs. Each cluster row makes one
-draw per replicate: a hash of (seed, replicate, draw) modulo the group's number of clusters names the cluster drawn,
-whose sums come by a join and are added up per replicate before anything is shuffled. The work is replicates x clusters,
-whatever the number of utterances; a hot group is spread over all tasks.
+A corpus rate is a ratio of sums, so a cluster's pair of sums is all that a resample needs. In each replicate a cluster
+counts as often as a Poisson variable of mean 1 says, which depends on seed, replicate and cluster alone: no replicate has
+to know the other clusters or how many there are, so nothing is numbered, drawn or joined. The weighted sums of a replicate
+are added up before anything is shuffled; what is shuffled is one row per group, replicate and task, whatever the number
+of clusters and utterances.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import broadcast_if_small, col, width
+from ..runtime import col, width
 
 REPLICATES, CONFIDENCE, SEED = 2000, 0.95, 20260725
 CATASTROPHIC = 0.5
-# Fixed values of the draws' hash: a prime modulus below 2^31, so that squares fit 64 bits, and multipliers.
+PAIR = ("_a", "_an", "_b", "_bn")
+# Fixed values of the weights' hash: a prime modulus below 2^31, so that squares fit 64 bits, and multipliers.
 MODULUS, STEP_REP, STEP_DRAW, MIX, ADD = 2147483647, 1103515245, 69069, 48271, 11
 
 
@@ -36,73 +39,93 @@ def finite(x: Column) -> Column:
     return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
 
 
+def error_counts(threshold: float = CATASTROPHIC) -> dict[str, Column]:
+    """What error_summary() is made of, as sums that add up over any parts of a group. Integers, but for _own."""
+    err = F.col("subs") + F.col("dels") + F.col("ins")
+    scored = ~F.col("missing")
+    own = F.try_divide(err.cast("double"), F.col("n_ref_words").cast("double"))
+    return {
+        "n_scored": F.count_if(scored),
+        "n_missing": F.count_if(~scored),
+        "n_empty_ref": F.count_if(scored & (F.col("n_ref_words") == 0)),
+        "n_transcription_failures": F.count("failure"),
+        "n_below_min_samples": F.count_if(~scored & F.col("failure").isNull()),
+        "_err": F.sum(err), "_ref": F.sum("n_ref_words"), "_cer": F.sum("cer_err"), "_chars": F.sum("n_ref_chars"),
+        "_own": F.sum(own), "_n_own": F.count(own), "_wrong": F.count_if(own > threshold),
+        "_exact": F.count_if(scored & (err == 0)), "_n_exact": F.count(F.when(scored, err)),
+    }
+
+
+def summed(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """error_summary() from error_counts() by (keys..., speaker_id)."""
+    plain = ["n_scored", "n_missing", "n_empty_ref", "n_transcription_failures", "n_below_min_samples"]
+
+    def ratio(a: str, b: str) -> Column:
+        return F.round(F.try_divide(F.sum(a).cast("double"), F.sum(b).cast("double")), 9)
+
+    return parts.groupBy(*(col(k) for k in keys)).agg(
+        *(F.sum(n).alias(n) for n in plain),
+        F.count_distinct(F.when(F.col("n_scored") > 0, F.col("speaker_id"))).alias("n_clusters"),
+        ratio("_err", "_ref").alias("wer_corpus"), ratio("_own", "_n_own").alias("wer_macro"), ratio("_cer", "_chars").alias("cer_corpus"),
+        ratio("_exact", "_n_exact").alias("exact_match"), ratio("_wrong", "_n_own").alias("catastrophic_rate"),
+    )
+
+
 def error_summary(pool: DataFrame, keys: Sequence[str], threshold: float = CATASTROPHIC) -> DataFrame:
     """The rates and counters of each group of a pool of scored rows.
 
     Missing rows are only counted. A row without reference words counts in the corpus rates' errors and in n_empty_ref,
-    and has no rate of its own, so it is in none of the means.
+    and has no rate of its own, so it is in none of the means. Groups are summed by speaker first, which counts the
+    speakers without a second look at the rows.
     """
-    err = F.col("subs") + F.col("dels") + F.col("ins")
-    scored = ~F.col("missing")
-    own = F.try_divide(err.cast("double"), F.col("n_ref_words").cast("double"))
-    return pool.groupBy(*(col(k) for k in keys)).agg(
-        F.count_if(scored).alias("n_scored"),
-        F.count_if(~scored).alias("n_missing"),
-        F.count_if(scored & (F.col("n_ref_words") == 0)).alias("n_empty_ref"),
-        F.count("failure").alias("n_transcription_failures"),
-        F.count_if(~scored & F.col("failure").isNull()).alias("n_below_min_samples"),
-        F.count_distinct(F.when(scored, F.col("speaker_id"))).alias("n_clusters"),
-        F.round(rate(err, F.col("n_ref_words")), 9).alias("wer_corpus"),
-        F.round(F.avg(own), 9).alias("wer_macro"),
-        F.round(rate(F.col("cer_err"), F.col("n_ref_chars")), 9).alias("cer_corpus"),
-        F.round(F.avg(F.when(scored, (err == 0).cast("double"))), 9).alias("exact_match"),
-        F.round(F.avg((own > threshold).cast("double")), 9).alias("catastrophic_rate"),
-    )
+    counts = error_counts(threshold)
+    return summed(pool.groupBy(*(col(k) for k in keys), "speaker_id").agg(*(c.alias(n) for n, c in counts.items())), keys)
 
 
 def cluster_sums(rows: DataFrame, keys: Sequence[str], cluster: str, sums: dict[str, Column]) -> DataFrame:
-    """(keys..., _idx, _k, sums...): each group's clusters numbered from 0 in the order of their names, and their count.
+    """(keys..., _cluster, sums...): the sums of each group's clusters.
 
     Rows without a cluster, and rows with a null among the summed columns, are left out.
     """
     named = rows.select(*(col(k) for k in keys), col(cluster).alias("_cluster"), *(c.cast("double").alias(n) for n, c in sums.items()))
-    per = named.dropna(subset=["_cluster", *sums]).groupBy(*(col(k) for k in keys), "_cluster").agg(*(F.sum(n).alias(n) for n in sums))
-    group = Window.partitionBy(*(col(k) for k in keys)) if keys else Window.partitionBy(F.lit(0))
-    return per.select(
-        *(col(k) for k in keys), (F.row_number().over(group.orderBy("_cluster")) - 1).cast("long").alias("_idx"), F.count(F.lit(1)).over(group).alias("_k"), *sums
-    )
+    return named.dropna(subset=["_cluster", *sums]).groupBy(*(col(k) for k in keys), "_cluster").agg(*(F.sum(n).alias(n) for n in sums))
 
 
-def draw_hash(rep: Column, draw: Column, seed: int = SEED) -> Column:
-    """A number in 0..MODULUS-1 that depends on seed, replicate and draw alone."""
-    h = (F.lit(seed).cast("long") + (rep + 1) * STEP_REP % MODULUS + (draw + 1) * STEP_DRAW % MODULUS) % MODULUS
+def weight_hash(rep: Column, cluster: Column, seed: int = SEED) -> Column:
+    """A number in 0..MODULUS-1 that depends on seed, replicate and cluster (a number below MODULUS) alone."""
+    h = (F.lit(seed).cast("long") + (rep + 1) * STEP_REP % MODULUS + (cluster + 1) * STEP_DRAW % MODULUS) % MODULUS
     for _ in range(2):
         h = (h * h % MODULUS * MIX + ADD) % MODULUS
     return h
 
 
+def poisson_limits(modulus: int = MODULUS) -> list[int]:
+    """Hashes below the k-th limit and not below the one before stand for k: Poisson's distribution of mean 1."""
+    limits, term, total = [], math.exp(-1), 0.0
+    for k in range(1, 13):
+        total += term
+        term /= k
+        limits.append(round(total * modulus))
+    return limits
+
+
+def cluster_number(cluster: Column) -> Column:
+    """A cluster's number below MODULUS, from the first 15 hex digits of its name's MD5."""
+    return F.conv(F.left(F.md5(cluster.cast("string").cast("binary")), F.lit(15)), 16, 10).cast("long") % MODULUS
+
+
 def resamples(clusters: DataFrame, keys: Sequence[str], names: Sequence[str], replicates: int = REPLICATES, seed: int = SEED) -> DataFrame:
-    """(keys..., rep, sums...): the sums of each replicate's drawn clusters."""
-    # groups and clusters are numbered through, so that a draw is one number and a replicate of a group another; the
-    # window holds one row per group
-    groups = clusters.groupBy(*(col(k) for k in keys)).agg(F.count(F.lit(1)).alias("_size"))
-    over = Window.orderBy(*(col(k) for k in keys)) if keys else Window.orderBy(F.lit(0))
-    groups = groups.select(
-        *(col(k) for k in keys), (F.row_number().over(over) - 1).cast("long").alias("_g"),
-        F.coalesce(F.sum("_size").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_from"),
-    )
-    numbered = joined(clusters, broadcast_if_small(groups), keys) if keys else clusters.withColumns({"_g": F.lit(0).cast("long"), "_from": F.lit(0).cast("long")})
-    spread = numbered.select("_g", "_from", "_idx", "_k").repartition(width(clusters.sparkSession), "_g", "_idx")
-    draws = spread.select("_g", "_from", F.col("_idx").alias("_draw"), "_k", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    draws = draws.select(
-        (F.col("_g") * replicates + F.col("rep")).alias("_gr"), (F.col("_from") + draw_hash(F.col("rep").cast("long"), F.col("_draw"), seed) % F.col("_k")).alias("_pick")
-    )
-    side = broadcast_if_small(numbered.select((F.col("_from") + F.col("_idx")).alias("_at"), *names))
-    sums = draws.join(side, F.col("_pick") == F.col("_at")).groupBy("_gr").agg(*(F.sum(n).alias(n) for n in names))
-    sums = sums.select(F.floor(F.col("_gr") / replicates).alias("_h"), (F.col("_gr") % replicates).cast("int").alias("rep"), *names)
-    if not keys:
-        return sums.drop("_h")
-    return sums.join(broadcast_if_small(groups), F.col("_h") == F.col("_g")).select(*(col(k) for k in keys), "rep", *names)
+    """(keys..., rep, sums...): the sums of each replicate's clusters, each as often as its weight says."""
+    # rows multiply from here on, so a few clusters are spread over all cores
+    spread = clusters.select(*(col(k) for k in keys), cluster_number(F.col("_cluster")).alias("_c"), *names).repartition(width(clusters.sparkSession), *(col(k) for k in keys), "_c")
+    drawn = spread.select("*", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
+    drawn = drawn.withColumn("_h", weight_hash(F.col("rep").cast("long"), F.col("_c"), seed))
+    weight = F.lit(0)
+    for k, limit in enumerate(poisson_limits()):
+        weight = F.when(F.col("_h") < limit, k) if k == 0 else weight.when(F.col("_h") < limit, k)
+    # a cluster that isn't drawn adds nothing, but a replicate without any cluster must not vanish
+    weighted = drawn.withColumn("_w", weight.otherwise(len(poisson_limits())))
+    return weighted.groupBy(*(col(k) for k in keys), "rep").agg(*(F.sum(F.col("_w") * F.col(n)).alias(n) for n in names))
 
 
 def _interval(value: Column, confidence: float) -> list[Column]:
@@ -117,9 +140,14 @@ def cluster_bootstrap(
 ) -> DataFrame:
     """(keys..., n_clusters, point, lo, hi): a ratio of sums with its percentile interval over resampled clusters.
 
-    A group of one cluster has an interval of width 0. A mean is the ratio of a sum and a count.
+    A group of one cluster has an interval of width 0. A mean is the ratio of a sum and a count. Replicates whose
+    denominator is 0, as where no cluster is drawn, don't count.
     """
-    clusters = cluster_sums(rows, keys, cluster, {"_a": numerator, "_n": denominator})
+    return intervals(cluster_sums(rows, keys, cluster, {"_a": numerator, "_n": denominator}), keys, replicates, confidence, seed)
+
+
+def intervals(clusters: DataFrame, keys: Sequence[str], replicates: int = REPLICATES, confidence: float = CONFIDENCE, seed: int = SEED) -> DataFrame:
+    """cluster_bootstrap() of clusters (keys..., _cluster, _a, _n)."""
     ratio = F.try_divide(F.col("_a"), F.col("_n"))
     bands = resamples(clusters, keys, ["_a", "_n"], replicates, seed).groupBy(*(col(k) for k in keys)).agg(*_interval(ratio, confidence))
     points = clusters.groupBy(*(col(k) for k in keys)).agg(
@@ -137,10 +165,14 @@ def paired_bootstrap(
     a and b are numerator and denominator of either side in the same row. Every replicate draws clusters once for both.
     p_a_better is the share of replicates with a negative difference; ties don't count.
     """
-    names = ["_a", "_an", "_b", "_bn"]
-    clusters = cluster_sums(rows, keys, cluster, dict(zip(names, (*a, *b))))
+    return paired_intervals(cluster_sums(rows, keys, cluster, dict(zip(PAIR, (*a, *b)))), keys, replicates, confidence, seed)
+
+
+def paired_intervals(clusters: DataFrame, keys: Sequence[str], replicates: int = REPLICATES, confidence: float = CONFIDENCE, seed: int = SEED) -> DataFrame:
+    """paired_bootstrap() of clusters (keys..., _cluster, and the sums named in PAIR)."""
+    names = list(PAIR)
     delta = F.try_divide(F.col("_a"), F.col("_an")) - F.try_divide(F.col("_b"), F.col("_bn"))
-    bands = resamples(clusters, keys, names, replicates, seed).groupBy(*(col(k) for k in keys)).agg(*_interval(delta, confidence), F.round(share(delta < 0), 9).alias("p_a_better"))
+    bands = resamples(clusters, keys, names, replicates, seed).groupBy(*(col(k) for k in keys)).agg(*_interval(delta, confidence), F.round(F.avg((delta < 0).cast("double")), 9).alias("p_a_better"))
     ra, rb = F.try_divide(F.sum("_a"), F.sum("_an")), F.try_divide(F.sum("_b"), F.sum("_bn"))
     points = clusters.groupBy(*(col(k) for k in keys)).agg(
         F.count(F.lit(1)).alias("n_clusters"), F.round(ra, 9).alias("rate_a"), F.round(rb, 9).alias("rate_b"), F.round(ra - rb, 9).alias("delta")

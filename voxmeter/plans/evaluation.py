@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from ..functions import scoring, text, vectors
 from ..operators import similarity as sim
 from ..operators import stats
-from ..runtime import broadcast_if_small, col
+from ..runtime import broadcast_if_small, checkpointed, col
 from ..sources.tables import table
 
 # The headline recogniser of each language, and the columns that carry the human anchor's counts for it.
 PRIMARY = {"en-US": "whisper", "es-MX": "whisper", "es-ES": "whisper", "nl-NL": "whisper", "pt-BR": "whisper", "ky": "gigaam"}
 ANCHOR_COLUMNS = {
-    "whisper": ("anchor_subs", "anchor_dels", "anchor_ins"),
-    "mms": ("anchor_subs_mms", "anchor_dels_mms", "anchor_ins_mms"),
-    "elevenlabs": ("anchor_subs_scribe", "anchor_dels_scribe", "anchor_ins_scribe"),
+    "whisper": ("anchor_subs", "anchor_dels", "anchor_ins", "anchor_cer_err"),
+    "gigaam": ("anchor_subs", "anchor_dels", "anchor_ins", "anchor_cer_err"),
+    "mms": ("anchor_subs_mms", "anchor_dels_mms", "anchor_ins_mms", "anchor_cer_err_mms"),
+    "elevenlabs": ("anchor_subs_scribe", "anchor_dels_scribe", "anchor_ins_scribe", "anchor_cer_err_scribe"),
 }
 CARRIED = ["speaker_gender", "gt_speaker_id", "prompt_dur_bin", "sim_ref_dur_bin", "gt_dur"]
 ENCODERS = ("wavlm_sv", "wavlm_ft", "ecapa")
@@ -147,11 +148,16 @@ def _anchor(column: int) -> Column:
     return F.coalesce(*(F.when(F.col("asr") == a, col(c[column])) for a, c in ANCHOR_COLUMNS.items()))
 
 
+def _with_anchors(rows: DataFrame, bench: DataFrame, how: str) -> DataFrame:
+    """Rows with h_err and h_n, the human anchor's errors and words for the same recogniser and utterance, or null."""
+    names = sorted({c for cs in ANCHOR_COLUMNS.values() for c in cs[:3]})
+    wide = with_benchmark(rows, bench, [*names, "anchor_n_ref_words"], how)
+    return wide.withColumns({"h_err": _anchor(0) + _anchor(1) + _anchor(2), "h_n": F.col("anchor_n_ref_words")}).drop(*names, "anchor_n_ref_words")
+
+
 def anchored(spark: SparkSession, root: str) -> DataFrame:
     """Scored rows with the human anchor's errors of the same recogniser on the same utterance, where there are any."""
-    names = [c for cs in ANCHOR_COLUMNS.values() for c in cs]
-    rows = with_benchmark(scored(spark, root), benchmark(spark, root), [*names, "anchor_n_ref_words"], "inner")
-    return rows.withColumns({"h_err": _anchor(0) + _anchor(1) + _anchor(2), "h_n": F.col("anchor_n_ref_words")}).dropna(subset=["h_err", "h_n"])
+    return _with_anchors(scored(spark, root), benchmark(spark, root), "inner").dropna(subset=["h_err", "h_n"])
 
 
 def paired_bootstrap_anchor(spark: SparkSession, root: str) -> DataFrame:
@@ -159,19 +165,36 @@ def paired_bootstrap_anchor(spark: SparkSession, root: str) -> DataFrame:
 
 
 def anchor_rates(spark: SparkSession, root: str) -> DataFrame:
-    """The human anchor's corpus rate by language and recogniser; the wide columns become rows."""
+    """The human anchor's corpus rates of words and characters by language and recogniser; the wide columns become rows."""
     b = benchmark(spark, root)
-    wide = F.array(*(F.struct(F.lit(a).alias("asr"), (col(c[0]) + col(c[1]) + col(c[2])).alias("err")) for a, c in ANCHOR_COLUMNS.items()))
-    rows = b.select("lang", "anchor_n_ref_words", F.explode(wide).alias("x")).select("lang", "x.asr", "x.err", "anchor_n_ref_words").dropna(subset=["err", "anchor_n_ref_words"])
-    return rows.groupBy("lang", "asr").agg(F.count(F.lit(1)).alias("n"), F.round(stats.rate(F.col("err"), F.col("anchor_n_ref_words")), 9).alias("anchor_wer"))
+    wide = F.array(*(F.struct(F.lit(a).alias("asr"), (col(c[0]) + col(c[1]) + col(c[2])).alias("err"), col(c[3]).alias("cer_err")) for a, c in ANCHOR_COLUMNS.items()))
+    rows = b.select("lang", F.col("anchor_n_ref_words").alias("w"), F.col("anchor_n_ref_chars").alias("c"), F.explode(wide).alias("x")).select("lang", "x.*", "w", "c")
+    words, chars = F.col("err").isNotNull() & F.col("w").isNotNull(), F.col("cer_err").isNotNull() & F.col("c").isNotNull()
+    return rows.where(words | chars).groupBy("lang", "asr").agg(
+        F.count_if(words).alias("n"), F.round(stats.rate(F.when(words, F.col("err")), F.when(words, F.col("w"))), 9).alias("anchor_wer"),
+        F.count_if(chars).alias("n_cer"), F.round(stats.rate(F.when(chars, F.col("cer_err")), F.when(chars, F.col("c"))), 9).alias("anchor_cer"),
+    )
 
 
 def intelligibility(spark: SparkSession, root: str) -> DataFrame:
-    """One row per subset and recogniser: rates, interval, and the paired difference to the human anchor."""
+    """One row per subset and recogniser: rates, interval, and the paired difference to the human anchor.
+
+    The rows are joined with the anchors and summed by speaker once; all three parts come from these sums, written out.
+    """
     keys = ["subset", "asr"]
-    summary = stats.error_summary(pool(spark, root), keys)
-    band = stats.cluster_bootstrap(scored(spark, root), keys, "speaker_id", word_edits(), F.col("n_ref_words")).select(*keys, F.col("lo").alias("wer_lo"), F.col("hi").alias("wer_hi"))
-    pair = stats.paired_bootstrap(anchored(spark, root), keys, "speaker_id", (word_edits(), F.col("n_ref_words")), (F.col("h_err"), F.col("h_n")))
+    rows = _with_anchors(pool(spark, root), benchmark(spark, root), "left")
+    edits = word_edits().cast("double")
+    whole = ~F.col("missing") & edits.isNotNull() & F.col("n_ref_words").isNotNull()
+    both = whole & F.col("h_err").isNotNull() & F.col("h_n").isNotNull()
+    sums = {n: c.alias(n) for n, c in stats.error_counts().items()}
+    for n, c, when in [("_a", edits, whole), ("_n", F.col("n_ref_words"), whole), ("_pa", edits, both), ("_pan", F.col("n_ref_words"), both), ("_pb", F.col("h_err"), both), ("_pbn", F.col("h_n"), both)]:
+        sums[n] = F.sum(F.when(when, c.cast("double"))).alias(n)
+    speakers = checkpointed(rows.groupBy(*keys, "speaker_id").agg(*sums.values()))
+    named = speakers.where("speaker_id IS NOT NULL").withColumnRenamed("speaker_id", "_cluster")
+    summary = stats.summed(speakers, keys)
+    band = stats.intervals(named.select(*keys, "_cluster", "_a", "_n").dropna(), keys).select(*keys, F.col("lo").alias("wer_lo"), F.col("hi").alias("wer_hi"))
+    sides = [F.col(a).alias(b) for a, b in zip(("_pa", "_pan", "_pb", "_pbn"), stats.PAIR)]
+    pair = stats.paired_intervals(named.select(*keys, "_cluster", *sides).dropna(subset=list(stats.PAIR)), keys)
     pair = pair.select(*keys, F.col("rate_b").alias("anchor_wer"), "delta", F.col("lo").alias("delta_lo"), F.col("hi").alias("delta_hi"), "p_a_better")
     out = stats.joined(stats.joined(summary, band, keys, "left"), pair, keys, "left")
     # an interval needs more than one scored row
@@ -190,17 +213,30 @@ def _pairs(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def _pair_sums(spark: SparkSession, root: str) -> DataFrame:
+    """Pairs of recognisers summed by speaker: shared utterances, identical transcripts, errors and words of both."""
+    double = [F.sum(F.col(c).cast("double")).alias(n) for c, n in zip(("err_a", "n_a", "err_b", "n_b"), stats.PAIR)]
+    return _pairs(spark, root).groupBy("subset", "a", "b", F.col("speaker_id").alias("_cluster")).agg(F.count(F.lit(1)).alias("_n"), F.count_if("same").alias("_same"), *double)
+
+
+def _identical(sums: DataFrame) -> DataFrame:
+    share = F.round(F.sum("_same").cast("double") / F.sum("_n").cast("double"), 9)
+    return sums.groupBy("subset", "a", "b").agg(F.sum("_n").alias("n_shared"), share.alias("identical")).where("n_shared >= 2")
+
+
 def identical_transcripts(spark: SparkSession, root: str) -> DataFrame:
-    shared = _pairs(spark, root).groupBy("subset", "a", "b").agg(F.count(F.lit(1)).alias("n_shared"), F.round(stats.share(F.col("same")), 9).alias("identical"))
-    return shared.where("n_shared >= 2")
+    return _identical(_pair_sums(spark, root))
 
 
 def disagreement(spark: SparkSession, root: str) -> DataFrame:
-    """One row per subset and pair of recognisers that share at least two utterances."""
+    """One row per subset and pair of recognisers that share at least two utterances.
+
+    Recognisers are joined once and summed by speaker; both parts come from these sums, written out.
+    """
     keys = ["subset", "a", "b"]
-    pairs = _pairs(spark, root)
-    paired = stats.paired_bootstrap(pairs, keys, "speaker_id", (F.col("err_a"), F.col("n_a")), (F.col("err_b"), F.col("n_b")))
-    return stats.joined(identical_transcripts(spark, root), paired.drop("n_clusters"), keys, "left")
+    sums = checkpointed(_pair_sums(spark, root))
+    paired = stats.paired_intervals(sums.where("_cluster IS NOT NULL").select(*keys, "_cluster", *stats.PAIR), keys)
+    return stats.joined(_identical(sums), paired.drop("n_clusters"), keys, "left")
 
 
 def _durations(spark: SparkSession, root: str) -> DataFrame:
@@ -214,13 +250,12 @@ def primary_recogniser() -> Column:
 
 
 def failures(spark: SparkSession, root: str) -> DataFrame:
-    """What a mean hides, by subset and for the language's headline recogniser."""
+    """What a mean hides, by subset and for the language's headline recogniser. Clips without a transcript count too."""
     rows = _durations(spark, root).where(F.col("asr") == primary_recogniser())
     own = F.when(~F.col("missing"), F.try_divide(word_edits().cast("double"), F.col("n_ref_words").cast("double")))
-    ratio = F.when(~F.col("missing"), F.col("ratio"))
-    present = ~F.col("missing")
+    ratio, present = F.col("ratio"), ~F.col("missing")
     return rows.groupBy("subset", "lang", "voice", "asr").agg(
-        F.round(F.avg(F.when(present, F.coalesce(F.col("synth_dur") < EMPTY_SECONDS, F.lit(False)).cast("double"))), 9).alias("empty_output"),
+        F.round(stats.share(F.col("synth_dur") < EMPTY_SECONDS), 9).alias("empty_output"),
         F.round(F.avg((own > stats.CATASTROPHIC).cast("double")), 9).alias("catastrophic"),
         F.round(F.avg((ratio > RUNAWAY).cast("double")), 9).alias("runaway"),
         F.round(F.avg((ratio < TRUNCATED).cast("double")), 9).alias("truncated"),
@@ -345,12 +380,12 @@ def row_counts(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "asr").groupBy("subset").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def cluster_ratio_orders(spark: SparkSession, root: str, replicates: int = 100) -> DataFrame:
+def cluster_ratio_orders(spark: SparkSession, root: str) -> DataFrame:
     """The bootstrap on a large table: discount given as a share of the price, customers as clusters."""
     lines = table(spark, root, "lineitem").select("l_orderkey", F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"), F.round(F.col("l_discount") * 100).cast("long").alias("percent"))
     orders = table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     rows = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return stats.cluster_bootstrap(rows, ["o_orderpriority"], "o_custkey", F.col("cents") * F.col("percent"), F.col("cents") * 100, replicates)
+    return stats.cluster_bootstrap(rows, ["o_orderpriority"], "o_custkey", F.col("cents") * F.col("percent"), F.col("cents") * 100)
 
 
 # --- similarity --------------------------------------------------------------------------------------------------

@@ -1,18 +1,23 @@
-"""The evaluation's queries as SQL, written independently of the operators, for DuckDB on the same tables."""
+"""The evaluation's queries as SQL for DuckDB on the same tables.
+
+The queries are written apart from the operators; of these only fixed values are taken: number words, punctuation,
+apostrophes, and the limits of the bootstrap's weights.
+"""
 
 from __future__ import annotations
 
 from ..functions.numbers import NUMBER_LANGUAGES, say
 from ..functions.text import PUNCTUATION, TYPOGRAPHIC_APOSTROPHES
+from ..operators.stats import poisson_limits
 
 POOL = "pool AS (SELECT DISTINCT * FROM asr)"
 BENCH = "bench AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY utt ORDER BY ingested_at, row_id) AS rn FROM sources WHERE utt IS NOT NULL) WHERE rn = 1)"
 SCORED = "scored AS (SELECT *, subs + dels + ins AS err FROM pool WHERE NOT missing AND subs IS NOT NULL AND dels IS NOT NULL AND ins IS NOT NULL AND n_ref_words IS NOT NULL)"
 ANCHORED = """anchored AS (
 SELECT * FROM (SELECT s.*, b.anchor_n_ref_words AS h_n,
-  CASE s.asr WHEN 'whisper' THEN b.anchor_subs + b.anchor_dels + b.anchor_ins
-             WHEN 'mms' THEN b.anchor_subs_mms + b.anchor_dels_mms + b.anchor_ins_mms
-             WHEN 'elevenlabs' THEN b.anchor_subs_scribe + b.anchor_dels_scribe + b.anchor_ins_scribe END AS h_err
+  CASE WHEN s.asr IN ('whisper', 'gigaam') THEN b.anchor_subs + b.anchor_dels + b.anchor_ins
+             WHEN s.asr = 'mms' THEN b.anchor_subs_mms + b.anchor_dels_mms + b.anchor_ins_mms
+             WHEN s.asr = 'elevenlabs' THEN b.anchor_subs_scribe + b.anchor_dels_scribe + b.anchor_ins_scribe END AS h_err
 FROM scored s JOIN bench b USING (utt)) WHERE h_err IS NOT NULL AND h_n IS NOT NULL)"""
 PAIRS = """pairs AS (
 SELECT a.subset, a.asr AS a, b.asr AS b, a.speaker_id, a.err AS err_a, a.n_ref_words AS n_a, b.err AS err_b, b.n_ref_words AS n_b,
@@ -78,19 +83,17 @@ FROM {source} GROUP BY {keys}"""
 
 
 def _boot(name: str, rows: str, keys: list[str], cluster: str, sums: dict[str, str], replicates: int = 2000) -> str:
-    """CTEs <name>_c (clusters), <name>_r (replicates): the sums of drawn clusters by keys and rep."""
+    """CTEs <name>_c (clusters), <name>_r (replicates): the weighted sums of clusters by keys and rep."""
     ks = "".join(f"{k}, " for k in keys)
-    by = f"PARTITION BY {', '.join(keys)}" if keys else ""
-    on = " AND ".join(["d.pick = c.idx", *(f"d.{k} IS NOT DISTINCT FROM c.{k}" for k in keys)])
-    h = "(20260725 + (rep + 1) * 1103515245 % 2147483647 + (idx + 1) * 69069 % 2147483647) % 2147483647"
-    mixes = "".join(f", ({'h' + str(i)} * {'h' + str(i)} % 2147483647 * 48271 + 11) % 2147483647 AS h{i + 1}" for i in range(2))
+    h = "(20260725 + (rep + 1) * 1103515245 % 2147483647 + (c + 1) * 69069 % 2147483647) % 2147483647"
+    mix = "({0} * {0} % 2147483647 * 48271 + 11) % 2147483647".format
     sums_sql = ", ".join(f"sum(({e})::DOUBLE) AS {n}" for n, e in sums.items())
     notnull = " AND ".join(f"({e}) IS NOT NULL" for e in sums.values())
-    out = ", ".join(f"sum({n}) AS {n}" for n in sums)
-    return f"""{name}_p AS (SELECT {ks}{cluster} AS cl, {sums_sql} FROM {rows} WHERE {cluster} IS NOT NULL AND {notnull} GROUP BY {ks}cl),
-{name}_c AS (SELECT *, row_number() OVER ({by} ORDER BY cl) - 1 AS idx, count(*) OVER ({by}) AS k FROM {name}_p),
-{name}_d AS (SELECT {ks}rep, h2 % k AS pick FROM (SELECT *, {h} AS h0{mixes} FROM {name}_c, range({replicates}) AS t(rep))),
-{name}_r AS (SELECT {''.join(f'd.{k}, ' for k in keys)}rep, {out} FROM {name}_d d JOIN {name}_c c ON {on} GROUP BY {''.join(f'd.{k}, ' for k in keys)}rep)"""
+    weight = "CASE " + " ".join(f"WHEN h2 < {x} THEN {k}" for k, x in enumerate(poisson_limits())) + f" ELSE {len(poisson_limits())} END"
+    out = ", ".join(f"sum(w * {n}) AS {n}" for n in sums)
+    return f"""{name}_c AS (SELECT {ks}{cluster} AS cl, {sums_sql}, ('0x' || left(md5(cl::VARCHAR), 15))::BIGINT % 2147483647 AS c FROM {rows} WHERE {cluster} IS NOT NULL AND {notnull} GROUP BY {ks}cl),
+{name}_h AS (SELECT *, {mix('h1')} AS h2 FROM (SELECT *, {mix('h0')} AS h1 FROM (SELECT *, {h} AS h0 FROM {name}_c, range({replicates}) AS t(rep)))),
+{name}_r AS (SELECT {ks}rep, {out} FROM (SELECT *, {weight} AS w FROM {name}_h) GROUP BY {ks}rep)"""
 
 
 def _band(value: str) -> str:
@@ -117,7 +120,7 @@ def _paired(name: str, rows: str, keys: list[str], a: str, an: str, b: str, bn:
     on = " AND ".join(f"p.{k} IS NOT DISTINCT FROM q.{k}" for k in keys)
     final = f"""SELECT {''.join(f'p.{k}, ' for k in keys)}n_clusters, rate_a, rate_b, delta, lo, hi, p_a_better
 FROM (SELECT {ks}, count(*) AS n_clusters, round({ra}, 9) AS rate_a, round({rb}, 9) AS rate_b, round({ra} - {rb}, 9) AS delta FROM {name}_c GROUP BY {ks}) p
-JOIN (SELECT {ks}, {_band(delta)}, round(avg(coalesce({delta} < 0, false)::INT::DOUBLE), 9) AS p_a_better FROM {name}_r GROUP BY {ks}) q ON {on}"""
+JOIN (SELECT {ks}, {_band(delta)}, round(avg(({delta} < 0)::INT::DOUBLE), 9) AS p_a_better FROM {name}_r GROUP BY {ks}) q ON {on}"""
     return ctes, final
 
 
@@ -133,7 +136,7 @@ _CATA = _cluster("w", "(SELECT * FROM scored WHERE n_ref_words > 0)", ["lang"],
 _ANCHOR = _paired("p", "anchored", ["lang", "asr"], "err", "n_ref_words", "h_err", "h_n")
 _ANCHOR_SUBSET = _paired("p", "anchored", ["subset", "asr"], "err", "n_ref_words", "h_err", "h_n")
 _PAIR = _paired("p", "pairs", ["subset", "a", "b"], "err_a", "n_a", "err_b", "n_b")
-_ORDERS = _cluster("o", "(SELECT o_orderpriority, o_custkey, round(l_extendedprice * 100)::BIGINT AS cents, round(l_discount * 100)::BIGINT AS percent FROM lineitem JOIN orders ON l_orderkey = o_orderkey)", ["o_orderpriority"], "o_custkey", "cents * percent", "cents * 100", 100)
+_ORDERS = _cluster("o", "(SELECT o_orderpriority, o_custkey, round(l_extendedprice * 100)::BIGINT AS cents, round(l_discount * 100)::BIGINT AS percent FROM lineitem JOIN orders ON l_orderkey = o_orderkey)", ["o_orderpriority"], "o_custkey", "cents * percent", "cents * 100")
 _IDENTICAL = "ident AS (SELECT subset, a, b, count(*) AS n_shared, round(avg(same::INT::DOUBLE), 9) AS identical FROM pairs GROUP BY ALL HAVING count(*) >= 2)"
 
 _INTELLIGIBILITY = _with(
@@ -147,11 +150,11 @@ FROM pool p LEFT JOIN bench b USING (utt))"""
 _HAS_APOSTROPHE = "coalesce(regexp_matches(hyp_raw, '[" + TYPOGRAPHIC_APOSTROPHES + "]'), false)"
 
 _FAILURES = _with(POOL, BENCH, _DUR, f"""SELECT subset, lang, voice, asr,
-round(avg(CASE WHEN NOT missing THEN coalesce(sd < 0.3, false)::INT::DOUBLE END), 9) AS empty_output,
+round(avg(coalesce(sd < 0.3, false)::INT::DOUBLE), 9) AS empty_output,
 round(avg((CASE WHEN NOT missing THEN (subs + dels + ins)::DOUBLE / nullif(n_ref_words, 0) END > 0.5)::INT::DOUBLE), 9) AS catastrophic,
-round(avg((CASE WHEN NOT missing THEN ratio END > 2.0)::INT::DOUBLE), 9) AS runaway,
-round(avg((CASE WHEN NOT missing THEN ratio END < 0.5)::INT::DOUBLE), 9) AS truncated,
-round(quantile_cont(CASE WHEN NOT missing THEN ratio END, 0.5), 9) AS median_ratio, round(max(CASE WHEN NOT missing THEN ratio END), 9) AS max_ratio,
+round(avg((ratio > 2.0)::INT::DOUBLE), 9) AS runaway,
+round(avg((ratio < 0.5)::INT::DOUBLE), 9) AS truncated,
+round(quantile_cont(ratio, 0.5), 9) AS median_ratio, round(max(ratio), 9) AS max_ratio,
 count(failure) + count(*) FILTER (missing AND failure IS NULL) AS unreadable, count(*) FILTER (NOT missing AND {_HAS_APOSTROPHE}) AS n_typographic
 FROM dur WHERE asr = CASE WHEN lang = 'ky' THEN 'gigaam' WHEN lang IN ('en-US', 'es-MX', 'es-ES', 'nl-NL', 'pt-BR') THEN 'whisper' END GROUP BY subset, lang, voice, asr""")
 
@@ -204,11 +207,13 @@ sum(CASE WHEN lang IN ('en-US', 'es-ES', 'es-MX', 'nl-NL', 'pt-BR') THEN 0 ELSE
     "bootstrap_macro": _with(POOL, SCORED, *_MACRO),
     "bootstrap_catastrophic": _with(POOL, SCORED, *_CATA),
     "paired_bootstrap_anchor": _with(POOL, SCORED, BENCH, ANCHORED, *_ANCHOR),
-    "anchor_rates": _with(BENCH, """SELECT lang, asr, count(*) AS n, round(sum(err)::DOUBLE / nullif(sum(t), 0)::DOUBLE, 9) AS anchor_wer FROM (
-SELECT lang, 'whisper' AS asr, anchor_subs + anchor_dels + anchor_ins AS err, anchor_n_ref_words AS t FROM bench
-UNION ALL SELECT lang, 'mms', anchor_subs_mms + anchor_dels_mms + anchor_ins_mms, anchor_n_ref_words FROM bench
-UNION ALL SELECT lang, 'elevenlabs', anchor_subs_scribe + anchor_dels_scribe + anchor_ins_scribe, anchor_n_ref_words FROM bench)
-WHERE err IS NOT NULL AND t IS NOT NULL GROUP BY lang, asr"""),
+    "anchor_rates": _with(BENCH, """ar AS (
+SELECT lang, unnest(['whisper', 'gigaam']) AS asr, anchor_subs + anchor_dels + anchor_ins AS err, anchor_n_ref_words AS t, anchor_cer_err AS cerr, anchor_n_ref_chars AS ct FROM bench
+UNION ALL SELECT lang, 'mms', anchor_subs_mms + anchor_dels_mms + anchor_ins_mms, anchor_n_ref_words, anchor_cer_err_mms, anchor_n_ref_chars FROM bench
+UNION ALL SELECT lang, 'elevenlabs', anchor_subs_scribe + anchor_dels_scribe + anchor_ins_scribe, anchor_n_ref_words, anchor_cer_err_scribe, anchor_n_ref_chars FROM bench)""",
+"""SELECT lang, asr, count(*) FILTER (err + t IS NOT NULL) AS n, round(sum(err) FILTER (t IS NOT NULL)::DOUBLE / nullif(sum(t) FILTER (err IS NOT NULL), 0)::DOUBLE, 9) AS anchor_wer,
+count(*) FILTER (cerr + ct IS NOT NULL) AS n_cer, round(sum(cerr) FILTER (ct IS NOT NULL)::DOUBLE / nullif(sum(ct) FILTER (cerr IS NOT NULL), 0)::DOUBLE, 9) AS anchor_cer
+FROM ar WHERE err + t IS NOT NULL OR cerr + ct IS NOT NULL GROUP BY lang, asr"""),
     "intelligibility": _INTELLIGIBILITY,
     "identical_transcripts": _with(POOL, SCORED, PAIRS, _IDENTICAL, "SELECT * FROM ident"),
     "disagreement": _with(POOL, SCORED, PAIRS, _IDENTICAL, _PAIR[0], f"pr AS ({_PAIR[1]})", "SELECT ident.*, rate_a, rate_b, delta, lo, hi, p_a_better FROM ident LEFT JOIN pr USING (subset, a, b)"),
