@@ -59,9 +59,13 @@ class ResultCache:
         left = {(r["stage"], r["name"], r["key"]) for r in planned.join(self._manifest(), ["stage", "name", "key"], "left_anti").collect()}
         return [u for u in units if (u.stage, u.name, u.key) in left]
 
-    def save(self, unit: Unit, rows: DataFrame, summary: dict) -> None:
-        """Rows first, the manifest's row last: a result counts only once it is whole."""
+    def save(self, unit: Unit, rows: DataFrame, summary: dict | None = None) -> None:
+        """Rows first, the manifest's row last: a result counts only once it is whole. Without a summary, finish() adds it."""
         rows.write.mode("overwrite").parquet(self.path(unit))
+        if summary is not None:
+            self.finish(unit, summary)
+
+    def finish(self, unit: Unit, summary: dict) -> None:
         row = (unit.stage, unit.name, unit.key, json.dumps(unit.parameters, sort_keys=True, default=str), json.dumps(summary, default=str))
         self.spark.createDataFrame([row], _MANIFEST).coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
 
@@ -70,12 +74,19 @@ class ResultCache:
 
     def pool(self, units: list[Unit]) -> DataFrame | None:
         """The current results of the units as one table; results of other fingerprints are left out."""
-        done = [u for u in units if u not in self.pending(units)]
+        left = {u.key for u in self.pending(units)}
+        done = [u for u in units if u.key not in left]
         out = None
         for u in done:
             df = self.spark.read.parquet(self.path(u)).withColumn("unit", F.lit(u.name))
             out = df if out is None else out.unionByName(df, allowMissingColumns=True)
         return out
 
+    def summary_of(self, units: list[Unit]) -> list[dict]:
+        """The summaries of current results, without the keys that begin with an underscore."""
+        planned = self.spark.createDataFrame([(u.key,) for u in units], "key string")
+        rows = self._manifest().join(planned.distinct(), "key", "left_semi").dropDuplicates(["key"]).orderBy("stage", "name").collect()
+        return [{k: v for k, v in json.loads(r["summary"]).items() if not k.startswith("_")} for r in rows]
+
     def summaries(self, stage: str) -> DataFrame:
         return self._manifest().where(F.col("stage") == stage).dropDuplicates(["stage", "name", "key"])

@@ -47,6 +47,25 @@ def decoded(cell: Column) -> Column:
     return run(cell)
 
 
+def waveform(cell: Column, rate: int = RATE, peak: float | None = -1.0) -> Column:
+    """struct<samples, error> of an audio cell at a rate, its peak brought to peak decibels of full scale; null for null."""
+
+    @F.pandas_udf("samples array<float>, error string")
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = []
+            for data, path in zip(part["bytes"], part["path"]):
+                try:
+                    x = resampled(*decode(data, path), rate)
+                    top = np.abs(x).max(initial=0.0)
+                    rows.append((x * np.float32(10 ** (peak / 20) / top) if peak is not None and top > 0 else x, None))
+                except Exception as e:  # noqa: BLE001
+                    rows.append((None, f"{type(e).__name__}: {str(e)[:200]}"))
+            yield pd.DataFrame(rows, columns=["samples", "error"])
+
+    return F.when(cell.isNotNull(), run(cell))
+
+
 def seconds(samples: Column, rate: int = RATE) -> Column:
     return F.size(samples) / F.lit(float(rate))
 
@@ -63,6 +82,17 @@ def resampled(x: np.ndarray, rate: int, to: int) -> np.ndarray:
     return (np.fft.irfft(out, n) * (n / len(x))).astype(np.float32)
 
 
+def rerated(samples: Column, rate: int, to: int) -> Column:
+    """Samples at another rate."""
+
+    @F.pandas_udf("array<float>")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series([None if x is None else resampled(np.asarray(x, np.float32), rate, to) for x in part], dtype=object)
+
+    return run(samples)
+
+
 @cache
 def mel_filters(rate: int, n_fft: int, n_mels: int, fmax: float) -> np.ndarray:
     """Triangular filters of equal area on the mel scale that is linear below 1 kHz and logarithmic above."""

@@ -9,7 +9,9 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +63,11 @@ def isolated(call: Callable[[list], Sequence], inputs: list) -> list[tuple[objec
         return out
 
 
+def _key(name: str, loader: Callable[[], object]) -> str:
+    """What a worker knows a loaded model by: its name and what loads it."""
+    return f"{name}:{hashlib.md5(cloudpickle.dumps(loader)).hexdigest()}"
+
+
 def infer(name: str, loader: Callable[[], object], value: Column, result: str, batch: int = 32) -> Column:
     """struct<value, error> of a model's output per row; null inputs give neither. Batches keep to batch inputs.
 
@@ -68,11 +75,13 @@ def infer(name: str, loader: Callable[[], object], value: Column, result: str, b
     for models whose padding changes results.
     """
 
+    key = _key(name, loader)
+
     @F.pandas_udf(f"value {result}, error string")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        if name not in _loaded:
-            _loaded[name] = loader()
-        call = _loaded[name]
+        if key not in _loaded:
+            _loaded[key] = loader()
+        call = _loaded[key]
         for part in parts:
             values: list = [None] * len(part)
             errors: list = [None] * len(part)
@@ -109,8 +118,101 @@ class StubJudge:
         return [1 + 4 * hashlib.md5(t.encode()).digest()[0] / 255 for t in texts]
 
 
+class StubListener:
+    """Transcribes a waveform: one of eight syllables a quarter of a second, by its loudness; refuses silence."""
+
+    SYLLABLES = ("ba", "de", "gi", "lo", "mu", "na", "re", "ti")
+
+    def __call__(self, waves: list) -> list[str]:
+        return [self._one(np.asarray(w, np.float64)) for w in waves]
+
+    def _one(self, wave: np.ndarray) -> str:
+        if not np.abs(wave).max(initial=0.0) > 0:
+            raise ValueError("nothing to hear")
+        blocks = [wave[i : i + 4000] for i in range(0, len(wave), 4000)]
+        return " ".join(self.SYLLABLES[int(1000 * np.sqrt(np.mean(b * b))) % 8] for b in blocks)
+
+
+class StubEncoder:
+    """A unit vector of 16 band energies; takes one clip a call, as padding would reach the pooling of a real encoder."""
+
+    def __call__(self, waves: list) -> list[list[float]]:
+        if len(waves) != 1:
+            raise ValueError("an encoder takes one clip at a time")
+        bands = np.array([np.abs(b).sum() for b in np.array_split(np.fft.rfft(np.asarray(waves[0], np.float64)), 16)])
+        length = np.sqrt(bands @ bands)
+        if not length > 0:
+            raise ValueError("silence has no direction")
+        return [(bands / length).tolist()]
+
+
+def stub_mos(name: str, key: str) -> float:
+    """A number in 1..5 from a hash of a score's name and a clip's key."""
+    return 1 + 4 * hashlib.md5(f"{name}:{key}".encode()).digest()[0] / 255
+
+
+# The judges and the scores that each gives.
+JUDGES = {"dnsmos": ("dnsmos_ovrl", "dnsmos_sig", "dnsmos_bak", "dnsmos_p808"), "utmos": ("utmos",), "nisqa": ("nisqa_mos", "nisqa_noi", "nisqa_dis", "nisqa_col", "nisqa_loud")}
+SCORES = tuple(s for names_ in JUDGES.values() for s in names_)
+
+
+class StubScores:
+    """The scores of one judge for a list of inputs, by a hash of each."""
+
+    def __init__(self, judge: str):
+        self.scores = JUDGES[judge]
+
+    def __call__(self, inputs: list) -> list[list[float]]:
+        return [[stub_mos(s, x if isinstance(x, str) else np.asarray(x, np.float32).tobytes().hex()) for s in self.scores] for x in inputs]
+
+
+def judged_scores(inputs: dict[str, Column], loaders: dict[str, Callable[[], object]], chunk: int = 128) -> Column:
+    """struct of SCORES, null where a judge has none.
+
+    inputs and loaders by judge. dnsmos is asked clip by clip, so a failure costs its row's scores; utmos judges a chunk
+    together, cut to the same length, so a failure costs the chunk's; nisqa is asked for a chunk and, if that fails, clip
+    by clip, and a clip of which all its scores are 0 is one that it couldn't score.
+    """
+    asked = [j for j in JUDGES if j in inputs]
+    keys = {j: _key(j, loaders[j]) for j in asked}
+
+    @F.pandas_udf(", ".join(f"{s} double" for s in SCORES))
+    def run(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for j in asked:
+            if keys[j] not in _loaded:
+                _loaded[keys[j]] = loaders[j]()
+        for part in parts:
+            n = len(part[0])
+            out = {s: np.full(n, np.nan) for s in SCORES}
+            for j, series in zip(asked, part):
+                there = [i for i, x in enumerate(series) if x is not None]
+                for at in range(0, len(there), chunk):
+                    own = there[at : at + chunk]
+                    clips = [series.iloc[i] for i in own]
+                    call = _loaded[keys[j]]
+                    if j == "utmos":
+                        try:
+                            values = list(call(clips))
+                        except Exception:  # noqa: BLE001
+                            values = [None] * len(own)
+                    elif j == "dnsmos":
+                        values = [isolated(call, [x])[0][0] for x in clips]
+                    else:
+                        values = [v for v, _ in isolated(call, clips)]
+                        values = [None if v is not None and not any(v) else v for v in values]
+                    for i, v in zip(own, values):
+                        for s, x in zip(JUDGES[j], v or ()):
+                            out[s][i] = x
+            yield pd.DataFrame(out)
+
+    scores = run(*(inputs[j] for j in asked))
+    return F.struct(*(F.when(~F.isnan(scores[s]), scores[s]).alias(s) for s in SCORES))
+
+
 register("stub_recogniser")(StubRecogniser)
 register("stub_judge")(StubJudge)
+register("stub_listener")(StubListener)
+register("stub_encoder")(StubEncoder)
 
 
 def transcribed(df: DataFrame, text: str, batch: int = 16) -> DataFrame:

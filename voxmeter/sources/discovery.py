@@ -24,11 +24,12 @@ def benchmark_scan(spark: SparkSession, root: str, lang: str, split: str = "main
 
     None, or more than one, is an error.
     """
-    found = [r["path"] for r in files_of(spark, f"{root}/{lang}").limit(1000).collect()]
-    own = [p for p in found if p.rsplit("/", 1)[-1].startswith(f"{split}-")] or found
-    if len(own) != 1:
-        raise ValueError(f"{root}/{lang}: expected one shard of {split}, found {len(own)}")
-    return spark.read.parquet(own[0])
+    files = files_of(spark, f"{root}/{lang}")
+    is_split = F.element_at(F.split("path", "/"), -1).startswith(f"{split}-")
+    one = files.agg(F.count_if(is_split).alias("own"), F.count(F.lit(1)).alias("all"), F.coalesce(F.min(F.when(is_split, F.col("path"))), F.min("path")).alias("path")).first()
+    if (one["own"] or one["all"]) != 1:
+        raise ValueError(f"{root}/{lang}: expected one shard of {split}, found {one['own'] or one['all']}")
+    return spark.read.parquet(one["path"])
 
 
 def nested_subsets(spark: SparkSession, root: str, languages: Sequence[str]) -> DataFrame:
@@ -55,6 +56,12 @@ def admitted(subsets: DataFrame, include: Sequence[str] | None = None, exclude:
     return subsets.where(~F.col("subset").isin(*exclude)) if exclude else subsets
 
 
+def config_names(card: DataFrame, line: str) -> DataFrame:
+    """(config_name): what follows `config_name:` in the lines of a dataset card, trimmed."""
+    name = F.regexp_extract(col(line), r"config_name:\s*(.*?)\s*$", 1)
+    return card.where(col(line).rlike(r"config_name:")).select(name.alias("config_name"))
+
+
 def synthesis_scan(spark: SparkSession, paths: Sequence[str], columns: dict[str, str]) -> DataFrame:
     """Files of synthesised clips with the columns named as configured (wanted: name in the file), those they have.
 

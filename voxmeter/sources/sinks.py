@@ -74,8 +74,14 @@ def manifest(folder: str | Path) -> list[tuple[str, int]]:
 
 
 def stage(tables: dict[str, DataFrame], pools: dict[str, DataFrame], folder: str | Path, title: str, facts: dict, parts: Sequence[str] = ("tables", "pools", "summary", "readme")) -> list[tuple[str, int]]:
-    """A fresh folder with the wanted parts of a run; returns its manifest. Nothing is sent anywhere."""
+    """A fresh folder with the wanted parts of a run; returns its manifest. Nothing is sent anywhere.
+
+    A folder that isn't empty is replaced only if it was staged before, which its MANIFEST.json shows; any other is an
+    error.
+    """
     root = Path(folder)
+    if root.exists() and any(root.iterdir()) and not (root / "MANIFEST.json").is_file():
+        raise FileExistsError(f"{root} isn't empty and wasn't staged by this engine")
     shutil.rmtree(root, ignore_errors=True)
     root.mkdir(parents=True)
     if "tables" in parts:
@@ -88,4 +94,5 @@ def stage(tables: dict[str, DataFrame], pools: dict[str, DataFrame], folder: str
         write_summary(root / "summary.json", facts)
     if "readme" in parts:
         (root / "README.md").write_text(markdown(title, tables))
+    write_summary(root / "MANIFEST.json", {"title": title, "files": dict(manifest(root))})
     return manifest(root)

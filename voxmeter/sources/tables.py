@@ -18,3 +18,21 @@ def table(spark: SparkSession, root: str, name: str, wanted: Iterable[str] | Non
 def present(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
     """The wanted columns that df has, in the wanted order; absent ones are left out silently."""
     return df.select([col(c) for c in wanted if c in df.columns])
+
+
+def required(df: DataFrame, wanted: Iterable[str]) -> DataFrame:
+    """The wanted columns of df; an absent one is an error."""
+    wanted = list(wanted)
+    if absent := [c for c in wanted if c not in df.columns]:
+        raise ValueError(f"no column {', '.join(absent)} (have: {', '.join(df.columns)})")
+    return df.select([col(c) for c in wanted])
+
+
+def column_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of a parquet file's columns, from its footer."""
+    return spark.read.parquet(path).columns
+
+
+def row_count(spark: SparkSession, path: str) -> int:
+    """Rows of parquet files, from their footers: the scan reads no column."""
+    return spark.read.parquet(path).select().count()
