@@ -117,3 +117,14 @@ def test_failures_of_judges(spark):
 def test_footer_reads(spark, tmp_path):
     spark.range(7).write.parquet(str(tmp_path / "t"))
     assert tables.column_names(spark, str(tmp_path / "t")) == ["id"] and tables.row_count(spark, str(tmp_path / "t")) == 7
+
+
+def test_published_scale(spark):
+    from voxmeter.operators import similarity
+
+    rows = spark.createDataFrame([("ky", "ecapa", 0.5), ("ky", "ecapa", None)], "lang string, encoder string, sim double")
+    scale = spark.createDataFrame([("ky", "ecapa", 0.1, 0.9, 3)], "lang string, encoder string, floor_mean double, anchor double, lang2 int")
+    got = similarity.on_published_scale(rows, "sim", ["lang", "encoder"], scale).collect()
+    assert [r["sim_norm"] for r in got] == [pytest.approx(0.5), None]
+    with pytest.raises(Exception, match="no published scale for ky ecapa"):
+        similarity.on_published_scale(rows, "sim", ["lang", "encoder"], scale.limit(0)).collect()

@@ -25,21 +25,36 @@ def similarities(clips: DataFrame, speaker: str, vector: str, references: DataFr
     return clips.join(refs, clips[speaker] == refs["_speaker"], "left").withColumn("sim", dot(col(vector), F.col("_ref"))).drop("_speaker", "_ref")
 
 
+#: Blocks that the prompts are dealt to.
+BLOCKS = 64
+
+
 def floors(voices: DataFrame, voice: str, vector: str, prompts: DataFrame, prompt: str, prompt_vector: str) -> DataFrame:
     """(voice, floor_mean, floor_p95, floor_pairs): cosines of each voice's vector to the other speakers' prompts.
 
-    Both sides hold one row a voice or speaker, aggregated from the clips; each voice is compared with every prompt, as
-    the floor is defined.
+    The floor of a voice is defined over all prompts, of which there is one a speaker. They are dealt to blocks by a
+    hash; each voice meets each block once, in an equi-join, and its cosines to the block are one array.
     """
-    pairs = voices.select(col(voice), col(vector).alias("_v")).join(
-        broadcast_if_small(prompts.select(col(prompt).alias("_p"), col(prompt_vector).alias("_pv"))), col(voice) != F.col("_p")
-    )
-    scored = pairs.select(col(voice), dot(F.col("_v"), F.col("_pv")).alias("_s"))
+    blocks = prompts.groupBy(F.pmod(F.xxhash64(col(prompt)), F.lit(BLOCKS)).alias("_b")).agg(F.collect_list(F.struct(col(prompt).alias("p"), col(prompt_vector).alias("v"))).alias("_ps"))
+    asked = voices.select(col(voice), col(vector).alias("_v"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(BLOCKS - 1).cast("long"))).alias("_b"))
+    met = asked.join(blocks, "_b")
+    cosines = F.transform(F.filter("_ps", lambda x: x["p"] != col(voice)), lambda x: dot(F.col("_v"), x["v"]))
+    scored = met.select(col(voice), F.explode(cosines).alias("_s"))
     return scored.groupBy(col(voice)).agg(
         F.round(F.avg("_s"), 9).alias("floor_mean"), F.round(F.percentile("_s", F.lit(0.95)), 9).alias("floor_p95"), F.count("_s").alias("floor_pairs")
     )
 
 
+def on_published_scale(rows: DataFrame, value: str, keys: Sequence[str], scale: DataFrame) -> DataFrame:
+    """Rows with sim_norm on the published scale (keys..., floor_mean, anchor); keys that the scale lacks are an error."""
+    side = scale.select(*(col(k).alias(f"_s_{k}") for k in keys), F.col("floor_mean").alias("_floor"), F.col("anchor").alias("_anchor"), F.lit(True).alias("_known"))
+    on = [col(k) == col(f"_s_{k}") for k in keys]
+    joined = rows.join(broadcast_if_small(side), on, "left")
+    missed = F.raise_error(F.concat_ws(" ", F.lit("no published scale for"), *(col(k).cast("string") for k in keys)))
+    norm = F.when(F.col("_known").isNull(), missed.cast("double")).otherwise(sim_norm(col(value), F.col("_floor"), F.col("_anchor")))
+    return joined.withColumn("sim_norm", norm).drop("_known", "_floor", "_anchor", *(f"_s_{k}" for k in keys))
+
+
 def anchors(chunks: DataFrame, voice: str, order: str, vector: str) -> DataFrame:
     """(voice, n_chunks, anchor): mean cosine over the unordered pairs of a recording's chunks, null below two.
 

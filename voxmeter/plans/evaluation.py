@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import infer, stages
 from ..functions import scoring, text, vectors
 from ..operators import similarity as sim
 from ..operators import stats
@@ -285,6 +288,12 @@ def missing_gates(spark: SparkSession, root: str, least: float = 1.0) -> DataFra
     )
 
 
+def length_gates(spark: SparkSession, root: str) -> DataFrame:
+    """Clips by subset that the stages' length gates stop, each gate with its own counter."""
+    clips = pool(spark, root).groupBy("subset", "utt").agg(F.min(stats.finite(F.col("synth_dur"))).alias("d"))
+    return clips.groupBy("subset").agg(F.count(F.lit(1)).alias("n_clips"), *(c.alias(n) for n, c in stages.gates(F.col("d")).items()))
+
+
 # --- joins and audits --------------------------------------------------------------------------------------------
 
 
@@ -370,13 +379,26 @@ def float_means(spark: SparkSession, root: str) -> DataFrame:
     return p.groupBy("subset").agg(F.count(F.lit(1)).alias("n_rows"), *(F.round(F.avg(stats.finite(col(c))), 9).alias(f"{c}_mean") for c in doubles))
 
 
+def judged_clips(spark: SparkSession, root: str, per_voice: int = 10) -> DataFrame:
+    """The first clips of each subset by key with stub scores of all judges; a short one has none. Not naturalness."""
+    clips = pool(spark, root).where("utt IS NOT NULL").groupBy("subset", "lang", "voice", "utt").agg(F.max(stats.finite(F.col("synth_dur"))).alias("d"))
+    few = sim.ordered_first(clips, ["subset"], [F.col("utt")], per_voice)
+    heard = F.when(F.col("d") >= stages.MIN_JUDGED_SECONDS, F.col("utt"))
+    scores = infer.judged_scores({j: heard for j in infer.JUDGES}, {j: partial(infer.StubScores, j) for j in infer.JUDGES})
+    return few.withColumn("_s", scores).select("subset", "lang", "voice", "utt", heard.isNull().alias("too_short"), "_s.*")
+
+
 def naturalness(spark: SparkSession, root: str) -> DataFrame:
-    """The `_mean` columns of float_means, by their plain names."""
-    m = float_means(spark, root)
-    return m.select("subset", F.col("n_rows").alias("n"), *(F.round(col(c), 3).alias(c[: -len("_mean")]) for c in m.columns if c.endswith("_mean")))
+    """The mean of every score by subset, by the scores' plain names, over the clips that were judged."""
+    judged = judged_clips(spark, root)
+    means = judged.groupBy("subset", "lang", "voice").agg(
+        F.count_if(~F.col("too_short")).alias("n"), F.count_if("too_short").alias("n_too_short_to_judge"), *(F.avg(c).alias(f"{c}_mean") for c in infer.SCORES)
+    )
+    return means.select("subset", "lang", "voice", "n", "n_too_short_to_judge", *(F.round(col(c), 3).alias(c[: -len("_mean")]) for c in means.columns if c.endswith("_mean")))
 
 
 def row_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows by subset; only that column is read."""
     return table(spark, root, "asr").groupBy("subset").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -517,11 +539,34 @@ def fingerprint(*parts: tuple[str, Column]) -> Column:
     return F.left(F.sha2(F.to_json(F.struct(*(c.alias(n) for n, c in sorted(parts)))), 256), F.lit(16))
 
 
+# The settings of the runs that the tables stand for.
+SETTINGS = {
+    "audio": '{"pad_ms":30,"peak_dbfs":-1.0,"resampler":"soxr_hq","target_sample_rate":16000,"vad":true}',
+    "options": '{"batch":16}', "fold_apostrophes": False, "row_limit": 0, "schema": 1,
+}
+
+
 def units(spark: SparkSession, root: str) -> DataFrame:
-    """Units of work with the fingerprint of all that decides their result."""
+    """Units of recognition with the fingerprint of all that decides their result."""
     p = pool(spark, root)
-    rows = p.groupBy("subset", "asr", "model").agg(F.count(F.lit(1)).alias("n"))
-    return rows.withColumn("key", fingerprint(("asr", F.col("asr")), ("model", F.col("model")), ("subset", F.col("subset")), ("schema", F.lit(1))))
+    rows = p.groupBy("subset", "lang", "asr", "model").agg(F.count(F.lit(1)).alias("n"))
+    return rows.withColumn("key", fingerprint(*((n, F.col(n)) for n in ("asr", "lang", "model", "subset")), *((n, F.lit(v)) for n, v in SETTINGS.items())))
+
+
+def stage_units(spark: SparkSession, root: str) -> DataFrame:
+    """Units of all stages: recognisers, encoders and judges by subset, with their fingerprints and passes."""
+    subsets = pool(spark, root).groupBy("subset", "lang").agg(F.count_distinct("utt").alias("n_rows"))
+    own = units(spark, root).select(F.lit("asr").alias("stage"), F.concat_ws("__", "subset", "asr").alias("unit"), "subset", "key").distinct()
+    rows = own.join(subsets, "subset").select("stage", "unit", "key", F.col("n_rows").alias("passes"))
+    common = [("subset", F.col("subset")), ("lang", F.col("lang")), ("audio", F.lit(SETTINGS["audio"])), ("row_limit", F.lit(0))]
+    encoders = subsets.withColumn("encoder", F.explode(F.array(*map(F.lit, ENCODERS)))).select(
+        F.lit("sim").alias("stage"), F.concat_ws("__", "subset", "encoder").alias("unit"),
+        fingerprint(*common, ("encoder", F.col("encoder")), ("batch", F.lit(1)), ("least_samples", F.lit(stages.MIN_EMBEDDED))).alias("key"), F.col("n_rows").alias("passes"),
+    )
+    judges = subsets.select(
+        F.lit("quality").alias("stage"), F.col("subset").alias("unit"), fingerprint(*common, ("limit_per_voice", F.lit(10))).alias("key"), F.least(F.lit(10), "n_rows").alias("passes")
+    )
+    return rows.unionByName(encoders).unionByName(judges)
 
 
 def pending_units(spark: SparkSession, root: str) -> DataFrame:
@@ -529,7 +574,7 @@ def pending_units(spark: SparkSession, root: str) -> DataFrame:
     u = units(spark, root)
     first = u.agg(F.min("model").alias("_m"))
     manifest = u.join(F.broadcast(first), F.col("model") == F.col("_m")).select("key")
-    return u.join(manifest, "key", "left_anti").select("subset", "asr", "model", "key")
+    return u.join(manifest, "key", "left_anti").select("subset", "lang", "asr", "model", "key")
 
 
 def json_roundtrip(spark: SparkSession, root: str) -> DataFrame:
@@ -556,11 +601,11 @@ def admitted_subsets(spark: SparkSession, root: str) -> DataFrame:
 NAMES = [
     text_normalize, norm_parity, norm_differences, norm_diagnostics, expand_digits, typographic_count, word_errors, char_errors, sdi_split,
     score_invariants, error_summary, rates_by_lang, rates_by_len, cluster_bootstrap_wer, bootstrap_macro, bootstrap_catastrophic, paired_bootstrap_anchor,
-    anchor_rates, intelligibility, identical_transcripts, disagreement, failures, empty_clips, worst_subset, missing_gates, join_audit,
+    anchor_rates, intelligibility, identical_transcripts, disagreement, failures, empty_clips, worst_subset, missing_gates, length_gates, judged_clips, join_audit,
     anti_missing_left, anti_missing_right, shared_utts, text_mismatch, carry_lookup, work_plan, work_totals, limit_per_subset, dedup_first,
     union_pools, float_means, naturalness, row_counts, cluster_ratio_orders, first_reference, sim_scores, sim_floor, sim_anchor,
     calibration_table, sim_summary, similarity_bootstrap, human_similarity, published_lookup, array_chunks, array_segments, power_to_db,
-    masked_pools, anchor_plan, units, pending_units, json_roundtrip, subset_names, admitted_subsets,
+    masked_pools, anchor_plan, units, stage_units, pending_units, json_roundtrip, subset_names, admitted_subsets,
 ]
 
 

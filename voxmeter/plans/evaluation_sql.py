@@ -190,7 +190,55 @@ _TOO = _finite("synth_dur")
 _D = _finite("prompt_dur")
 _CHUNK = "CASE WHEN least(4.0::DOUBLE, d / 2) >= 2.0 THEN least(4.0::DOUBLE, d / 2) END"
 
+# JSON text within JSON text
+AUDIO = '{\\"pad_ms\\":30,\\"peak_dbfs\\":-1.0,\\"resampler\\":\\"soxr_hq\\",\\"target_sample_rate\\":16000,\\"vad\\":true}'
+
+
+def _key(*parts: tuple[str, str]) -> str:
+    """A fingerprint from names and SQL of values as JSON."""
+    body = " || ',' || ".join(f"'\"{n}\":' || {v}" for n, v in sorted(parts))
+    return f"left(sha256('{{' || {body} || '}}'), 16)"
+
+
+def _text(x: str) -> str:
+    return f"'\"' || {x} || '\"'"
+
+
+_AUDIO, _SUBSET = ("audio", _text(f"'{AUDIO}'")), [("lang", _text("lang")), ("subset", _text("subset"))]
+_UNIT = _key(("asr", _text("asr")), ("model", _text("model")), *_SUBSET, _AUDIO, ("options", _text("'{\\\"batch\\\":16}'")), ("fold_apostrophes", "'false'"), ("row_limit", "'0'"), ("schema", "'1'"))
+_UNITS = f"u AS (SELECT subset, lang, asr, model, count(*) AS n, {_UNIT} AS key FROM pool GROUP BY subset, lang, asr, model)"
+_JUDGED = """clips AS (SELECT subset, lang, voice, utt, max(CASE WHEN isfinite(synth_dur) THEN synth_dur END) AS d FROM pool WHERE utt IS NOT NULL GROUP BY subset, lang, voice, utt),
+few AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY subset ORDER BY utt) AS rn FROM clips) WHERE rn <= 10)"""
+_SCORES = ("dnsmos_ovrl", "dnsmos_sig", "dnsmos_bak", "dnsmos_p808", "utmos", "nisqa_mos", "nisqa_noi", "nisqa_dis", "nisqa_col", "nisqa_loud")
+_JUDGED += ", judged AS (SELECT subset, lang, voice, utt, coalesce(d < 0.3, true) AS too_short, " + ", ".join(
+    f"CASE WHEN d >= 0.3 THEN 1 + 4 * ('0x' || left(md5('{s}:' || utt), 2))::BIGINT / 255::DOUBLE END AS {s}" for s in _SCORES
+) + " FROM few)"
+
+# The row of the edit table that the recursion has reached holds, for each prefix of the hypothesis, the cost and counts of
+# the alignment that prefers a match, then a substitution, a deletion, an insertion.
+_SDI = """RECURSIVE pool AS (SELECT DISTINCT * FROM asr),
+w AS (SELECT row_id, list_filter(string_split(coalesce(ref_norm, ''), ' '), lambda x: x <> '') AS r, list_filter(string_split(coalesce(hyp_norm, ''), ' '), lambda x: x <> '') AS h
+      FROM pool WHERE NOT missing AND ref_norm IS NOT NULL),
+t AS (SELECT row_id, r, h, 0 AS i, list_transform(range(len(h) + 1), lambda j: {'c': j, 's': 0::BIGINT, 'd': 0::BIGINT, 'i': j}) AS row FROM w
+UNION ALL
+SELECT row_id, r, h, i + 1, list_reduce(range(1, len(h) + 1), lambda acc, j: list_append(acc,
+  CASE WHEN r[i + 1] = h[j] AND row[j].c <= least(row[j + 1].c, acc[j].c) + 1 THEN row[j]
+       WHEN row[j].c <= least(row[j + 1].c, acc[j].c) THEN {'c': row[j].c + 1, 's': row[j].s + 1, 'd': row[j].d, 'i': row[j].i}
+       WHEN row[j + 1].c <= acc[j].c THEN {'c': row[j + 1].c + 1, 's': row[j + 1].s, 'd': row[j + 1].d + 1, 'i': row[j + 1].i}
+       ELSE {'c': acc[j].c + 1, 's': acc[j].s, 'd': acc[j].d, 'i': acc[j].i + 1} END),
+  [{'c': row[1].c + 1, 's': 0::BIGINT, 'd': row[1].d + 1, 'i': 0::BIGINT}]) FROM t WHERE i < len(r))
+SELECT row_id, row[len(h) + 1].s AS subs, row[len(h) + 1].d AS dels, row[len(h) + 1].i AS ins FROM t WHERE i = len(r)
+UNION ALL SELECT row_id, NULL, NULL, NULL FROM pool WHERE NOT missing AND ref_norm IS NULL"""
+
 ORACLES: dict[str, str] = {
+    "sdi_split": f"WITH {_SDI}",
+    "length_gates": _with(POOL, f"clips AS (SELECT subset, utt, min({_finite('synth_dur')}) AS d FROM pool GROUP BY subset, utt)", """SELECT subset, count(*) AS n_clips, count(*) FILTER (d < 0.01) AS n_too_short_to_hear,
+count(*) FILTER (d < 0.4) AS n_too_short_to_embed, count(*) FILTER (d < 0.3) AS n_too_short_to_judge, count(*) FILTER (d < 0.3) AS n_empty FROM clips GROUP BY subset"""),
+    "judged_clips": _with(POOL, _JUDGED, "SELECT * FROM judged"),
+    "naturalness": _with(POOL, _JUDGED, "SELECT subset, lang, voice, count(*) FILTER (NOT too_short) AS n, count(*) FILTER (too_short) AS n_too_short_to_judge, " + ", ".join(f"round(avg({s}), 3) AS {s}" for s in _SCORES) + " FROM judged GROUP BY subset, lang, voice"),
+    "stage_units": _with(POOL, _UNITS, "subs AS (SELECT subset, lang, count(DISTINCT utt) AS n_rows FROM pool GROUP BY subset, lang)", f"""SELECT DISTINCT 'asr' AS stage, subset || '__' || asr AS unit, key, n_rows AS passes FROM u JOIN subs USING (subset)
+UNION ALL SELECT 'sim', subset || '__' || encoder, {_key(*_SUBSET, _AUDIO, ("row_limit", "'0'"), ("encoder", _text("encoder")), ("batch", "'1'"), ("least_samples", "'6400'"))}, n_rows FROM subs, (SELECT unnest(['wavlm_sv', 'wavlm_ft', 'ecapa']) AS encoder)
+UNION ALL SELECT 'quality', subset, {_key(*_SUBSET, _AUDIO, ("row_limit", "'0'"), ("limit_per_voice", "'10'"))}, least(10, n_rows) FROM subs"""),
     "text_normalize": _with(NORMED, "SELECT row_id, norm FROM normed"),
     "norm_parity": _with(NORMED, "SELECT lang, count(*) AS n, count(*) FILTER (norm = stored) AS n_equal FROM normed GROUP BY lang"),
     "norm_differences": _with(NORMED, "SELECT row_id, lang, norm AS ours, stored FROM normed WHERE norm <> stored"),
@@ -234,7 +282,6 @@ FROM ar WHERE err + t IS NOT NULL OR cerr + ct IS NOT NULL GROUP BY lang, asr"""
     "union_pools": _with(POOL, """SELECT asr, lang, count(*) AS n, count(subset) AS n_subset, sum(subs)::BIGINT AS subs FROM (
 SELECT asr, NULL::VARCHAR AS lang, subset, subs FROM pool UNION ALL SELECT NULL, lang, NULL, anchor_subs FROM sources) GROUP BY asr, lang"""),
     "float_means": _with(POOL, f"SELECT subset, count(*) AS n_rows, {', '.join(f'round(avg({_finite(c)}), 9) AS {c}_mean' for c in _MEANS)} FROM pool GROUP BY subset"),
-    "naturalness": _with(POOL, f"SELECT subset, count(*) AS n, {', '.join(f'round(round(avg({_finite(c)}), 9), 3) AS {c}' for c in _MEANS)} FROM pool GROUP BY subset"),
     "row_counts": "SELECT subset, count(*) AS n_rows FROM asr GROUP BY subset",
     "cluster_ratio_orders": _with(*_ORDERS),
     "first_reference": "SELECT speaker_id, arg_min(utt, row_id) AS utt FROM sources WHERE speaker_id IS NOT NULL AND prompt_dur >= 3.0 GROUP BY speaker_id",
@@ -265,8 +312,8 @@ round(list_sum(list_transform(v, lambda x: x * exp(x - list_max(v)))) / list_sum
 h AS (SELECT *, CASE WHEN 2.0 < chunk AND d >= 2 * chunk THEN chunk ELSE 2.0::DOUBLE END AS hop FROM c)
 SELECT row_id, round(chunk, 6) AS chunk, CASE WHEN chunk IS NOT NULL THEN round(hop, 6) END AS hop,
 CASE WHEN chunk IS NULL THEN NULL ELSE least(8, (floor((d - chunk) / hop + 1e-9) + 1)::INTEGER) END AS n_chunks FROM h""",
-    "units": _with(POOL, "SELECT subset, asr, model, count(*) AS n, left(sha256('{\"asr\":\"' || asr || '\",\"model\":\"' || model || '\",\"schema\":1,\"subset\":\"' || subset || '\"}'), 16) AS key FROM pool GROUP BY subset, asr, model"),
-    "pending_units": _with(POOL, "u AS (SELECT subset, asr, model, left(sha256('{\"asr\":\"' || asr || '\",\"model\":\"' || model || '\",\"schema\":1,\"subset\":\"' || subset || '\"}'), 16) AS key FROM pool GROUP BY subset, asr, model)", "SELECT * FROM u WHERE model <> (SELECT min(model) FROM u)"),
+    "units": _with(POOL, _UNITS, "SELECT * FROM u"),
+    "pending_units": _with(POOL, _UNITS, "SELECT subset, lang, asr, model, key FROM u WHERE model <> (SELECT min(model) FROM u)"),
     "json_roundtrip": _with(POOL, "SELECT subset, asr, count(*) FILTER (NOT missing) AS n_scored, count(*) FILTER (missing) AS n_missing FROM pool GROUP BY subset, asr"),
     "subset_names": "SELECT DISTINCT subset, split_part(subset, '__', 1) AS lang, split_part(subset, '__', 2) AS voice FROM asr",
     "admitted_subsets": "SELECT DISTINCT subset, split_part(subset, '__', 1) AS lang, split_part(subset, '__', 2) AS voice FROM asr WHERE subset <> 'nl-NL__femke_veen_f'",

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pyspark
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import __version__, infer
-from ..runtime import spread
+from ..runtime import broadcast_if_small, spread
 from ..sources.tables import table
 from ..streaming.incremental import windowed_rates
 from . import evaluation as ev
@@ -16,7 +17,7 @@ def similarity_report(spark: SparkSession, root: str) -> DataFrame:
     """Similarity per speaker with its scale and usable range."""
     s, c = ev.sim_summary(spark, root), ev.calibration_table(spark, root)
     side = c.select(F.col("label").alias("_label"), "floor_p95", "floor_pairs", "usable_range", "anchor_kind", "n_chunks")
-    return s.join(F.broadcast(side), F.col("label") == F.col("_label"), "left").drop("_label", "p05", "p95")
+    return s.join(broadcast_if_small(side), F.col("label") == F.col("_label"), "left").drop("_label", "p05", "p95")
 
 
 def calibration_report(spark: SparkSession, root: str) -> DataFrame:
@@ -29,7 +30,7 @@ def calibration_report(spark: SparkSession, root: str) -> DataFrame:
 def provenance(spark: SparkSession, root: str) -> DataFrame:
     """What each unit was computed with."""
     u = ev.units(spark, root)
-    return u.select(F.lit("asr").alias("stage"), "subset", "asr", "key", F.lit(__version__).alias("engine"), F.to_json(F.struct("model", F.lit(1).alias("schema"))).alias("parameters"))
+    return u.select(F.lit("asr").alias("stage"), "subset", "asr", "key", F.lit(__version__).alias("engine"), F.lit(spark.version).alias("spark"), F.to_json(F.struct("model", *(F.lit(v).alias(n) for n, v in ev.SETTINGS.items()))).alias("parameters"))
 
 
 def discover(spark: SparkSession, root: str) -> DataFrame:
@@ -104,8 +105,14 @@ def oracles() -> dict[str, str]:
 SELECT s.* EXCLUDE (p05, p95), c.floor_p95, c.floor_pairs, c.usable_range, c.anchor_kind, c.n_chunks FROM s LEFT JOIN c USING (label)""",
         "calibration_report": sql._with(*everything, """SELECT label, anchor, floor_mean, floor_p95, floor_pairs, usable_range,
 CASE WHEN usable_range > 0 THEN printf('(sim - %.4f) / (%.4f - %.4f)', floor_mean, anchor, floor_mean) END AS formula FROM cal"""),
-        "provenance": f"""WITH u AS ({sql.ORACLES['units']}) SELECT 'asr' AS stage, subset, asr, key, '{__version__}' AS engine,
-'{{"model":"' || model || '","schema":1}}' AS parameters FROM u""",
+        "provenance": f"""WITH u AS ({sql.ORACLES['units']}) SELECT 'asr' AS stage, subset, asr, key, '{__version__}' AS engine, '{pyspark.__version__}' AS spark,
+'{{"model":"' || model || '","audio":"{sql.AUDIO}","options":"{{\\"batch\\":16}}","fold_apostrophes":false,"row_limit":0,"schema":1}}' AS parameters FROM u""",
+        "isolated_failures": "SELECT row_id, 'ValueError: nothing to hear' AS failure FROM sources WHERE text IS NOT NULL AND NOT regexp_matches(text, '\\p{L}')",
+        "stub_judgements": """WITH t AS (SELECT row_id, lang, text, row_number() OVER (PARTITION BY lang ORDER BY row_id) AS rn FROM sources WHERE text IS NOT NULL)
+SELECT row_id, lang, round(1 + 4 * ('0x' || left(md5(text), 2))::BIGINT / 255::DOUBLE, 6) AS mos FROM t WHERE rn <= 10""",
+        "batch_infer": f"""WITH t AS (SELECT lang, text, CASE WHEN regexp_matches(text, '\\p{{L}}') THEN list_filter(string_split(translate(text, {sql.quoted(sql.SPACES + chr(9) + chr(10) + chr(13))}, {sql.quoted(' ' * (len(sql.SPACES) + 3))}), ' '), lambda w: w <> '') END AS w FROM sources),
+h AS (SELECT *, list_filter(w, lambda x, i: ('0x' || left(md5('stub:' || (i - 1) || ':' || x), 2))::BIGINT >= 16) AS k FROM t)
+SELECT lang, count(*) AS n, count(w) AS n_heard, count(*) FILTER (text IS NOT NULL AND w IS NULL) AS n_failed, sum(CASE WHEN w IS NOT NULL THEN greatest(1, len(k)) END)::BIGINT AS words FROM h GROUP BY lang""",
         "discover": f"""WITH a AS ({audit}), w AS ({sql.ORACLES['work_plan']}), u AS (SELECT subset, string_agg(asr, ', ' ORDER BY asr) AS recognisers, sum(n_rows)::BIGINT AS passes FROM w GROUP BY subset)
 SELECT a.subset, n_joined, recognisers, passes, CASE WHEN clean THEN 'ok' ELSE concat_ws('; ', CASE WHEN n_unknown > 0 THEN n_unknown || ' unknown utt' END,
 CASE WHEN n_not_synthesised > 0 THEN n_not_synthesised || ' not synthesised' END, CASE WHEN n_text_mismatch > 0 THEN n_text_mismatch || ' text mismatch' END) END AS status
