@@ -135,10 +135,12 @@ def sketch_parts(df: DataFrame, groups: Sequence[str], part: str, value: str, k:
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*(col(c) for c in keys)).schema.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        task = TaskContext.get().partitionId()
+        task, handed = TaskContext.get().partitionId(), 0
         open_: dict[tuple, Sketch] = {}
 
         def close() -> pd.DataFrame:
+            nonlocal handed
+            handed += 1
             rows = [(*key, *sketch.row()) for key, sketch in open_.items()]
             open_.clear()
             return pd.DataFrame(rows, columns=[*keys, "n", "lo", "hi", "s", "levels"]).astype(object)
@@ -148,7 +150,8 @@ def sketch_parts(df: DataFrame, groups: Sequence[str], part: str, value: str, k:
             for key, at in batch.groupby(keys, dropna=False, sort=False).indices.items():
                 key = tuple(None if pd.isna(x) else x for x in (key if isinstance(key, tuple) else (key,)))
                 if key not in open_:
-                    open_[key] = Sketch(k, _seed(seed, task, key))
+                    # what a task has handed on counts, so that its next sketches toss other coins
+                    open_[key] = Sketch(k, _seed(seed, task, handed, key))
                 own = values[at]
                 open_[key].add(own[np.isfinite(own)])
             if sum(s.size for s in open_.values()) > OPEN_VALUES:

@@ -55,6 +55,21 @@ def p4_days(spark: SparkSession, root: str) -> DataFrame:
     return percentiles(_days(spark, root), ["lang", "len_bin", "day"], PROBABILITIES)
 
 
+def p4_accuracy(spark: SparkSession, root: str) -> DataFrame:
+    """Whether percentiles of a column that sketches do compact keep their bound: ranks against those of all values."""
+    lines = table(spark, root, "lineitem").select("l_returnflag", "l_shipdate", "l_extendedprice")
+    answers = percentiles(daily_sketches(lines, ["l_returnflag"], "l_shipdate", "l_extendedprice"), ["l_returnflag"], PROBABILITIES)
+    names = [f"p{100 * p:g}" for p in PROBABILITIES]
+    both = lines.join(F.broadcast(answers.withColumnRenamed("l_returnflag", "_flag")), F.col("l_returnflag") == F.col("_flag"))
+    v = F.col("l_extendedprice")
+    ranks = both.groupBy("l_returnflag", "n", "rank_error").agg(*(x for a in names for x in (F.count_if(v < F.col(a)).alias(f"{a}_lt"), F.count_if(v <= F.col(a)).alias(f"{a}_le"))))
+    slack, within = F.col("rank_error") * F.col("n"), F.lit(True)
+    for p, a in zip(PROBABILITIES, names):
+        rank = F.ceil(F.lit(p) * F.col("n"))
+        within = within & (F.col(f"{a}_lt") - slack < rank) & (rank <= F.col(f"{a}_le") + slack)
+    return ranks.select("l_returnflag", "n", (F.col("rank_error") > 0).alias("compacted"), (F.col("rank_error") < 0.02).alias("tight"), within.alias("within"))
+
+
 def p6_ids(spark: SparkSession, root: str) -> DataFrame:
     """Ids of every document in the default vocabulary."""
     return encode_documents(_documents(spark, root), "doc_id", "text")
@@ -96,7 +111,7 @@ def p8_segments(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p4_percentiles": p4_percentiles, "p4_days": p4_days, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
+    return {"p4_percentiles": p4_percentiles, "p4_days": p4_days, "p4_accuracy": p4_accuracy, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
 
 
 # The sketches are exact while they have compacted nothing, as on the oracle's tables.
@@ -115,5 +130,7 @@ def _p4(keys: str, names: str) -> str:
 def oracles() -> dict[str, str]:
     return {
         "p4_percentiles": _p4("lang, len_bin", "lang, len_bin"),
+        # what the bound promises: that it holds, although the sketches compacted
+        "p4_accuracy": "SELECT l_returnflag, count(*) AS n, true AS compacted, true AS tight, true AS within FROM lineitem GROUP BY l_returnflag",
         "p4_days": _p4("lang, len_bin, ingested_at::DATE AS day", "lang, len_bin, day"),
     }
