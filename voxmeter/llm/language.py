@@ -37,8 +37,12 @@ OWN_WORDS, OWN_LETTERS, LEAD = 3, 12, 0.04
 PART = 250_000
 #: Words whose n-grams a worker remembers.
 MEMO = 200_000
+#: Frequencies in one piece from which n-grams rank alike, so that a rank's parts fit one number.
+MOST_TIMES = (1 << 20) - 1
 
-_TOKEN = re.compile(r"\S+|\n")
+# a run of bare words, or one token, or the end of a line
+_TOKEN = re.compile(r"([^\W\d_]++(?: ++[^\W\d_]++(?!\S))+)|\S+|\n")
+_TRAILING = ".,;:!?…"
 _CORE = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
 _OPENS = re.compile(r"[(\[{“„«\"‹]|^[–—\-/|→]+$")
 _CLOSES = re.compile(r"[,;:)\]}”»\"›]|^[–—\-/|→]+$")
@@ -53,7 +57,13 @@ def _bare(word: str) -> str:
 
 
 def _is_word(word: str) -> bool:
-    return bool(word) and all(c.isalpha() or c in "'’-" for c in word)
+    return word.isalpha() or bool(word) and all(c.isalpha() or c in "'’-" for c in word)
+
+
+@lru_cache(4096)
+def _after(signs: str) -> tuple[bool, bool]:
+    """Whether what follows a word ends a sentence, and a clause."""
+    return bool(_ENDS.search(signs)), bool(_CLOSES.search(signs))
 
 
 def _edits(a: str, b: str) -> int:
@@ -81,6 +91,17 @@ def _slip(a: str, b: str) -> bool:
     return _edits(a, b) <= slips
 
 
+def _tokens(text: str) -> Iterator[tuple[int, str, bool]]:
+    """(start, token, bare): ends of lines, runs of bare words and single tokens; bare: letters alone."""
+    for m in _TOKEN.finditer(text):
+        token = m[0]
+        if m.lastindex and not token.replace(" ", "").isalpha():
+            # fractions and the like pass for letters in a pattern
+            yield from ((m.start() + x.start(), x[0], x[0].isalpha()) for x in re.finditer(r"\S+", token))
+        else:
+            yield m.start(), token, m.lastindex is not None or token.isalpha()
+
+
 @dataclass
 class Clause:
     start: int
@@ -102,6 +123,23 @@ class _Run:
         self.name = self.last = ""
         self.tokens = self.extra = 0
 
+    def add_all(self, clause: Clause, words: list[str]) -> None:
+        """Counts words of the clause; at once, where none of them can be part of a run."""
+        if self.tokens < 2:
+            last = self.last
+            for word in words:
+                if word == last or last and _slip(last, word):
+                    break
+                last = word
+            else:
+                self.name = self.last = last
+                self.tokens, self.extra = 1, 0
+                clause.counted += len(words)
+                clause.words += words
+                return
+        for word in words:
+            self.add(clause, word)
+
     def add(self, clause: Clause, word: str, is_word: bool = True) -> None:
         """Counts a word of the clause unless it continues a run."""
         if word != self.last and not (self.tokens and (_slip(self.last, word) or self.name is not self.last and (word == self.name or _slip(self.name, word)))):
@@ -135,46 +173,57 @@ def clauses(text: str) -> list[Clause]:
     out: list[Clause] = []
     run = _Run()
     sentence, fresh, ended, line_start = 0, True, True, True
-    for m in _TOKEN.finditer(text):
-        token = m[0]
+    for start, token, bare in _tokens(text):
         if token == "\n":
             line_start = True
             continue
-        if not line_start and token.isalpha():
-            # a bare word, the common case
-            low = _bare(token)
+        if bare and (not line_start or " " in token):
+            # the common case
+            if line_start:
+                line_start = False
+                if ended or not token[0].islower():
+                    sentence, fresh = sentence + 1, True
+            end = start + len(token)
             if fresh or not out:
-                out.append(Clause(m.start(), m.end(), sentence))
+                out.append(Clause(start, end, sentence))
                 fresh, run = False, _Run()
             clause = out[-1]
-            clause.end = m.end()
-            run.add(clause, low)
+            clause.end = end
+            plain = token.isascii() or unicodedata.is_normalized("NFC", token)
+            run.add_all(clause, token.lower().split() if plain else [_bare(w) for w in token.split()])
             ended = False
             continue
-        core = _CORE.search(token)
-        before, after = (token[: core.start()], token[core.end() :]) if core else (token, token)
-        word = core[0] if core else ""
+        word = token.rstrip(_TRAILING)
+        if word.isalpha():
+            before, after, core = "", token[len(word) :], True
+        else:
+            core = _CORE.search(token)
+            before, after = (token[: core.start()], token[core.end() :]) if core else (token, token)
+            word = core[0] if core else ""
         low = _bare(word)
         is_word = _is_word(low)
         if line_start and (ended or not word[:1].islower()):
             sentence, fresh = sentence + 1, True
         speaker = line_start and is_word and len(word) == 1 and after.startswith(":")
         line_start = False
-        if _OPENS.search(before):
+        if before and _OPENS.search(before):
             fresh = True
         if (is_word or word.isdigit() and len(word) <= 4 and token.strip(".,;:!?…()“”«»\"") == word) and not speaker:
             if fresh or not out:
-                out.append(Clause(m.start() + len(before), m.end(), sentence))
+                out.append(Clause(start + len(before), start + len(token), sentence))
                 fresh, run = False, _Run()
             clause = out[-1]
-            clause.end = m.end() - len(after)
+            clause.end = start + len(token) - len(after)
             run.add(clause, low, is_word)
-        if core:
-            ended = bool(_ENDS.search(after))
-            if ended:
+        if after:
+            ends, closes = _after(after)
+            if core:
+                ended = ends
+            if core and ends:
                 sentence, fresh = sentence + 1, True
-        if _CLOSES.search(after):
-            fresh = True
+            fresh = fresh or closes
+        elif core:
+            ended = False
     return out
 
 
@@ -206,34 +255,54 @@ class Profiles:
         self.ranks = np.full((len(ranked), len(self.index)), size, np.float64)
         for i, entries in enumerate(ranked.values()):
             self.ranks[i, [self.index[g] for g in entries]] = np.arange(len(entries))
-        self.memo: dict[str, np.ndarray] = {}
-
-    def _known(self, word: str) -> np.ndarray:
-        ids = self.memo.get(word)
-        if ids is None:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
-            ids = self.memo[word] = np.array([self.index[g] for g in grams(word, self.longest) if g in self.index], np.int64)
-        return ids
+        self._forget()
+
+    def _forget(self) -> None:
+        # the n-grams of the words seen, one after the other, and where those of each word are
+        self.words: dict[str, int] = {}
+        self.grams, self.used = np.empty(1 << 16, np.int64), 0
+        self.first, self.count = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
+
+    def _learn(self, word: str) -> int:
+        """The number of a word that is seen for the first time."""
+        ids = [self.index[g] for g in grams(word, self.longest) if g in self.index]
+        n = len(self.words)
+        if n == len(self.first):
+            self.first, self.count = np.resize(self.first, 2 * n), np.resize(self.count, 2 * n)
+        while self.used + len(ids) > len(self.grams):
+            self.grams = np.resize(self.grams, 2 * len(self.grams))
+        self.grams[self.used : self.used + len(ids)] = ids
+        self.first[n], self.count[n] = self.used, len(ids)
+        self.used += len(ids)
+        self.words[word] = n
+        return n
 
     def distances(self, pieces: Sequence[Sequence[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Mean out-of-place distance of each piece (a list of words) to each language, in 0..1, and its n-grams.
 
-        N-grams that no profile has are the same for all languages and left out; a piece without others has distance 1.
+        N-grams that no profile has count the same for all languages and are left out before the others are ranked, so a
+        piece's ranks are those among known n-grams; a piece without any has distance 1.
         """
         n, width = len(pieces), max(1, len(self.index))
-        ids = [[self._known(w) for w in piece] for piece in pieces]
-        flat = np.concatenate([x for piece in ids for x in piece] or [np.empty(0, np.int64)])
-        owner = np.repeat(np.arange(n), [sum(map(len, piece)) for piece in ids])
-        key, times = np.unique(owner * width + flat, return_counts=True)
-        piece, gram = key // width, key % width
-        order = np.lexsort((gram, -times, piece))
-        piece, gram = piece[order], gram[order]
+        if len(self.words) > MEMO:
+            self._forget()
+        known, learn = self.words.get, self._learn
+        ids = np.array([k if (k := known(w)) is not None else learn(w) for piece in pieces for w in piece], np.int64)
+        each = self.count[ids]
+        total_ = int(each.sum())
+        # the n-grams of all words, in order, by their places
+        at = np.repeat(self.first[ids] - np.concatenate(([0], np.cumsum(each)[:-1])), each) + np.arange(total_) if total_ else np.empty(0, np.int64)
+        owner = np.repeat(np.repeat(np.arange(n), [len(piece) for piece in pieces]), each)
+        key, times = np.unique(owner * width + self.grams[at], return_counts=True)
+        # by piece, then falling frequency, then n-gram: one number each, so that one sort does it
+        piece = key // width
+        packed = np.sort((piece << 37) | ((MOST_TIMES - np.minimum(times, MOST_TIMES)) << 17) | (key - piece * width))
+        piece, gram = packed >> 37, packed & ((1 << 17) - 1)
         rank = np.arange(len(piece)) - np.searchsorted(piece, np.arange(n))[piece] if len(piece) else piece
         held = np.bincount(piece, minlength=n)
         out = np.ones((n, len(self.languages)))
         for i in range(len(self.languages)):
-            total = np.bincount(piece, np.minimum(np.abs(self.ranks[i, gram] - rank), self.size), minlength=n)
+            total = np.bincount(piece, np.minimum(np.abs(self.ranks[i][gram] - rank), self.size), minlength=n)
             out[:, i] = np.where(held > 0, total / np.maximum(held, 1) / self.size, 1.0)
         return out, held
 
