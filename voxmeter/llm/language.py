@@ -344,13 +344,21 @@ def fit_profiles(df: DataFrame, id_col: str, text_col: str, lang_col: str, langu
     return Profiles(ranked, size, longest)
 
 
-def assigned(found: list[Clause], distances: np.ndarray, grams_: np.ndarray) -> list[int]:
-    """The language of each clause, -1 where nothing can be said: its own, or that of its sentence, or of a neighbour."""
-    best = distances.argmin(1)
+def decided(distances: np.ndarray) -> list[int]:
+    """The language that each clause's distances decide for, -1 where none leads by enough."""
+    if not len(distances):
+        return []
     ordered = np.sort(distances, axis=1)
     lead = ordered[:, 1] - ordered[:, 0] if distances.shape[1] > 1 else 1 - ordered[:, 0]
-    own = [len(c.words) >= OWN_WORDS and sum(map(len, c.words)) >= OWN_LETTERS and lead[i] >= LEAD for i, c in enumerate(found)]
-    out = [int(best[i]) if own[i] else -1 for i in range(len(found))]
+    return np.where(lead >= LEAD, distances.argmin(1), -1).tolist()
+
+
+def assigned(found: list[Clause], best: list[int], distances: np.ndarray, grams_: np.ndarray) -> list[int]:
+    """The language of each clause, -1 where nothing can be said: its own, or that of its sentence, or of a neighbour."""
+    out = [k if k >= 0 and len(c.words) >= OWN_WORDS and len("".join(c.words)) >= OWN_LETTERS else -1 for c, k in zip(found, best)]
+    if out and min(out) == max(out) >= 0:
+        return out
+    own = [k >= 0 for k in out]
     words: Counter = Counter()
     for i, c in enumerate(found):
         if own[i]:
@@ -372,8 +380,7 @@ def assigned(found: list[Clause], distances: np.ndarray, grams_: np.ndarray) ->
         else:
             for i in range(start, end):
                 if not own[i]:
-                    near = [j for d in range(1, end - start) for j in (i - d, i + d) if start <= j < end and own[j]]
-                    out[i] = out[near[0]]
+                    out[i] = out[next(j for d in range(1, end - start) for j in (i - d, i + d) if start <= j < end and own[j])]
         start = end
     if max(out, default=0) < 0 and grams_.sum():
         # a text of short scraps only still has a likely language
@@ -432,11 +439,12 @@ def language_segments(df: DataFrame, id_col: str, text_col: str, keep: Sequence[
         for batch in _parts(batches):
             cut = [clauses(t) if t else [] for t in batch["_text"]]
             distances, held = profiles.distances([c.words for found in cut for c in found])
+            best = decided(distances)
             rows, at = [], 0
             for text, found in zip(batch["_text"], cut):
-                d, g = distances[at : at + len(found)], held[at : at + len(found)]
+                d, g, b = (x[at : at + len(found)] for x in (distances, held, best))
                 at += len(found)
-                languages = assigned(found, d, g) if found else []
+                languages = assigned(found, b, d, g) if found else []
                 rows.append([(s, e, profiles.languages[k], c, w, v) for s, e, k, c, w, v in _segments(text, found, languages, d, g)])
             out = batch.drop(columns="_text")
             out["segments"] = pd.Series(rows, index=out.index, dtype=object)
