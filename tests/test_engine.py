@@ -119,6 +119,15 @@ def test_sinks(spark, tmp_path):
     names = [p for p, _ in files]
     assert "README.md" in names and "summary.json" in names and any(p.startswith("pools/p/") for p in names)
     assert "é" in (tmp_path / "out" / "summary.json").read_text()
+    assert {"MANIFEST.json"} < set(names) and "tables/one" in (tmp_path / "out" / "README.md").read_text()
+    sinks.stage({"one": df}, {}, tmp_path / "out", "T", {"_key": 1, "run": "r"})  # what was staged may be staged again
+    assert json.loads((tmp_path / "out" / "summary.json").read_text()) == {"run": "r"} and not (tmp_path / "out" / "tables" / "two").exists()
+    sinks.stage({"one": df, "two": empty}, {"p": df}, tmp_path / "out", "T", {})
+    (tmp_path / "mine").mkdir()
+    (tmp_path / "mine" / "kept.txt").write_text("x")
+    with pytest.raises(FileExistsError):
+        sinks.stage({"one": df}, {}, tmp_path / "mine", "T", {})
+    assert (tmp_path / "mine" / "kept.txt").is_file()
     assert sinks.read_csv(spark, str(tmp_path / "out/tables/two"), "s string, x double, y int").count() == 0
     assert sinks.interval_text(None, 1.0) == "—" and sinks.percent_text(0.5) == "50.0%" and sinks.folder_for("x-{date}").startswith("x-2")
 

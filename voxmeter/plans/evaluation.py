@@ -353,6 +353,14 @@ def work_totals(spark: SparkSession, root: str) -> DataFrame:
     return plan.groupBy("asr").agg(F.count(F.lit(1)).alias("n_units"), F.sum("n_rows").alias("n_passes"))
 
 
+def work_overall(spark: SparkSession, root: str) -> DataFrame:
+    """One row: clips, and how often recognisers and encoders go over them."""
+    subsets = pool(spark, root).groupBy("subset").agg(F.count_distinct("utt").alias("n")).agg(F.count(F.lit(1)).alias("n_subsets"), F.sum("n").alias("n_clips"))
+    passes = work_plan(spark, root).agg(F.count(F.lit(1)).alias("n_asr_units"), F.sum("n_rows").alias("n_asr_passes"))
+    both = stats.joined(subsets, passes, [])
+    return both.withColumns({"n_sim_units": F.col("n_subsets") * len(ENCODERS), "n_sim_passes": F.col("n_clips") * len(ENCODERS)})
+
+
 def limit_per_subset(spark: SparkSession, root: str, n: int = 10) -> DataFrame:
     """The first n rows of each subset and recogniser by key: the cap of a trial run."""
     return sim.ordered_first(pool(spark, root).where("utt IS NOT NULL"), ["subset", "asr"], [F.col("utt"), F.col("row_id")], n).select("subset", "asr", "utt", "row_id")
@@ -459,7 +467,7 @@ def sim_summary(spark: SparkSession, root: str) -> DataFrame:
     cal = broadcast_if_small(calibration_table(spark, root).withColumnRenamed("label", "_label"))
     rows = sim_scores(spark, root).join(cal, F.col("label") == F.col("_label"), "left")
     return rows.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n_rows"), *sim.distribution(F.col("sim")),
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("sim").isNull()).alias("n_missing"), *sim.distribution(F.col("sim")),
         F.round(F.avg(sim.sim_norm(F.col("sim"), F.col("floor_mean"), F.col("anchor"))), 6).alias("sim_norm_mean"),
         F.round(stats.share(F.col("sim") < F.col("floor_p95")), 9).alias("below_floor_p95"),
         F.max("floor_mean").alias("floor_mean"), F.max("anchor").alias("anchor"),
@@ -602,7 +610,7 @@ NAMES = [
     text_normalize, norm_parity, norm_differences, norm_diagnostics, expand_digits, typographic_count, word_errors, char_errors, sdi_split,
     score_invariants, error_summary, rates_by_lang, rates_by_len, cluster_bootstrap_wer, bootstrap_macro, bootstrap_catastrophic, paired_bootstrap_anchor,
     anchor_rates, intelligibility, identical_transcripts, disagreement, failures, empty_clips, worst_subset, missing_gates, length_gates, judged_clips, join_audit,
-    anti_missing_left, anti_missing_right, shared_utts, text_mismatch, carry_lookup, work_plan, work_totals, limit_per_subset, dedup_first,
+    anti_missing_left, anti_missing_right, shared_utts, text_mismatch, carry_lookup, work_plan, work_totals, work_overall, limit_per_subset, dedup_first,
     union_pools, float_means, naturalness, row_counts, cluster_ratio_orders, first_reference, sim_scores, sim_floor, sim_anchor,
     calibration_table, sim_summary, similarity_bootstrap, human_similarity, published_lookup, array_chunks, array_segments, power_to_db,
     masked_pools, anchor_plan, units, stage_units, pending_units, json_roundtrip, subset_names, admitted_subsets,

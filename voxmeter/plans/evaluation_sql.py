@@ -277,6 +277,8 @@ FROM ar WHERE err + t IS NOT NULL OR cerr + ct IS NOT NULL GROUP BY lang, asr"""
     "carry_lookup": _with(POOL, BENCH, f"SELECT p.row_id, b.speaker_gender, b.gt_speaker_id, b.prompt_dur_bin, b.sim_ref_dur_bin, {_finite('b.gt_dur')} AS gt_dur FROM pool p LEFT JOIN bench b USING (utt)"),
     "work_plan": _with(POOL, "SELECT e.asr, s.subset, s.lang, s.n_rows FROM (SELECT DISTINCT asr, lang FROM pool) e JOIN (SELECT subset, lang, count(DISTINCT utt) AS n_rows FROM pool GROUP BY subset, lang) s USING (lang)"),
     "work_totals": _with(POOL, "SELECT e.asr, count(*) AS n_units, sum(s.n_rows)::BIGINT AS n_passes FROM (SELECT DISTINCT asr, lang FROM pool) e JOIN (SELECT subset, lang, count(DISTINCT utt) AS n_rows FROM pool GROUP BY subset, lang) s USING (lang) GROUP BY e.asr"),
+    "work_overall": _with(POOL, "subs AS (SELECT subset, lang, count(DISTINCT utt) AS n FROM pool GROUP BY subset, lang)", """SELECT *, 3 * n_subsets AS n_sim_units, 3 * n_clips AS n_sim_passes
+FROM (SELECT count(*) AS n_subsets, sum(n)::BIGINT AS n_clips FROM subs), (SELECT count(*) AS n_asr_units, sum(n)::BIGINT AS n_asr_passes FROM (SELECT DISTINCT asr, lang FROM pool) e JOIN subs USING (lang))"""),
     "limit_per_subset": _with(POOL, "SELECT subset, asr, utt, row_id FROM (SELECT *, row_number() OVER (PARTITION BY subset, asr ORDER BY utt, row_id) AS rn FROM pool WHERE utt IS NOT NULL) WHERE rn <= 10"),
     "dedup_first": _with(POOL, "SELECT subset, utt, row_id FROM (SELECT *, row_number() OVER (PARTITION BY subset, utt ORDER BY asr, row_id) AS rn FROM pool WHERE utt IS NOT NULL) WHERE rn = 1"),
     "union_pools": _with(POOL, """SELECT asr, lang, count(*) AS n, count(subset) AS n_subset, sum(subs)::BIGINT AS subs FROM (
@@ -289,7 +291,7 @@ SELECT asr, NULL::VARCHAR AS lang, subset, subs FROM pool UNION ALL SELECT NULL,
     "sim_floor": _with(REFS, FLOOR, "SELECT * FROM fl"),
     "sim_anchor": _with(REFS, SYNTH, CHUNKS, "SELECT * FROM an"),
     "calibration_table": _with(REFS, SYNTH, FLOOR, CHUNKS, CAL, "SELECT * FROM cal"),
-    "sim_summary": _with(REFS, SYNTH, FLOOR, CHUNKS, CAL, """SELECT label, count(*) AS n_rows, round(avg(sim), 6) AS mean, round(quantile_cont(sim, 0.5), 6) AS median,
+    "sim_summary": _with(REFS, SYNTH, FLOOR, CHUNKS, CAL, """SELECT label, count(*) AS n_rows, count(*) FILTER (sim IS NULL) AS n_missing, round(avg(sim), 6) AS mean, round(quantile_cont(sim, 0.5), 6) AS median,
 round(quantile_cont(sim, 0.05), 6) AS p05, round(quantile_cont(sim, 0.95), 6) AS p95, round(stddev_samp(sim), 6) AS std,
 round(avg(CASE WHEN anchor - floor_mean > 0 THEN (sim - floor_mean) / (anchor - floor_mean) END), 6) AS sim_norm_mean,
 round(avg(coalesce(sim < floor_p95, false)::INT::DOUBLE), 9) AS below_floor_p95, max(floor_mean) AS floor_mean, max(anchor) AS anchor

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import shutil
 from collections.abc import Sequence
 from datetime import date
 from pathlib import Path
@@ -54,7 +53,52 @@ def markdown(title: str, tables: dict[str, DataFrame], most: int = 1000) -> str:
 
 
 def write_summary(path: str | Path, content: dict) -> None:
-    Path(path).write_text(json.dumps(content, ensure_ascii=False, indent=2, default=str) + "\n")
+    Path(path).write_text(_json(content))
+
+
+def _json(content: dict) -> str:
+    return json.dumps(content, ensure_ascii=False, indent=2, default=str) + "\n"
+
+
+class Folder:
+    """A folder on whatever file system its path names, through Spark's own access to it."""
+
+    def __init__(self, spark: SparkSession, path: str | Path):
+        self.jvm, self.path = spark._jvm, str(path)
+        self.root = self.jvm.org.apache.hadoop.fs.Path(self.path)
+        self.fs = self.root.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def at(self, name: str) -> str:
+        return f"{self.path}/{name}"
+
+    def _path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(self.at(name))
+
+    def has(self, name: str) -> bool:
+        return self.fs.exists(self._path(name))
+
+    def is_empty(self) -> bool:
+        return not self.fs.exists(self.root) or not len(self.fs.listStatus(self.root))
+
+    def renew(self) -> None:
+        self.fs.delete(self.root, True)
+        self.fs.mkdirs(self.root)
+
+    def write(self, name: str, text: str) -> None:
+        out = self.fs.create(self._path(name), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+
+    def files(self) -> list[tuple[str, int]]:
+        """(path within the folder, bytes) of every file, checksums of the file system aside."""
+        found, it = [], self.fs.listFiles(self.root, True)
+        base = self.fs.makeQualified(self.root).toUri().getPath().rstrip("/") + "/"
+        while it.hasNext():
+            f = it.next()
+            found.append((f.getPath().toUri().getPath()[len(base) :], f.getLen()))
+        return sorted(x for x in found if not x[0].rsplit("/", 1)[-1].endswith(".crc"))
 
 
 def console_table(headers: Sequence[str], rows: Sequence[Sequence]) -> str:
@@ -67,32 +111,37 @@ def folder_for(template: str, day: date | None = None) -> str:
     return template.replace("{date}", (day or date.today()).isoformat())
 
 
-def manifest(folder: str | Path) -> list[tuple[str, int]]:
-    """(path, bytes) of the files in a staged folder."""
-    root = Path(folder)
-    return sorted((str(p.relative_to(root)), p.stat().st_size) for p in root.rglob("*") if p.is_file())
+def description(title: str, facts: dict, files: Sequence[tuple[str, int]], tables: dict[str, DataFrame]) -> str:
+    """What a staged folder holds, from what is in it: the facts of the run, its files by folder, and the tables."""
+    sizes: dict[str, list[int]] = {}
+    for path, size in files:
+        sizes.setdefault("/".join(path.split("/")[:2]), []).append(size)
+    out = [f"# {title}", "", *(f"- {k}: {v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, default=str)}" for k, v in facts.items() if not k.startswith("_")), ""]
+    out += ["| in this folder | files | bytes |", "|---|---|---|", *(f"| {k} | {len(v)} | {sum(v)} |" for k, v in sorted(sizes.items())), ""]
+    return "\n".join(out) + markdown("Tables", tables).replace("# Tables", "", 1) if tables else "\n".join(out)
 
 
 def stage(tables: dict[str, DataFrame], pools: dict[str, DataFrame], folder: str | Path, title: str, facts: dict, parts: Sequence[str] = ("tables", "pools", "summary", "readme")) -> list[tuple[str, int]]:
-    """A fresh folder with the wanted parts of a run; returns its manifest. Nothing is sent anywhere.
+    """A fresh folder, on any file system, with the wanted parts of a run; returns its files. Nothing is sent anywhere.
 
     A folder that isn't empty is replaced only if it was staged before, which its MANIFEST.json shows; any other is an
-    error.
+    error. Keys of facts that begin with an underscore are left out.
     """
-    root = Path(folder)
-    if root.exists() and any(root.iterdir()) and not (root / "MANIFEST.json").is_file():
-        raise FileExistsError(f"{root} isn't empty and wasn't staged by this engine")
-    shutil.rmtree(root, ignore_errors=True)
-    root.mkdir(parents=True)
+    frames = [*tables.values(), *pools.values()]
+    spark = frames[0].sparkSession if frames else SparkSession.active()
+    root = Folder(spark, folder)
+    if not root.is_empty() and not root.has("MANIFEST.json"):
+        raise FileExistsError(f"{folder} isn't empty and wasn't staged by this engine")
+    root.renew()
     if "tables" in parts:
         for name, df in tables.items():
-            write_csv(df, str(root / "tables" / name))
+            write_csv(df, root.at(f"tables/{name}"))
     if "pools" in parts:
         for name, df in pools.items():
-            write_parquet(df, str(root / "pools" / name))
+            write_parquet(df, root.at(f"pools/{name}"))
     if "summary" in parts:
-        write_summary(root / "summary.json", facts)
+        root.write("summary.json", _json({k: v for k, v in facts.items() if not k.startswith("_")}))
     if "readme" in parts:
-        (root / "README.md").write_text(markdown(title, tables))
-    write_summary(root / "MANIFEST.json", {"title": title, "files": dict(manifest(root))})
-    return manifest(root)
+        root.write("README.md", description(title, facts, root.files(), tables))
+    root.write("MANIFEST.json", _json({"title": title, "files": dict(root.files())}))
+    return root.files()
