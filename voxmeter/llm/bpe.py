@@ -18,7 +18,8 @@ import numpy as np
 import pandas as pd
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..runtime import col
@@ -85,17 +86,19 @@ class PerfectHash:
         return self.at[slots]
 
 
-def read_ranks(path: str) -> dict[bytes, int]:
-    """Byte strings and ranks of a vocabulary file: lines of base64 and rank."""
-    with open(path, "rb") as lines:
-        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+def read_ranks(path: str, content: bytes | None = None) -> dict[bytes, int]:
+    """Byte strings and ranks of a vocabulary file, or of its content: lines of base64 and rank."""
+    if content is None:
+        with open(path, "rb") as f:
+            content = f.read()
+    return {base64.b64decode(a): int(b) for a, b in (line.split() for line in content.splitlines() if line.strip())}
 
 
 class Encoder:
     """Encodes texts with one vocabulary."""
 
-    def __init__(self, path: str = DEFAULT_VOCABULARY, pattern: str = PATTERN):
-        self.ranks = read_ranks(path)
+    def __init__(self, path: str = DEFAULT_VOCABULARY, pattern: str = PATTERN, content: bytes | None = None):
+        self.ranks = read_ranks(path, content)
         self.keys = list(self.ranks)
         self.ids = np.fromiter(self.ranks.values(), np.int64, len(self.keys))
         self.hash = PerfectHash(self.keys)
@@ -146,15 +149,29 @@ class Encoder:
 
 
 _encoders: dict[str, Encoder] = {}
+_sent: dict[tuple[str, str], Broadcast] = {}
 
 
-def encoder(path: str = DEFAULT_VOCABULARY) -> Encoder:
-    """The worker's encoder of a vocabulary file, built on first use."""
+def encoder(path: str = DEFAULT_VOCABULARY, content: bytes | None = None) -> Encoder:
+    """The process's encoder of a vocabulary, built on first use, from the file's content if that is given."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, content=content)
     return _encoders[path]
 
 
+def vocabulary(path: str) -> Broadcast:
+    """The content of a vocabulary file, read by the driver and sent to every executor once; its size is the file's.
+
+    Workers so need no copy of the file.
+    """
+    sc = SparkSession.active().sparkContext
+    key = (sc.applicationId, path)
+    if key not in _sent:
+        with open(path, "rb") as f:
+            _sent[key] = sc.broadcast(f.read())
+    return _sent[key]
+
+
 def _batches(texts: pd.Series, chars: int = 1 << 20) -> Iterator[list]:
     """Runs of texts of about so many characters, so that one batch of long texts doesn't fill the worker."""
     run, size = [], 0
@@ -171,9 +188,11 @@ def _batches(texts: pd.Series, chars: int = 1 << 20) -> Iterator[list]:
 def token_ids(text: Column, path: str = DEFAULT_VOCABULARY) -> Column:
     """Ids of a text column as an array of int; empty for null and empty texts."""
 
+    sent = vocabulary(path)
+
     @F.pandas_udf("array<int>")
     def ids(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        e = encoder(path)
+        e = encoder(path, sent.value)
         for part in parts:
             yield pd.Series([np.array(x, np.int32) for run in _batches(part) for x in e.encode(run)], dtype=object)
 
@@ -183,9 +202,11 @@ def token_ids(text: Column, path: str = DEFAULT_VOCABULARY) -> Column:
 def token_count(text: Column, path: str = DEFAULT_VOCABULARY) -> Column:
     """Number of ids of a text column; 0 for null and empty texts."""
 
+    sent = vocabulary(path)
+
     @F.pandas_udf("long")
     def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        e = encoder(path)
+        e = encoder(path, sent.value)
         for part in parts:
             yield pd.Series([len(x) for run in _batches(part) for x in e.encode(run)], dtype="int64")
 
