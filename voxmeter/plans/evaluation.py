@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ ANCHOR_COLUMNS = {
     "mms": ("anchor_subs_mms", "anchor_dels_mms", "anchor_ins_mms", "anchor_cer_err_mms"),
     "elevenlabs": ("anchor_subs_scribe", "anchor_dels_scribe", "anchor_ins_scribe", "anchor_cer_err_scribe"),
 }
+ANCHOR_INPUTS = [*sorted({c for cs in ANCHOR_COLUMNS.values() for c in cs[:3]}), "anchor_n_ref_words"]
 CARRIED = ["speaker_gender", "gt_speaker_id", "prompt_dur_bin", "sim_ref_dur_bin", "gt_dur"]
 ENCODERS = ("wavlm_sv", "wavlm_ft", "ecapa")
 RUNAWAY, TRUNCATED, EMPTY_SECONDS = 2.0, 0.5, 0.3
@@ -29,14 +31,18 @@ REF_WEIGHT, OWN_WEIGHT = 0.7, 0.3
 
 
 def pool(spark: SparkSession, root: str) -> DataFrame:
-    """Scored rows, each once; only the columns that a query uses are read."""
-    return table(spark, root, "asr").dropDuplicates(["row_id"])
+    """Scored rows, each once; only the columns that a query uses are read.
+
+    Deliveries of a row are exact duplicates. Rows without an id are told apart by what they are about.
+    """
+    return table(spark, root, "asr").dropDuplicates(["row_id", "subset", "asr", "utt"])
 
 
-def benchmark(spark: SparkSession, root: str) -> DataFrame:
-    """The first delivery of each utterance."""
+def benchmark(spark: SparkSession, root: str, columns: Sequence[str]) -> DataFrame:
+    """utt and the columns named of the first delivery of each utterance. Nothing else is read or shuffled."""
+    wanted = list(dict.fromkeys(["utt", *columns]))
     rows = table(spark, root, "sources").where("utt IS NOT NULL")
-    first = F.min_by(F.struct(*(col(c) for c in rows.columns)), F.struct("ingested_at", "row_id")).alias("b")
+    first = F.min_by(F.struct(*(col(c) for c in wanted)), F.struct("ingested_at", "row_id")).alias("b")
     return rows.groupBy(F.col("utt").alias("_utt")).agg(first).select("b.*")
 
 
@@ -153,14 +159,13 @@ def _anchor(column: int) -> Column:
 
 def _with_anchors(rows: DataFrame, bench: DataFrame, how: str) -> DataFrame:
     """Rows with h_err and h_n, the human anchor's errors and words for the same recogniser and utterance, or null."""
-    names = sorted({c for cs in ANCHOR_COLUMNS.values() for c in cs[:3]})
-    wide = with_benchmark(rows, bench, [*names, "anchor_n_ref_words"], how)
-    return wide.withColumns({"h_err": _anchor(0) + _anchor(1) + _anchor(2), "h_n": F.col("anchor_n_ref_words")}).drop(*names, "anchor_n_ref_words")
+    wide = with_benchmark(rows, bench, ANCHOR_INPUTS, how)
+    return wide.withColumns({"h_err": _anchor(0) + _anchor(1) + _anchor(2), "h_n": F.col("anchor_n_ref_words")}).drop(*ANCHOR_INPUTS)
 
 
 def anchored(spark: SparkSession, root: str) -> DataFrame:
     """Scored rows with the human anchor's errors of the same recogniser on the same utterance, where there are any."""
-    return _with_anchors(scored(spark, root), benchmark(spark, root), "inner").dropna(subset=["h_err", "h_n"])
+    return _with_anchors(scored(spark, root), benchmark(spark, root, ANCHOR_INPUTS), "inner").dropna(subset=["h_err", "h_n"])
 
 
 def paired_bootstrap_anchor(spark: SparkSession, root: str) -> DataFrame:
@@ -169,7 +174,7 @@ def paired_bootstrap_anchor(spark: SparkSession, root: str) -> DataFrame:
 
 def anchor_rates(spark: SparkSession, root: str) -> DataFrame:
     """The human anchor's corpus rates of words and characters by language and recogniser; the wide columns become rows."""
-    b = benchmark(spark, root)
+    b = benchmark(spark, root, ["lang", *ANCHOR_INPUTS, "anchor_n_ref_chars", *(c[3] for c in ANCHOR_COLUMNS.values())])
     wide = F.array(*(F.struct(F.lit(a).alias("asr"), (col(c[0]) + col(c[1]) + col(c[2])).alias("err"), col(c[3]).alias("cer_err")) for a, c in ANCHOR_COLUMNS.items()))
     rows = b.select("lang", F.col("anchor_n_ref_words").alias("w"), F.col("anchor_n_ref_chars").alias("c"), F.explode(wide).alias("x")).select("lang", "x.*", "w", "c")
     words, chars = F.col("err").isNotNull() & F.col("w").isNotNull(), F.col("cer_err").isNotNull() & F.col("c").isNotNull()
@@ -185,7 +190,7 @@ def intelligibility(spark: SparkSession, root: str) -> DataFrame:
     The rows are joined with the anchors and summed by speaker once; all three parts come from these sums, written out.
     """
     keys = ["subset", "asr"]
-    rows = _with_anchors(pool(spark, root), benchmark(spark, root), "left")
+    rows = _with_anchors(pool(spark, root), benchmark(spark, root, ANCHOR_INPUTS), "left")
     edits = word_edits().cast("double")
     whole = ~F.col("missing") & edits.isNotNull() & F.col("n_ref_words").isNotNull()
     both = whole & F.col("h_err").isNotNull() & F.col("h_n").isNotNull()
@@ -243,7 +248,7 @@ def disagreement(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _durations(spark: SparkSession, root: str) -> DataFrame:
-    rows = with_benchmark(pool(spark, root), benchmark(spark, root), ["gt_dur"])
+    rows = with_benchmark(pool(spark, root), benchmark(spark, root, ["gt_dur"]), ["gt_dur"])
     gt, own = stats.finite(F.col("gt_dur")), stats.finite(F.col("synth_dur"))
     return rows.withColumns({"synth_dur": own, "ratio": F.when(gt > 0, F.try_divide(own, gt))})
 
@@ -300,7 +305,7 @@ def length_gates(spark: SparkSession, root: str) -> DataFrame:
 def join_audit(spark: SparkSession, root: str) -> DataFrame:
     """Per subset: keys on both sides, on one, and rows whose texts differ; clean if there is nothing to report."""
     clips = pool(spark, root).where("utt IS NOT NULL").groupBy("subset", "lang", "utt").agg(F.first("ref_norm").alias("ref_norm"))
-    bench = benchmark(spark, root)
+    bench = benchmark(spark, root, ["lang", "text_norm"])
     rows = with_benchmark(clips, bench.withColumn("found", F.lit(True)), ["text_norm", "found"])
     differs = F.trim(F.coalesce("ref_norm", F.lit(""))) != F.trim(F.coalesce("text_norm", F.lit("")))
     per = rows.groupBy("subset", "lang").agg(
@@ -330,13 +335,13 @@ def shared_utts(spark: SparkSession, root: str) -> DataFrame:
 
 
 def text_mismatch(spark: SparkSession, root: str) -> DataFrame:
-    rows = with_benchmark(pool(spark, root).where("utt IS NOT NULL"), benchmark(spark, root), ["text_norm"], "inner")
+    rows = with_benchmark(pool(spark, root).where("utt IS NOT NULL"), benchmark(spark, root, ["text_norm"]), ["text_norm"], "inner")
     return rows.where(F.trim(F.coalesce("ref_norm", F.lit(""))) != F.trim(F.coalesce("text_norm", F.lit("")))).select("row_id", "utt")
 
 
 def carry_lookup(spark: SparkSession, root: str) -> DataFrame:
     """Scored rows with what the benchmark carries along, in one left join."""
-    rows = with_benchmark(pool(spark, root), benchmark(spark, root), CARRIED)
+    rows = with_benchmark(pool(spark, root), benchmark(spark, root, CARRIED), CARRIED)
     return rows.select("row_id", *(c for c in CARRIED if c != "gt_dur"), stats.finite(F.col("gt_dur")).alias("gt_dur"))
 
 
@@ -481,7 +486,7 @@ def similarity_bootstrap(spark: SparkSession, root: str) -> DataFrame:
 
 def human_similarity(spark: SparkSession, root: str) -> DataFrame:
     """The benchmark's own similarity by language and encoder, as a published scale: wide columns as rows."""
-    b = benchmark(spark, root)
+    b = benchmark(spark, root, ["lang", *(f"anchor_sim_{e}" for e in ENCODERS)])
     wide = F.array(*(F.struct(F.lit(e).alias("encoder"), stats.finite(col(f"anchor_sim_{e}")).alias("s")) for e in ENCODERS))
     rows = b.select("lang", F.explode(wide).alias("x")).select("lang", "x.encoder", "x.s").where("s IS NOT NULL")
     return rows.groupBy("lang", "encoder").agg(
@@ -492,7 +497,7 @@ def human_similarity(spark: SparkSession, root: str) -> DataFrame:
 def published_lookup(spark: SparkSession, root: str) -> DataFrame:
     """Each benchmark row's similarity against its language's published scale: a keyed lookup on two columns."""
     cal = broadcast_if_small(human_similarity(spark, root)).select(F.col("lang").alias("_lang"), F.col("encoder").alias("_encoder"), "anchor", "p05")
-    rows = benchmark(spark, root).select("utt", "lang", stats.finite(F.col("anchor_sim_ecapa")).alias("sim")).where("sim IS NOT NULL")
+    rows = benchmark(spark, root, ["lang", "anchor_sim_ecapa"]).select("utt", "lang", stats.finite(F.col("anchor_sim_ecapa")).alias("sim")).where("sim IS NOT NULL")
     hit = rows.join(cal, (F.col("lang") == F.col("_lang")) & (F.col("_encoder") == "ecapa"), "left")
     return hit.select("utt", F.round(sim.sim_norm(F.col("sim"), F.col("p05"), F.col("anchor")), 6).alias("sim_norm"))
 
