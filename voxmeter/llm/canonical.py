@@ -140,14 +140,23 @@ def levels() -> int:
 
 
 _PARTS = "array<struct<ch string, ccc int, joins boolean>>"
+_made: dict[tuple, DataFrame] = {}
+
+
+def _once(name: str, spark: SparkSession, make) -> DataFrame:
+    """A fixed table, made once a session: turning its rows into a DataFrame takes longer than using it."""
+    key = (name, spark.sparkContext.applicationId, id(spark))
+    if key not in _made:
+        _made[key] = make()
+    return _made[key]
 
 
 def mapping_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
+    return _once("mapping", spark, lambda: spark.createDataFrame(
         code_points(),
         "ch string, plain string, latin string, cyrillic string, letter boolean, own_latin boolean, own_cyrillic boolean, mark boolean, ccc int, "
         f"parts {_PARTS}, latin_parts {_PARTS}, cyrillic_parts {_PARTS}",
-    )
+    ))
 
 
 def hangul(spark: SparkSession) -> DataFrame:
@@ -167,7 +176,7 @@ def hangul(spark: SparkSession) -> DataFrame:
 
 def pair_table(spark: SparkSession) -> DataFrame:
     """(starter, second, composed): all canonical pairs."""
-    pairs = spark.createDataFrame([(*p, c) for p, c in sorted(compositions().items())], "starter string, second string, composed string")
+    pairs = _once("pairs", spark, lambda: spark.createDataFrame([(*p, c) for p, c in sorted(compositions().items())], "starter string, second string, composed string"))
     h = hangul(spark)
     return pairs.unionByName(h.select(
         F.when(F.col("tail").isNull(), F.col("lead")).otherwise(F.col("open")).alias("starter"), F.coalesce("tail", "vowel").alias("second"), F.col("syllable").alias("composed")
