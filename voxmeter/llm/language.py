@@ -18,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -42,7 +43,6 @@ MOST_TIMES = (1 << 20) - 1
 
 # a run of bare words, or one token, or the end of a line
 _TOKEN = re.compile(r"([^\W\d_]++(?: ++[^\W\d_]++(?!\S))+)|\S+|\n")
-_TRAILING = ".,;:!?…"
 _CORE = re.compile(r"[^\W_](?:.*[^\W_])?", re.S)
 _OPENS = re.compile(r"[(\[{“„«\"‹]|^[–—\-/|→]+$")
 _CLOSES = re.compile(r"[,;:)\]}”»\"›]|^[–—\-/|→]+$")
@@ -60,10 +60,36 @@ def _is_word(word: str) -> bool:
     return word.isalpha() or bool(word) and all(c.isalpha() or c in "'’-" for c in word)
 
 
-@lru_cache(4096)
-def _after(signs: str) -> tuple[bool, bool]:
-    """Whether what follows a word ends a sentence, and a clause."""
-    return bool(_ENDS.search(signs)), bool(_CLOSES.search(signs))
+class _Token(NamedTuple):
+    """What a token of letters and signs says: its word, the signs before and after it, and what they open and close."""
+
+    low: str
+    is_word: bool
+    counts: bool
+    core: bool
+    lead: int
+    tail: int
+    initial: bool
+    lower_start: bool
+    opens: bool
+    ends: bool
+    closes: bool
+
+
+def _token(token: str) -> _Token:
+    core = _CORE.search(token)
+    word = core[0] if core else ""
+    before, after = (token[: core.start()], token[core.end() :]) if core else (token, token)
+    low = _bare(word)
+    is_word = _is_word(low)
+    number = word.isdigit() and len(word) <= 4 and token.strip(".,;:!?…()“”«»\"") == word
+    return _Token(
+        low, is_word, is_word or number, core is not None, len(before), len(after), is_word and len(word) == 1 and after.startswith(":"),
+        word[:1].islower(), bool(_OPENS.search(before)), bool(_ENDS.search(after)), bool(_CLOSES.search(after)),
+    )
+
+
+_seen = lru_cache(MEMO)(_token)
 
 
 def _edits(a: str, b: str) -> int:
@@ -193,37 +219,26 @@ def clauses(text: str) -> list[Clause]:
             run.add_all(clause, token.lower().split() if plain else [_bare(w) for w in token.split()])
             ended = False
             continue
-        word = token.rstrip(_TRAILING)
-        if word.isalpha():
-            before, after, core = "", token[len(word) :], True
-        else:
-            core = _CORE.search(token)
-            before, after = (token[: core.start()], token[core.end() :]) if core else (token, token)
-            word = core[0] if core else ""
-        low = _bare(word)
-        is_word = _is_word(low)
-        if line_start and (ended or not word[:1].islower()):
+        t = _seen(token) if len(token) <= 40 else _token(token)
+        if line_start and (ended or not t.lower_start):
             sentence, fresh = sentence + 1, True
-        speaker = line_start and is_word and len(word) == 1 and after.startswith(":")
+        speaker = line_start and t.initial
         line_start = False
-        if before and _OPENS.search(before):
+        if t.opens:
             fresh = True
-        if (is_word or word.isdigit() and len(word) <= 4 and token.strip(".,;:!?…()“”«»\"") == word) and not speaker:
+        if t.counts and not speaker:
             if fresh or not out:
-                out.append(Clause(start + len(before), start + len(token), sentence))
+                out.append(Clause(start + t.lead, start + len(token), sentence))
                 fresh, run = False, _Run()
             clause = out[-1]
-            clause.end = start + len(token) - len(after)
-            run.add(clause, low, is_word)
-        if after:
-            ends, closes = _after(after)
-            if core:
-                ended = ends
-            if core and ends:
+            clause.end = start + len(token) - t.tail
+            run.add(clause, t.low, t.is_word)
+        if t.core:
+            ended = t.ends
+            if t.ends:
                 sentence, fresh = sentence + 1, True
-            fresh = fresh or closes
-        elif core:
-            ended = False
+        if t.closes:
+            fresh = True
     return out
 
 
@@ -322,10 +337,9 @@ def fit_profiles(df: DataFrame, id_col: str, text_col: str, lang_col: str, langu
     chosen = labelled.where(F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(1 << 20)) < share * (1 << 20))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _parts(batches):
-            words: dict[str, Counter] = {}
-            for lang, text in zip(batch["_lang"], batch["_text"]):
-                words.setdefault(lang, Counter()).update(w for c in clauses(text) for w in c.words)
+        words: dict[str, Counter] = {}
+
+        def close() -> pd.DataFrame:
             rows = []
             for lang, own in words.items():
                 total: Counter = Counter()
@@ -334,7 +348,15 @@ def fit_profiles(df: DataFrame, id_col: str, text_col: str, lang_col: str, langu
                     for g in grams(w, longest) + grams(folded(w), longest):
                         total[g] += n
                 rows += [(lang, g, n) for g, n in total.items()]
-            yield pd.DataFrame(rows, columns=["lang", "gram", "n"])
+            words.clear()
+            return pd.DataFrame(rows, columns=["lang", "gram", "n"])
+
+        for batch in _parts(batches):
+            for lang, text in zip(batch["_lang"], batch["_text"]):
+                words.setdefault(lang, Counter()).update(w for c in clauses(text) for w in c.words)
+            if sum(map(len, words.values())) > MEMO:
+                yield close()
+        yield close()
 
     total = chosen.select("_lang", "_text").mapInPandas(count, "lang string, gram string, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     top = total.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= size)
