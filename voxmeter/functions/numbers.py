@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 # The number words of each language.
 EN_ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
@@ -104,6 +108,7 @@ def _dutch(n: int) -> str:
 
 SPEAKERS: dict[str, Callable[[int], str]] = {"en": _english, "es": _spanish, "pt": _portuguese, "nl": _dutch}
 
+# The three forms of numbers in texts.
 GROUPED = re.compile(r"(?<!\d)\d{1,3}(?:[.,]\d{3})+(?!\d)")
 DECIMAL = re.compile(r"(?<!\d)(\d+)[.,](\d+)(?!\d)")
 WHOLE = re.compile(r"(?<!\d)\d+(?!\d)")
@@ -132,3 +137,14 @@ def expand_digits(text: str, language: str | None) -> str:
     text = GROUPED.sub(lambda m: say_any(int(re.sub(r"[.,]", "", m[0])), language), text)
     text = DECIMAL.sub(lambda m: f"{say_any(int(m[1]), language)} {say_fraction(m[2], language)}", text)
     return WHOLE.sub(lambda m: say_any(int(m[0]), language), text)
+
+
+def said(number: Column, language: str) -> Column:
+    """A column of whole numbers in words; null for null."""
+
+    @F.pandas_udf("string")
+    def words(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series([None if pd.isna(n) else say_any(int(n), language) for n in part], dtype=object)
+
+    return words(number)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import infer, stages
-from ..functions import scoring, text, vectors
+from ..functions import numbers, scoring, text, vectors
 from ..operators import similarity as sim
 from ..operators import stats
 from ..runtime import broadcast_if_small, checkpointed, col
@@ -97,6 +97,12 @@ def expand_digits(spark: SparkSession, root: str) -> DataFrame:
     return d.select("doc_id", text.normalize(F.col("text"), locale).alias("norm"))
 
 
+def said_keys(spark: SparkSession, root: str) -> DataFrame:
+    """The customers' keys in the words of every language that numbers are said in."""
+    keys = table(spark, root, "orders").select(F.col("o_custkey").cast("long").alias("n")).distinct()
+    return keys.select("n", *(numbers.said(F.col("n"), x).alias(x) for x in sorted(numbers.SPEAKERS)))
+
+
 def typographic_count(spark: SparkSession, root: str) -> DataFrame:
     return pool(spark, root).groupBy("subset", "asr").agg(F.count_if(text.has_typographic_apostrophe(F.col("hyp_raw"))).alias("n_typographic"))
 
@@ -274,10 +280,10 @@ def failures(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def empty_clips(spark: SparkSession, root: str) -> DataFrame:
+def empty_clips(spark: SparkSession, root: str, seconds: float = EMPTY_SECONDS) -> DataFrame:
     """Distinct clips (subset and utterance) below the shortest length of an output, by subset."""
     clips = pool(spark, root).groupBy("subset", "utt").agg(F.min(stats.finite(F.col("synth_dur"))).alias("d"))
-    return clips.groupBy("subset").agg(F.count_if(F.col("d") < EMPTY_SECONDS).alias("n_empty"), F.count(F.lit(1)).alias("n_clips"))
+    return clips.groupBy("subset").agg(F.count_if(F.col("d") < seconds).alias("n_empty"), F.count(F.lit(1)).alias("n_clips"))
 
 
 def worst_subset(spark: SparkSession, root: str) -> DataFrame:
@@ -285,6 +291,11 @@ def worst_subset(spark: SparkSession, root: str) -> DataFrame:
     return empty_clips(spark, root).where("n_empty > 0").orderBy(F.desc("n_empty"), "subset").limit(1)
 
 
+def worst_short_subset(spark: SparkSession, root: str) -> DataFrame:
+    """The same for clips of less than two seconds, which every subset has."""
+    return empty_clips(spark, root, 2.0).where("n_empty > 0").orderBy(F.desc("n_empty"), "subset").limit(1)
+
+
 def missing_gates(spark: SparkSession, root: str, least: float = 1.0) -> DataFrame:
     """Clips by length gate: too short to judge, judged, unknown."""
     d = stats.finite(F.col("synth_dur"))
@@ -612,9 +623,9 @@ def admitted_subsets(spark: SparkSession, root: str) -> DataFrame:
 
 
 NAMES = [
-    text_normalize, norm_parity, norm_differences, norm_diagnostics, expand_digits, typographic_count, word_errors, char_errors, sdi_split,
+    text_normalize, norm_parity, norm_differences, norm_diagnostics, expand_digits, said_keys, typographic_count, word_errors, char_errors, sdi_split,
     score_invariants, error_summary, rates_by_lang, rates_by_len, cluster_bootstrap_wer, bootstrap_macro, bootstrap_catastrophic, paired_bootstrap_anchor,
-    anchor_rates, intelligibility, identical_transcripts, disagreement, failures, empty_clips, worst_subset, missing_gates, length_gates, judged_clips, join_audit,
+    anchor_rates, intelligibility, identical_transcripts, disagreement, failures, empty_clips, worst_subset, worst_short_subset, missing_gates, length_gates, judged_clips, join_audit,
     anti_missing_left, anti_missing_right, shared_utts, text_mismatch, carry_lookup, work_plan, work_totals, work_overall, limit_per_subset, dedup_first,
     union_pools, float_means, naturalness, row_counts, cluster_ratio_orders, first_reference, sim_scores, sim_floor, sim_anchor,
     calibration_table, sim_summary, similarity_bootstrap, human_similarity, published_lookup, array_chunks, array_segments, power_to_db,

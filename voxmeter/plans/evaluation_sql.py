@@ -6,6 +6,7 @@ apostrophes, and the limits of the bootstrap's weights.
 
 from __future__ import annotations
 
+from ..functions import numbers as N
 from ..functions.numbers import NUMBER_LANGUAGES, say
 from ..functions.text import PUNCTUATION, TYPOGRAPHIC_APOSTROPHES
 from ..operators.stats import poisson_limits
@@ -190,6 +191,30 @@ _TOO = _finite("synth_dur")
 _D = _finite("prompt_dur")
 _CHUNK = "CASE WHEN least(4.0::DOUBLE, d / 2) >= 2.0 THEN least(4.0::DOUBLE, d / 2) END"
 
+def _list(words: list[str]) -> str:
+    return "[" + ", ".join(map(quoted, words)) + "]"
+
+
+# Number words below a million, put together apart from the operators: 0 to 999 by hundreds and tens, then thousands.
+_SAID = f"""base AS (SELECT n::BIGINT AS n, n // 100 AS h, n % 100 AS r, (n % 100) // 10 AS t, n % 10 AS o, {_list(N.EN_ONES)} AS en, {_list(N.ES_ONES)} AS es, {_list(N.PT_ONES)} AS pt, {_list(N.NL_ONES)} AS nl FROM range(1000) AS x(n)),
+two AS (SELECT *,
+  CASE WHEN r < 20 THEN en[r + 1] ELSE {_list(N.EN_TENS)}[t + 1] || CASE WHEN o > 0 THEN '-' || en[o + 1] ELSE '' END END AS en2,
+  CASE WHEN r < 30 THEN es[r + 1] ELSE {_list(N.ES_TENS)}[t + 1] || CASE WHEN o > 0 THEN ' y ' || es[o + 1] ELSE '' END END AS es2,
+  CASE WHEN r < 20 THEN pt[r + 1] ELSE {_list(N.PT_TENS)}[t + 1] || CASE WHEN o > 0 THEN ' e ' || pt[o + 1] ELSE '' END END AS pt2,
+  CASE WHEN r < 20 THEN nl[r + 1] ELSE CASE WHEN o > 0 THEN nl[o + 1] || CASE WHEN nl[o + 1] LIKE '%e' THEN 'ën' ELSE 'en' END ELSE '' END || {_list(N.NL_TENS)}[t + 1] END AS nl2 FROM base),
+small AS (SELECT n, r,
+  CASE WHEN h = 0 THEN en2 ELSE en[h + 1] || ' hundred' || CASE WHEN r > 0 THEN ' and ' || en2 ELSE '' END END AS en,
+  CASE WHEN n = 100 THEN 'cien' WHEN h = 0 THEN es2 ELSE {_list(N.ES_HUNDREDS[1:])}[h] || CASE WHEN r > 0 THEN ' ' || es2 ELSE '' END END AS es,
+  CASE WHEN n = 100 THEN 'cem' WHEN h = 0 THEN pt2 ELSE {_list(N.PT_HUNDREDS[1:])}[h] || CASE WHEN r > 0 THEN ' e ' || pt2 ELSE '' END END AS pt,
+  CASE WHEN h = 0 THEN nl2 ELSE CASE WHEN h > 1 THEN nl[h + 1] ELSE '' END || 'honderd' || CASE WHEN r > 0 THEN nl2 ELSE '' END END AS nl FROM two),
+keys AS (SELECT DISTINCT o_custkey::BIGINT AS k FROM orders)"""
+_SAID_KEYS = """SELECT k AS n,
+CASE WHEN k < 1000 THEN b.en ELSE a.en || ' thousand' || CASE WHEN b.n = 0 THEN '' WHEN b.n < 100 THEN ' and ' || b.en ELSE ', ' || b.en END END AS en,
+CASE WHEN k < 1000 THEN b.es ELSE CASE WHEN a.n = 1 THEN 'mil' ELSE regexp_replace(regexp_replace(a.es, 'veintiuno$', 'veintiún'), 'uno$', 'un') || ' mil' END || CASE WHEN b.n = 0 THEN '' ELSE ' ' || b.es END END AS es,
+CASE WHEN k < 1000 THEN b.pt ELSE CASE WHEN a.n = 1 THEN 'mil' ELSE a.pt || ' mil' END || CASE WHEN b.n = 0 THEN '' WHEN b.n < 100 OR b.n % 100 = 0 THEN ' e ' || b.pt ELSE ' ' || b.pt END END AS pt,
+CASE WHEN k < 1000 THEN b.nl ELSE CASE WHEN a.n = 1 THEN '' ELSE a.nl END || 'duizend' || CASE WHEN b.n = 0 THEN '' ELSE b.nl END END AS nl
+FROM keys JOIN small a ON a.n = k // 1000 JOIN small b ON b.n = k % 1000"""
+
 # JSON text within JSON text
 AUDIO = '{\\"pad_ms\\":30,\\"peak_dbfs\\":-1.0,\\"resampler\\":\\"soxr_hq\\",\\"target_sample_rate\\":16000,\\"vad\\":true}'
 
@@ -232,6 +257,8 @@ UNION ALL SELECT row_id, NULL, NULL, NULL FROM pool WHERE NOT missing AND ref_no
 
 ORACLES: dict[str, str] = {
     "sdi_split": f"WITH {_SDI}",
+    "said_keys": _with(_SAID, _SAID_KEYS),
+    "worst_short_subset": _with(POOL, _EMPTY.replace("d < 0.3", "d < 2.0"), "SELECT * FROM em WHERE n_empty > 0 ORDER BY n_empty DESC, subset LIMIT 1"),
     "length_gates": _with(POOL, f"clips AS (SELECT subset, utt, min({_finite('synth_dur')}) AS d FROM pool GROUP BY subset, utt)", """SELECT subset, count(*) AS n_clips, count(*) FILTER (d < 0.01) AS n_too_short_to_hear,
 count(*) FILTER (d < 0.4) AS n_too_short_to_embed, count(*) FILTER (d < 0.3) AS n_too_short_to_judge, count(*) FILTER (d < 0.3) AS n_empty FROM clips GROUP BY subset"""),
     "judged_clips": _with(POOL, _JUDGED, "SELECT * FROM judged"),
