@@ -35,6 +35,8 @@ from ..runtime import broadcast_if_small, checkpointed, col, spread
 VALUES, EDGE = 64, 4
 #: Similarity from which two columns of neighbouring versions may be the same one.
 LEAST = 1.0
+#: Similarity from which two columns of one name are the same one: name and kind agree and the values don't contradict.
+SURE = 5.0
 #: Columns of files that a task profiles before it hands them on.
 OPEN_COLUMNS = 20_000
 KINDS = ("number", "text", "list", "boolean")
@@ -415,20 +417,27 @@ def similarity(a: Shape, b: Shape, equal: int = 0, shared: int = 0) -> float:
 
 
 def versions_matched(now: Version, before: Version, least: float = LEAST) -> dict[str, str]:
-    """path now: path before, by the matching of two versions; pairs below least are additions and removals."""
+    """path now: path before, by the matching of two versions; pairs below least are additions and removals.
+
+    Only columns that aren't surely the same go through the matching, whose cost is cubic in their number.
+    """
     if not now.columns or not before.columns:
         return {}
     pairs = shared_records(now, before)
-    rows = [Shape(p, c) for p, c in sorted(now.columns.items())]
-    cols = [Shape(p, c) for p, c in sorted(before.columns.items())]
-    costs = []
-    for a in rows:
-        line = []
-        for b in cols:
-            both = [(x[a.path], y[b.path]) for x, y in pairs if a.path in x and b.path in y]
-            line.append(-similarity(a, b, sum(_same(x, y) for x, y in both), len(both)))
-        costs.append(line + [-least] * len(rows))
-    return {a.path: cols[k].path for a, k in zip(rows, assign(costs)) if k < len(cols)}
+    rows = {p: Shape(p, c) for p, c in now.columns.items()}
+    cols = {p: Shape(p, c) for p, c in before.columns.items()}
+
+    def likeness(a: Shape, b: Shape) -> float:
+        both = [(x[a.path], y[b.path]) for x, y in pairs if a.path in x and b.path in y]
+        return similarity(a, b, sum(_same(x, y) for x, y in both), len(both))
+
+    # columns of one name whose values agree as well need no weighing against others; mostly these are nearly all
+    sure = {p: p for p in rows.keys() & cols.keys() if likeness(rows[p], cols[p]) >= SURE}
+    left, right = ([s for p, s in sorted(side.items()) if p not in sure] for side in (rows, cols))
+    if not left or not right:
+        return sure
+    costs = [[-likeness(a, b) for b in right] + [-least] * len(left) for a in left]
+    return sure | {a.path: right[k].path for a, k in zip(left, assign(costs)) if k < len(right)}
 
 
 def seeds(version: Version, fields: Sequence[Field] = FIELDS) -> dict[str, str]:
