@@ -35,7 +35,8 @@ def pool(spark: SparkSession, root: str) -> DataFrame:
 
     Deliveries of a row are exact duplicates. Rows without an id are told apart by what they are about.
     """
-    return table(spark, root, "asr").dropDuplicates(["row_id", "subset", "asr", "utt"])
+    rows = table(spark, root, "asr")
+    return rows.dropDuplicates([c for c in ("row_id", "subset", "asr", "utt") if c in rows.columns])
 
 
 def benchmark(spark: SparkSession, root: str, columns: Sequence[str]) -> DataFrame:
