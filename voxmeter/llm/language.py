@@ -35,11 +35,9 @@ EVIDENCE = 6
 #: A clause decides for itself from so many words, letters and this lead of the best language.
 OWN_WORDS, OWN_LETTERS, LEAD = 3, 12, 0.04
 #: Characters of text that a worker handles at once.
-PART = 250_000
+PART = 50_000
 #: Words whose n-grams a worker remembers.
 MEMO = 200_000
-#: Frequencies in one piece from which n-grams rank alike, so that a rank's parts fit one number.
-MOST_TIMES = (1 << 20) - 1
 
 # a run of bare words, or one token, or the end of a line
 _TOKEN = re.compile(r"([^\W\d_]++(?: ++[^\W\d_]++(?!\S))+)|\S+|\n")
@@ -258,6 +256,14 @@ def named_language(label: Column, languages: Sequence[str] = LANGUAGES) -> Colum
     return F.when(code.isin(*languages), code)
 
 
+def _by_frequency(piece: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Order by piece, then falling frequency, then as they come; one sort of numbers that hold all three, where they fit."""
+    if len(piece) < 1 << 21 and (not len(piece) or piece[-1] < 1 << 21):
+        rest = (1 << 21) - 1 - np.minimum(times, (1 << 21) - 1)
+        return np.sort(piece << 42 | rest << 21 | np.arange(len(piece))) & ((1 << 21) - 1)
+    return np.lexsort((np.arange(len(piece)), -times, piece))
+
+
 class Profiles:
     """Rank-order profiles of several languages."""
 
@@ -267,15 +273,16 @@ class Profiles:
         for entries in ranked.values():
             for g in entries:
                 self.index.setdefault(g, len(self.index))
-        self.ranks = np.full((len(ranked), len(self.index)), size, np.float64)
+        # the rank of each n-gram in each profile, the last one where a profile hasn't it
+        self.places = np.full((len(self.index), len(ranked)), size, np.int16 if size < 10_000 else np.int32)
         for i, entries in enumerate(ranked.values()):
-            self.ranks[i, [self.index[g] for g in entries]] = np.arange(len(entries))
+            self.places[[self.index[g] for g in entries], i] = np.arange(len(entries))
         self._forget()
 
     def _forget(self) -> None:
         # the n-grams of the words seen, one after the other, and where those of each word are
         self.words: dict[str, int] = {}
-        self.grams, self.used = np.empty(1 << 16, np.int64), 0
+        self.grams, self.used = np.empty(1 << 16, np.int32), 0
         self.first, self.count = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
 
     def _learn(self, word: str) -> int:
@@ -307,18 +314,30 @@ class Profiles:
         total_ = int(each.sum())
         # the n-grams of all words, in order, by their places
         at = np.repeat(self.first[ids] - np.concatenate(([0], np.cumsum(each)[:-1])), each) + np.arange(total_) if total_ else np.empty(0, np.int64)
-        owner = np.repeat(np.repeat(np.arange(n), [len(piece) for piece in pieces]), each)
-        key, times = np.unique(owner * width + self.grams[at], return_counts=True)
-        # by piece, then falling frequency, then n-gram: one number each, so that one sort does it
+        kind = np.int32 if n * width < 1 << 31 else np.int64
+        owner = np.repeat(np.repeat(np.arange(n, dtype=kind) * kind(width), [len(piece) for piece in pieces]), each)
+        key, times = np.unique(owner + self.grams[at], return_counts=True)
         piece = key // width
-        packed = np.sort((piece << 37) | ((MOST_TIMES - np.minimum(times, MOST_TIMES)) << 17) | (key - piece * width))
-        piece, gram = packed >> 37, packed & ((1 << 17) - 1)
-        rank = np.arange(len(piece)) - np.searchsorted(piece, np.arange(n))[piece] if len(piece) else piece
-        held = np.bincount(piece, minlength=n)
+        gram = key - piece * width
+        # ranks by falling frequency, then n-gram. Those that occur once, nearly all, are in order already and come last
+        once = times == 1
+        more = np.flatnonzero(~once)
+        many = np.bincount(piece[more], minlength=n)
+        first = np.searchsorted(piece, np.arange(n))
+        singles = np.concatenate(([0], np.cumsum(once)))
+        rank = singles[:-1] - singles[first][piece] + many[piece]
+        order = more[_by_frequency(piece[more].astype(np.int64), times[more])]
+        rank[order] = np.arange(len(order)) - np.concatenate(([0], np.cumsum(many)[:-1]))[piece[order]]
+        held = np.diff(np.append(first, len(piece)))
         out = np.ones((n, len(self.languages)))
-        for i in range(len(self.languages)):
-            total = np.bincount(piece, np.minimum(np.abs(self.ranks[i][gram] - rank), self.size), minlength=n)
-            out[:, i] = np.where(held > 0, total / np.maximum(held, 1) / self.size, 1.0)
+        full = np.flatnonzero(held)
+        if len(full):
+            # from twice the size on a rank is out of place by the size or more in every profile
+            apart = self.places[gram]
+            apart -= np.minimum(rank, 2 * self.size).astype(apart.dtype)[:, None]
+            np.abs(apart, out=apart)
+            total = np.add.reduceat(np.minimum(apart, self.size, out=apart), first[full], axis=0, dtype=np.int64)
+            out[full] = total / held[full, None] / self.size
         return out, held
 
 
@@ -351,7 +370,7 @@ def fit_profiles(df: DataFrame, id_col: str, text_col: str, lang_col: str, langu
             words.clear()
             return pd.DataFrame(rows, columns=["lang", "gram", "n"])
 
-        for batch in _parts(batches):
+        for batch in batches:
             for lang, text in zip(batch["_lang"], batch["_text"]):
                 words.setdefault(lang, Counter()).update(w for c in clauses(text) for w in c.words)
             if sum(map(len, words.values())) > MEMO:
@@ -438,12 +457,16 @@ def _segments(text: str, found: list[Clause], languages: list[int], distances: n
     return out
 
 
-def _parts(batches: Iterator[pd.DataFrame], chars: int = PART) -> Iterator[pd.DataFrame]:
-    """Batches cut into parts of whole texts with about so many characters, which bounds a worker's memory."""
-    for batch in batches:
-        part = np.cumsum([len(t) if t else 1 for t in batch["_text"]]) // chars
-        for at in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(part)) + 1):
-            yield batch.iloc[at]
+def _parts(texts: Sequence[str | None], chars: int = PART) -> Iterator[tuple[int, int]]:
+    """(from, to) of parts of whole texts with about so many characters, which bounds a worker's memory."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t) if t else 1
+        if size >= chars:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 _SEGMENTS = "segments array<struct<start:int,end:int,lang:string,confidence:double,words:int,evidence:int>>"
@@ -458,16 +481,17 @@ def language_segments(df: DataFrame, id_col: str, text_col: str, keep: Sequence[
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*(col(c) for c in names)).schema.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _parts(batches):
-            cut = [clauses(t) if t else [] for t in batch["_text"]]
-            distances, held = profiles.distances([c.words for found in cut for c in found])
-            best = decided(distances)
-            rows, at = [], 0
-            for text, found in zip(batch["_text"], cut):
-                d, g, b = (x[at : at + len(found)] for x in (distances, held, best))
-                at += len(found)
-                languages = assigned(found, b, d, g) if found else []
-                rows.append([(s, e, profiles.languages[k], c, w, v) for s, e, k, c, w, v in _segments(text, found, languages, d, g)])
+        for batch in batches:
+            texts, rows = batch["_text"].tolist(), []
+            for start, end in _parts(texts):
+                cut = [clauses(t) if t else [] for t in texts[start:end]]
+                distances, held = profiles.distances([c.words for found in cut for c in found])
+                best, at = decided(distances), 0
+                for text, found in zip(texts[start:end], cut):
+                    d, g, b = (x[at : at + len(found)] for x in (distances, held, best))
+                    at += len(found)
+                    languages = assigned(found, b, d, g) if found else []
+                    rows.append([(s, e, profiles.languages[k], c, w, v) for s, e, k, c, w, v in _segments(text, found, languages, d, g)])
             out = batch.drop(columns="_text")
             out["segments"] = pd.Series(rows, index=out.index, dtype=object)
             yield out
