@@ -128,3 +128,16 @@ def test_published_scale(spark):
     assert [r["sim_norm"] for r in got] == [pytest.approx(0.5), None]
     with pytest.raises(Exception, match="no published scale for ky ecapa"):
         similarity.on_published_scale(rows, "sim", ["lang", "encoder"], scale.limit(0)).collect()
+
+
+def test_command_line(spark, settings, tmp_path, capsys):
+    from voxmeter.__main__ import main
+
+    (tmp_path / "c.json").write_text(json.dumps(settings))
+    assert main(["run", "--config", str(tmp_path / "c.json"), "--subset", "en-US__ann_f", "--stage", "asr", "--out", str(tmp_path / "out")]) == 0
+    facts = json.loads((tmp_path / "out" / "summary.json").read_text())
+    assert facts["run"] == "m" and facts["asr"][0]["n_scored"] == 3 and "_key" not in facts["asr"][0]
+    assert spark.read.parquet(str(tmp_path / "out" / "pools" / "asr")).count() == 6
+    assert "pools/asr" in capsys.readouterr().out and "pools/asr" in (tmp_path / "out" / "README.md").read_text()
+    (tmp_path / "bad.json").write_text("{}")
+    assert main(["run", "--config", str(tmp_path / "bad.json")]) == 2
