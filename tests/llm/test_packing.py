@@ -40,6 +40,12 @@ def test_better_than_best_fit_with_a_proof():
     assert sum(k for _, k in p.best_fit_groups(histogram, 2048)) == 11 * n // 6
 
 
+def test_never_worse_than_best_fit():
+    histogram = {1100: 10**7, 948: 4 * 10**6, 500: 10**7, 333: 10**6, 77: 10**7}
+    plan = p.pack_histogram(histogram)
+    assert plan.containers <= sum(k for _, k in p.best_fit_groups(histogram, 2048)) and plan.containers <= 1.005 * plan.bound
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_bound_holds(seed):
     """No packing uses fewer containers than the bound; for few items the least number is found by trying all."""

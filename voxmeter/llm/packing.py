@@ -224,7 +224,7 @@ def _remainder(sizes: np.ndarray, left: np.ndarray, capacity: int) -> list[tuple
 
 
 def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, gap: float = GAP) -> Plan:
-    """A plan for items of 1..capacity, given as size: amount."""
+    """A plan for items of 1..capacity, given as size: amount, of no more containers than best fit uses."""
     if any(not 0 < s <= capacity for s in histogram):
         raise ValueError("sizes must be in 1..capacity")
     kept = sorted((s, n) for s, n in histogram.items() if n > 0)
@@ -254,6 +254,10 @@ def pack_histogram(histogram: dict[int, int], capacity: int = CAPACITY, gap: flo
                 left[i] -= n * c
             groups.append(({int(sizes[i]): c for i, c in config}, n))
     groups += _remainder(sizes, left, capacity)
+    # a program that has not converged is never worse than best fit
+    plain = best_fit_groups(dict(kept), capacity)
+    if sum(n for _, n in plain) < sum(n for _, n in groups):
+        groups = plain
     return Plan(capacity, tuple(tuple(sorted(one.items())) for one, _ in groups), tuple(n for _, n in groups), bound, value)
 
 
