@@ -535,6 +535,18 @@ def power_to_db(spark: SparkSession, root: str) -> DataFrame:
     return e.select("vec_id", F.round(F.array_min(db), 6).alias("low"), F.round(F.array_max(db), 6).alias("high"))
 
 
+def padded_vectors(spark: SparkSession, root: str) -> DataFrame:
+    """Vectors cut to 48 and padded to 80 elements, and their powers in decibels scaled to 0..1."""
+    e = _clips(spark, root)
+    db = vectors.scaled_db(F.transform(F.col("embedding"), lambda x: x.cast("double") * x.cast("double")))
+
+    def total(v: Column) -> Column:
+        return F.round(F.aggregate(v, F.lit(0.0), lambda s, x: s + x), 6)
+
+    short, long_ = vectors.padded(F.col("embedding"), 48), vectors.padded(F.col("embedding"), 80)
+    return e.select("vec_id", F.size(short).alias("n_short"), total(short).alias("sum_short"), F.size(long_).alias("n_long"), total(long_).alias("sum_long"), F.round(F.array_min(db), 6).alias("low"), F.round(F.array_max(db), 6).alias("high"))
+
+
 def masked_pools(spark: SparkSession, root: str) -> DataFrame:
     """Mean, maximum and softmax-weighted mean over the first elements, as many as the id says."""
     e = _clips(spark, root).withColumn("valid", (F.col("vec_id") % 64 + 1).cast("int"))
@@ -630,7 +642,7 @@ NAMES = [
     anti_missing_left, anti_missing_right, shared_utts, text_mismatch, carry_lookup, work_plan, work_totals, work_overall, limit_per_subset, dedup_first,
     union_pools, float_means, naturalness, row_counts, cluster_ratio_orders, first_reference, sim_scores, sim_floor, sim_anchor,
     calibration_table, sim_summary, similarity_bootstrap, human_similarity, published_lookup, array_chunks, array_segments, power_to_db,
-    masked_pools, anchor_plan, units, stage_units, pending_units, json_roundtrip, subset_names, admitted_subsets,
+    padded_vectors, masked_pools, anchor_plan, units, stage_units, pending_units, json_roundtrip, subset_names, admitted_subsets,
 ]
 
 

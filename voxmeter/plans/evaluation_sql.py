@@ -334,6 +334,8 @@ SELECT vec_id, chunk::INTEGER AS chunk, len(w)::INTEGER AS n, round({_DOT.format
 round(list_avg((embedding::DOUBLE[])[5:19]), 6) AS second_mean FROM embeddings""",
     "power_to_db": """WITH d AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: 10.0::DOUBLE * log10(greatest(x * x, 1e-10::DOUBLE))) AS db FROM embeddings)
 SELECT vec_id, round(greatest(list_min(db) - list_max(db), -80.0::DOUBLE), 6) AS low, 0.0::DOUBLE AS high FROM d""",
+    "padded_vectors": """WITH d AS (SELECT vec_id, embedding::DOUBLE[] AS v, list_transform(embedding::DOUBLE[], lambda x: 10.0::DOUBLE * log10(greatest(x * x, 1e-10::DOUBLE))) AS db FROM embeddings)
+SELECT vec_id, 48 AS n_short, round(list_sum(v[1:48]), 6) AS sum_short, 80 AS n_long, round(list_sum(v[1:80]), 6) AS sum_long, round((list_min(db) - list_max(db) + 80.0::DOUBLE) / 80.0::DOUBLE, 6) AS low, 1.0::DOUBLE AS high FROM d""",
     "masked_pools": """WITH e AS (SELECT vec_id, (vec_id % 64 + 1)::INTEGER AS valid, (embedding::DOUBLE[])[1:(vec_id % 64 + 1)] AS v FROM embeddings)
 SELECT vec_id, valid, round(list_avg(v), 6) AS mean, round(list_max(v), 6) AS top,
 round(list_sum(list_transform(v, lambda x: x * exp(x - list_max(v)))) / list_sum(list_transform(v, lambda x: exp(x - list_max(v)))), 6) AS attended FROM e""",

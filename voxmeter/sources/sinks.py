@@ -84,6 +84,12 @@ class Folder:
         self.fs.delete(self.root, True)
         self.fs.mkdirs(self.root)
 
+    def rename(self, name: str, to: str) -> None:
+        target = self._path(to)
+        self.fs.mkdirs(target.getParent())
+        if not self.fs.rename(self._path(name), target):
+            raise OSError(f"{self.at(name)} can't be renamed to {to}")
+
     def write(self, name: str, text: str) -> None:
         out = self.fs.create(self._path(name), True)
         try:
