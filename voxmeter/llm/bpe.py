@@ -213,6 +213,20 @@ def token_count(text: Column, path: str = DEFAULT_VOCABULARY) -> Column:
     return count(text)
 
 
+def decoded(ids: Column, path: str = DEFAULT_VOCABULARY) -> Column:
+    """The text of an array of ids; empty for an empty array, null for null."""
+    sent = vocabulary(path)
+
+    @F.pandas_udf("string")
+    def text(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        e = encoder(path, sent.value)
+        by_id = dict(zip(e.ids.tolist(), e.keys))
+        for part in parts:
+            yield pd.Series([None if x is None else b"".join(by_id[int(i)] for i in x).decode("utf-8", "replace") for x in part], dtype=object)
+
+    return text(ids)
+
+
 def encode_documents(df: DataFrame, id_col: str, text_col: str, path: str = DEFAULT_VOCABULARY) -> DataFrame:
     """(id, ids) of every row, in place: repeated rows are encoded as often as they occur, other columns are dropped."""
     return df.select(col(id_col), token_ids(col(text_col), path).alias("ids"))

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.stats import joined
 from ..runtime import spread
 from ..sources.tables import table
-from .bpe import encode_documents, token_count
-from .canonical import canonical_texts, lookalike_rows
+from .bpe import decoded, encode_documents, token_count, token_ids
+from .canonical import _char_class, canonical_texts, code_points, lookalike_rows
 from .language import document_languages, fit_profiles, language_segments, unnamed_languages
 from .packing import pack_with_plan, packing_summary
 from .quantiles import daily_sketches, percentiles
@@ -75,6 +76,15 @@ def p6_ids(spark: SparkSession, root: str) -> DataFrame:
     return encode_documents(_documents(spark, root), "doc_id", "text")
 
 
+def p6_checks(spark: SparkSession, root: str) -> DataFrame:
+    """One row: documents, those whose ids don't give their text back, and those that have ids without a text."""
+    rows = _documents(spark, root).select("text", token_ids(F.col("text")).alias("ids"))
+    same = decoded(F.col("ids")) == F.coalesce("text", F.lit(""))
+    return rows.agg(
+        F.count(F.lit(1)).alias("n_documents"), F.count_if(~same).alias("n_changed"), F.count_if((F.coalesce("text", F.lit("")) == "") & (F.size("ids") > 0)).alias("n_from_nothing")
+    )
+
+
 def _p7(spark: SparkSession, root: str):
     return pack_with_plan(_documents(spark, root), "doc_id", token_count(F.col("text")))
 
@@ -89,6 +99,20 @@ def p7_summary(spark: SparkSession, root: str) -> DataFrame:
     return packing_summary(*_p7(spark, root))
 
 
+def p7_checks(spark: SparkSession, root: str) -> DataFrame:
+    """One row of what must hold: containers too full, short documents in pieces, documents lost, and nearness to the bound."""
+    packed, plan = _p7(spark, root)
+    full = packed.where("container IS NOT NULL").groupBy("container").agg(F.sum("tokens").alias("t")).agg(
+        F.count_if(F.col("t") > plan.capacity).alias("n_overfull"), F.count_if(F.col("t") <= 0).alias("n_empty"), (F.count(F.lit(1)) <= 1.01 * plan.least + 1).alias("near_bound")
+    )
+    per = packed.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k"), F.sum("tokens").alias("t"))
+    documents = table(spark, root, "documents").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    pieces = documents.join(per, "doc_id", "left").agg(
+        F.sum("n").alias("n_documents"), F.count_if(F.col("k").isNull()).alias("n_lost"), F.count_if((F.col("t") <= plan.capacity) & (F.col("k") > F.col("n"))).alias("n_split")
+    )
+    return joined(pieces, full, [])
+
+
 def _p8(spark: SparkSession, root: str) -> DataFrame:
     documents = _documents(spark, root)
     profiles = fit_profiles(documents, "doc_id", "text", "lang")
@@ -111,7 +135,7 @@ def p8_segments(spark: SparkSession, root: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"p4_percentiles": p4_percentiles, "p4_days": p4_days, "p4_accuracy": p4_accuracy, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_summary": p7_summary, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
+    return {"p4_percentiles": p4_percentiles, "p4_days": p4_days, "p4_accuracy": p4_accuracy, "p6_ids": p6_ids, "p6_checks": p6_checks, "p7_containers": p7_containers, "p7_summary": p7_summary, "p7_checks": p7_checks, "p8_found": p8_found, "p8_documents": p8_documents, "p8_segments": p8_segments, "p2_found": p2_found, "p2_forms": p2_forms, "p2_sources": p2_sources}
 
 
 # The sketches are exact while they have compacted nothing, as on the oracle's tables.
@@ -127,8 +151,29 @@ def _p4(keys: str, names: str) -> str:
     return _P4.format(keys=keys, names=names, values=at)
 
 
+def _p2_found() -> str:
+    """p2_found by patterns over whole texts: no text is cut, joined or rebuilt. Only the tables are those of the operator."""
+    rows = code_points()
+    changed = _char_class(r[0] for r in rows if r[1] != r[0])
+    within = {r[0] for r in rows if r[7] or r[1] == ""}
+
+    def word(look: int, own: int) -> str:
+        """A word with a foreign letter, every one of which has a look-alike."""
+        mine, like = {r[0] for r in rows if r[4] and r[own]}, {r[0] for r in rows if r[4] and not r[own] and r[look] is not None}
+        outside = _char_class({r[0] for r in rows if r[4]} | within).replace("[", "[^", 1)
+        return f"(^|{outside}){_char_class(mine | within)}*{_char_class(like)}{_char_class(mine | like | within)}*($|{outside})"
+
+    latin, cyrillic = word(2, 5), word(3, 6)
+    return f"""WITH src AS (SELECT 'sources' AS src_table, row_id, lang, text AS t FROM sources UNION ALL SELECT 'asr', row_id, lang, hyp_raw FROM asr)
+SELECT DISTINCT src_table, row_id FROM src WHERE t <> nfc_normalize(t) OR regexp_matches(t, '{changed}')
+OR CASE WHEN coalesce(lower(left(lang, 2)) IN ('ky', 'ru'), false) THEN regexp_matches(t, '{cyrillic}') ELSE regexp_matches(t, '{latin}') END"""
+
+
 def oracles() -> dict[str, str]:
     return {
+        "p2_found": _p2_found(),
+        "p6_checks": "SELECT count(*) AS n_documents, 0::BIGINT AS n_changed, 0::BIGINT AS n_from_nothing FROM documents",
+        "p7_checks": "SELECT count(*) AS n_documents, 0::BIGINT AS n_lost, 0::BIGINT AS n_split, 0::BIGINT AS n_overfull, 0::BIGINT AS n_empty, true AS near_bound FROM documents",
         "p4_percentiles": _p4("lang, len_bin", "lang, len_bin"),
         # what the bound promises: that it holds, although the sketches compacted
         "p4_accuracy": "SELECT l_returnflag, count(*) AS n, true AS compacted, true AS tight, true AS within FROM lineitem GROUP BY l_returnflag",
