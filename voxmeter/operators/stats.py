@@ -128,10 +128,11 @@ def resamples(clusters: DataFrame, keys: Sequence[str], names: Sequence[str], re
     return weighted.groupBy(*(col(k) for k in keys), "rep").agg(*(F.sum(F.col("_w") * F.col(n)).alias(n) for n in names))
 
 
-def _interval(value: Column, confidence: float) -> list[Column]:
+def interval(value: Column, confidence: float = CONFIDENCE, names: tuple[str, str] = ("lo", "hi")) -> list[Column]:
+    """Both ends of the interval that holds the middle share of a value's replicates."""
     alpha = 1 - confidence
     ends = F.percentile(value, F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2)))
-    return [F.round(ends[0], 9).alias("lo"), F.round(ends[1], 9).alias("hi")]
+    return [F.round(ends[i], 9).alias(n) for i, n in enumerate(names)]
 
 
 def cluster_bootstrap(
@@ -149,7 +150,7 @@ def cluster_bootstrap(
 def intervals(clusters: DataFrame, keys: Sequence[str], replicates: int = REPLICATES, confidence: float = CONFIDENCE, seed: int = SEED) -> DataFrame:
     """cluster_bootstrap() of clusters (keys..., _cluster, _a, _n)."""
     ratio = F.try_divide(F.col("_a"), F.col("_n"))
-    bands = resamples(clusters, keys, ["_a", "_n"], replicates, seed).groupBy(*(col(k) for k in keys)).agg(*_interval(ratio, confidence))
+    bands = resamples(clusters, keys, ["_a", "_n"], replicates, seed).groupBy(*(col(k) for k in keys)).agg(*interval(ratio, confidence))
     points = clusters.groupBy(*(col(k) for k in keys)).agg(
         F.count(F.lit(1)).alias("n_clusters"), F.round(F.try_divide(F.sum("_a"), F.sum("_n")), 9).alias("point")
     )
@@ -172,7 +173,7 @@ def paired_intervals(clusters: DataFrame, keys: Sequence[str], replicates: int =
     """paired_bootstrap() of clusters (keys..., _cluster, and the sums named in PAIR)."""
     names = list(PAIR)
     delta = F.try_divide(F.col("_a"), F.col("_an")) - F.try_divide(F.col("_b"), F.col("_bn"))
-    bands = resamples(clusters, keys, names, replicates, seed).groupBy(*(col(k) for k in keys)).agg(*_interval(delta, confidence), F.round(F.avg((delta < 0).cast("double")), 9).alias("p_a_better"))
+    bands = resamples(clusters, keys, names, replicates, seed).groupBy(*(col(k) for k in keys)).agg(*interval(delta, confidence), F.round(F.avg((delta < 0).cast("double")), 9).alias("p_a_better"))
     ra, rb = F.try_divide(F.sum("_a"), F.sum("_an")), F.try_divide(F.sum("_b"), F.sum("_bn"))
     points = clusters.groupBy(*(col(k) for k in keys)).agg(
         F.count(F.lit(1)).alias("n_clusters"), F.round(ra, 9).alias("rate_a"), F.round(rb, 9).alias("rate_b"), F.round(ra - rb, 9).alias("delta")

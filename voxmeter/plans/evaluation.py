@@ -205,13 +205,17 @@ def intelligibility(spark: SparkSession, root: str) -> DataFrame:
     for n, c, when in [("_a", edits, whole), ("_n", F.col("n_ref_words"), whole), ("_pa", edits, both), ("_pan", F.col("n_ref_words"), both), ("_pb", F.col("h_err"), both), ("_pbn", F.col("h_n"), both)]:
         sums[n] = F.sum(F.when(when, c.cast("double"))).alias(n)
     speakers = checkpointed(rows.groupBy(*keys, "speaker_id").agg(*sums.values()))
-    named = speakers.where("speaker_id IS NOT NULL").withColumnRenamed("speaker_id", "_cluster")
-    summary = stats.summed(speakers, keys)
-    band = stats.intervals(named.select(*keys, "_cluster", "_a", "_n").dropna(), keys).select(*keys, F.col("lo").alias("wer_lo"), F.col("hi").alias("wer_hi"))
-    sides = [F.col(a).alias(b) for a, b in zip(("_pa", "_pan", "_pb", "_pbn"), stats.PAIR)]
-    pair = stats.paired_intervals(named.select(*keys, "_cluster", *sides).dropna(subset=list(stats.PAIR)), keys)
-    pair = pair.select(*keys, F.col("rate_b").alias("anchor_wer"), "delta", F.col("lo").alias("delta_lo"), F.col("hi").alias("delta_hi"), "p_a_better")
-    out = stats.joined(stats.joined(summary, band, keys, "left"), pair, keys, "left")
+    # a speaker without anchored rows adds nothing to the pair's sums, so both intervals come from the same replicates
+    names = ["_a", "_n", "_pa", "_pan", "_pb", "_pbn"]
+    named = speakers.where("speaker_id IS NOT NULL").select(*keys, F.col("speaker_id").alias("_cluster"), *(F.coalesce(n, F.lit(0.0)).alias(n) for n in names))
+    ours, human = F.try_divide(F.col("_pa"), F.col("_pan")), F.try_divide(F.col("_pb"), F.col("_pbn"))
+    wer, delta = F.try_divide(F.col("_a"), F.col("_n")), ours - human
+    bands = stats.resamples(named, keys, names).groupBy(*keys).agg(
+        *stats.interval(wer, names=("wer_lo", "wer_hi")), *stats.interval(delta, names=("delta_lo", "delta_hi")), F.round(F.avg((delta < 0).cast("double")), 9).alias("p_a_better")
+    )
+    ra, rb = F.try_divide(F.sum("_pa"), F.sum("_pan")), F.try_divide(F.sum("_pb"), F.sum("_pbn"))
+    points = named.groupBy(*keys).agg(F.round(rb, 9).alias("anchor_wer"), F.round(ra - rb, 9).alias("delta"))
+    out = stats.joined(stats.joined(stats.summed(speakers, keys), points, keys, "left"), bands, keys, "left")
     # an interval needs more than one scored row
     several = F.col("n_scored") > 1
     return out.withColumns({c: F.when(several, F.col(c)) for c in ("wer_lo", "wer_hi")})
